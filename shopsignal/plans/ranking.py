@@ -11,6 +11,12 @@ holds a third of the rows) sorts everything in a single task. Instead:
    and turn the counts into offsets with a window over that small table;
 4. add the offset back. For a global order the offsets table has one row per
    partition, so broadcasting it is bounded by the partition count.
+
+The numbered rows are read twice (counts and the rows themselves), and the
+range bounds come from sampling an input whose row order after a shuffle is
+not fixed. The numbered rows are therefore checkpointed once into the shared
+``spark.checkpoint.dir``: both readers see the same layout, and a lost
+executor re-reads the checkpoint instead of re-sampling.
 """
 
 from __future__ import annotations
@@ -18,14 +24,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopsignal.session import ensure_checkpoint_dir
+
 _ROW_BITS = 33
 
 
 def _sorted_with_ids(df: DataFrame, order: list) -> DataFrame:
     mid = F.monotonically_increasing_id()
-    return (df.orderBy(*order)
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_rid", mid - F.shiftleft(F.spark_partition_id().cast("long"), _ROW_BITS)))
+    s = (df.orderBy(*order)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_rid", mid - F.shiftleft(F.spark_partition_id().cast("long"), _ROW_BITS)))
+    ensure_checkpoint_dir(df.sparkSession)
+    return s.checkpoint(eager=True)
 
 
 def with_global_position(df: DataFrame, order: list, name: str = "pos") -> DataFrame:
