@@ -1,0 +1,147 @@
+"""Out-of-fold stacking (M1), stacked bagging ensemble (M24) and model averaging.
+
+Folds are a column (K1/K3); each fit is one Spark ML job on a filter of one
+persisted frame. Fold predictions are collected in a long table
+(keys, learner, fold, p) that is checkpointed, so lineage does not grow with
+folds x learners. Keys travel with every prediction (no positional concat,
+D6); scores are P(class 1) (D4) in training and scoring alike (D8).
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark import StorageLevel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from shopsignal.operators import evaluate as ev
+from shopsignal.operators.folds import kfold, stratified_kfold, train_test_split
+from shopsignal.operators.learners import make_learner, prob1
+from shopsignal.session import ensure_checkpoint_dir
+
+KEYS = ["user_id", "merchant_id"]
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _n_features(df: DataFrame, features: str) -> int:
+    return len(df.select(features).first()[0])
+
+
+def _learner(name, preset, n_features, n_rows, features, label):
+    extra = {}
+    if name == "mlp":
+        extra["n_features"] = n_features
+    if name == "lr":
+        extra["n_rows"] = n_rows
+    return make_learner(name, preset, features=features, label=label, **extra)
+
+
+def oof_stacking(train: DataFrame, test: DataFrame, learners: list[str], k: int = 5, seed: int = 0,
+                 preset: str = "small", features: str = "features", label: str = "label"):
+    """M1: returns (train_meta, test_meta, cv_scores).
+
+    train_meta: keys, label, one OOF P(class 1) column per learner.
+    test_meta:  keys, the mean over the k fold models of P(class 1) per learner.
+    cv_scores:  learner, fold, log_loss (M11).
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    tr = kfold(train, k, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
+    te = test.persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows = tr.count()
+    d = _n_features(tr, features)
+    oof, tst = [], []
+    for name in learners:
+        for i in range(k):
+            est = _learner(name, preset, d, n_rows, features, label)
+            model = est.fit(tr.where(F.col("fold") != i))
+            oof.append(model.transform(tr.where(F.col("fold") == i)).select(
+                *KEYS, F.col(label), F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1(None).alias("p")))
+            tst.append(model.transform(te).select(
+                *KEYS, F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1(None).alias("p")))
+    oof_long = _union(oof).checkpoint(eager=True)
+    tst_long = _union(tst).checkpoint(eager=True)
+    tr.unpersist()
+    te.unpersist()
+    train_meta = oof_long.groupBy(*KEYS, label).pivot("learner", learners).agg(F.first("p"))
+    test_meta = tst_long.groupBy(*KEYS).pivot("learner", learners).agg(F.avg("p"))  # A11
+    cv = ev.log_loss(oof_long.withColumnRenamed("p", "score"), label=label, by=["learner", "fold"])
+    return train_meta, test_meta, cv
+
+
+def append_columns(df: DataFrame, cols: list[str], features: str = "features", out: str = "features") -> DataFrame:
+    """Append scalar columns to a feature vector (meta features next to the originals)."""
+    tmp = VectorAssembler(inputCols=[features, *cols], outputCol="_fv", handleInvalid="keep").transform(df)
+    return tmp.drop(features).withColumnRenamed("_fv", out) if out == features else tmp.withColumnRenamed("_fv", out)
+
+
+class StackedBagging:
+    """Stacking layer (stratified K folds, MLP meta model) then bagged boosters.
+
+    fit: for each of ``stacking_num`` stratified folds an MLP is fit on the
+    other folds and scores its fold (OOF meta column); then ``bagging_num``
+    boosters are fit on the features + meta column, each with a seeded
+    train/validation split driving early stopping.
+    predict: meta = mean of the stacking models' P(class 1); output = mean of
+    the boosters' P(class 1).
+    """
+
+    def __init__(self, stacking_num: int = 2, bagging_num: int = 1, bagging_test_size: float = 0.33,
+                 preset: str = "small", features: str = "features", label: str = "label",
+                 validation_tol: float = 1e-4):
+        self.stacking_num, self.bagging_num, self.test_size = stacking_num, bagging_num, bagging_test_size
+        self.preset, self.features, self.label, self.tol = preset, features, label, validation_tol
+        self.stacking_models, self.bagging_models = [], []
+
+    def fit(self, train: DataFrame) -> "StackedBagging":
+        ensure_checkpoint_dir(train.sparkSession)
+        d = _n_features(train, self.features)
+        x = train
+        if self.stacking_num > 1:
+            f = stratified_kfold(train, self.stacking_num, label=self.label, seed=1).persist(
+                StorageLevel.MEMORY_AND_DISK)
+            parts = []
+            for k in range(self.stacking_num):
+                m = make_learner("mlp", self.preset, features=self.features, label=self.label,
+                                 n_features=d).fit(f.where(F.col("fold") != k))
+                self.stacking_models.append(m)
+                parts.append(m.transform(f.where(F.col("fold") == k)).select(
+                    *[c for c in train.columns], prob1(None).alias("meta")))
+            x = _union(parts).checkpoint(eager=True)
+            f.unpersist()
+            x = append_columns(x, ["meta"], self.features)
+        for bn in range(self.bagging_num):
+            s = train_test_split(x, self.test_size, seed=bn, name="is_valid")
+            gbt = make_learner("gbt_es", self.preset, features=self.features, label=self.label,
+                               validationIndicatorCol="is_valid", validationTol=self.tol)
+            self.bagging_models.append(gbt.fit(s))
+        return self
+
+    def transform(self, df: DataFrame, out: str = "prob") -> DataFrame:
+        x = df
+        if self.stacking_num > 1:
+            p = F.lit(0.0)
+            for i, m in enumerate(self.stacking_models):
+                x = m.setPredictionCol(f"_sp{i}").setProbabilityCol(f"_spp{i}") \
+                    .setRawPredictionCol(f"_spr{i}").transform(x)
+                p = p + vector_to_array(F.col(f"_spp{i}"))[1]
+                x = x.drop(f"_sp{i}", f"_spr{i}")
+            x = x.withColumn("meta", p / len(self.stacking_models))
+            x = x.drop(*[f"_spp{i}" for i in range(len(self.stacking_models))])
+            x = append_columns(x, ["meta"], self.features)
+        q = F.lit(0.0)
+        for i, m in enumerate(self.bagging_models):
+            x = m.setPredictionCol(f"_bp{i}").setProbabilityCol(f"_bpp{i}") \
+                .setRawPredictionCol(f"_bpr{i}").transform(x)
+            q = q + vector_to_array(F.col(f"_bpp{i}"))[1]
+            x = x.drop(f"_bp{i}", f"_bpr{i}")
+        x = x.withColumn(out, q / len(self.bagging_models))
+        return x.drop(*[f"_bpp{i}" for i in range(len(self.bagging_models))])
+
+
+__all__ = ["oof_stacking", "StackedBagging", "append_columns", "array_to_vector"]
