@@ -49,27 +49,40 @@ def user_base_stats(log: DataFrame, user: str = "user_id", ts: str = "time_stamp
     )
 
 
+def with_event_ids(log: DataFrame, user: str = "user_id") -> DataFrame:
+    """Stamp each event with a long that increases in (user, event order).
+
+    A range-partitioned sort spreads even a user holding a third of the log
+    over many tasks; ``monotonically_increasing_id`` after the sort is then
+    monotone in event order within every user. The first occurrence of a
+    token becomes ``min(_eid)``: a fixed-width value, so both aggregation
+    levels stay hash aggregates (a struct minimum would force a sort-based
+    aggregate over the exploded rows).
+    """
+    order = [F.col(user)] + [F.col(c) for c in EVENT_ORDER if c in log.columns]
+    return log.orderBy(*order).withColumn("_eid", F.monotonically_increasing_id())
+
+
 def _long_tokens(log: DataFrame, user: str, token_cols: dict[str, str],
                  extra: dict[str, Column] | None = None) -> DataFrame:
-    """Stack token columns into (user, col, token, first) rows, nulls skipped."""
-    order = F.struct(*[F.col(c) for c in EVENT_ORDER if c in log.columns])
+    """Stack token columns into (user, col, token, _eid) rows, nulls skipped."""
     items = [F.struct(F.lit(name).alias("col"), F.col(c).cast("string").alias("token"))
              for name, c in token_cols.items()]
     for name, expr in (extra or {}).items():
         items.append(F.struct(F.lit(name).alias("col"), expr.cast("string").alias("token")))
-    return (log.select(F.col(user), order.alias("ord"), F.explode(F.array(*items)).alias("t"))
-            .select(user, F.col("t.col").alias("col"), F.col("t.token").alias("token"), "ord")
+    return (with_event_ids(log, user).select(F.col(user), "_eid", F.explode(F.array(*items)).alias("t"))
+            .select(user, F.col("t.col").alias("col"), F.col("t.token").alias("token"), "_eid")
             .where(F.col("token").isNotNull()))
 
 
 def token_counts(log: DataFrame, user: str = "user_id",
                  token_cols: dict[str, str] | None = None,
                  extra: dict[str, Column] | None = None) -> DataFrame:
-    """Level 1: (user, col, token) -> cnt, first occurrence in event order."""
+    """Level 1: (user, col, token) -> cnt, first occurrence (min event id)."""
     token_cols = TOKEN_COLUMNS if token_cols is None else token_cols
     return (_long_tokens(log, user, token_cols, extra)
             .groupBy(user, "col", "token")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.min("ord").alias("first")))
+            .agg(F.count(F.lit(1)).alias("cnt"), F.min("_eid").alias("first")))
 
 
 def token_stats(log: DataFrame, user: str = "user_id", n: int = 1,
