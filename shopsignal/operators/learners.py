@@ -18,39 +18,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED = 2017
+# Histogram memory per tree-growing pass: more nodes per pass, fewer passes over the data.
+TREE_MEM_MB = 512
 
 
 def _rf(p, **kw):
     # M2: 1200 trees, depth 20, sqrt features
     n, depth = (1200, 20) if p == "reference" else (20, 6)
-    return RandomForestClassifier(numTrees=n, maxDepth=depth, featureSubsetStrategy="sqrt", seed=SEED, **kw)
+    return RandomForestClassifier(maxMemoryInMB=TREE_MEM_MB, numTrees=n, maxDepth=depth, featureSubsetStrategy="sqrt", seed=SEED, **kw)
 
 
 def _et(p, **kw):
     # M5: extra trees -> no bootstrap; Spark caps depth at 30 and keeps best-split thresholds
     n, depth = (1200, 30) if p == "reference" else (20, 8)
-    return RandomForestClassifier(numTrees=n, maxDepth=depth, featureSubsetStrategy="sqrt", bootstrap=False,
+    return RandomForestClassifier(maxMemoryInMB=TREE_MEM_MB, numTrees=n, maxDepth=depth, featureSubsetStrategy="sqrt", bootstrap=False,
                                   seed=SEED, **kw)
 
 
 def _gb(p, **kw):
     # M4: 100 trees, rate 0.04, subsample 0.8, depth 5
     n = 100 if p == "reference" else 10
-    return GBTClassifier(maxIter=n, stepSize=0.04, subsamplingRate=0.8, maxDepth=5, seed=SEED, **kw)
+    return GBTClassifier(maxMemoryInMB=TREE_MEM_MB, maxIter=n, stepSize=0.04, subsamplingRate=0.8, maxDepth=5, seed=SEED, **kw)
 
 
 def _xgb(p, **kw):
     # M6: depth 5, eta 0.03, subsample / colsample 0.7; min_child_weight -> minInstancesPerNode;
     # lambda (L2 on leaves) and gamma have no counterpart
     n = 10000 if p == "reference" else 15
-    return GBTClassifier(maxIter=n, maxDepth=5, stepSize=0.03, subsamplingRate=0.7,
+    return GBTClassifier(maxMemoryInMB=TREE_MEM_MB, maxIter=n, maxDepth=5, stepSize=0.03, subsamplingRate=0.7,
                          featureSubsetStrategy="0.7", minInstancesPerNode=2, seed=SEED, **kw)
 
 
 def _lgb(p, **kw):
     # M7: 32 leaves (~depth 5), rate 0.3, subsample 0.7; leaf-wise growth has no counterpart
     n = 10000 if p == "reference" else 15
-    return GBTClassifier(maxIter=n, maxDepth=5, stepSize=0.3, subsamplingRate=0.7,
+    return GBTClassifier(maxMemoryInMB=TREE_MEM_MB, maxIter=n, maxDepth=5, stepSize=0.3, subsamplingRate=0.7,
                          featureSubsetStrategy="0.7", seed=SEED, **kw)
 
 
@@ -67,14 +69,15 @@ def _lr(p, n_rows: int | None = None, **kw):
 
 def _mlp(p, n_features: int = 0, hidden=(50, 50), **kw):
     # MLP with two hidden layers, l-bfgs
-    return MultilayerPerceptronClassifier(layers=[n_features, *hidden, 2], solver="l-bfgs",
-                                          maxIter=200 if p == "reference" else 50, seed=1, **kw)
+    # blocks of 1024 rows: fewer, larger matrix products per pass
+    return MultilayerPerceptronClassifier(layers=[n_features, *hidden, 2], solver="l-bfgs", blockSize=1024,
+                                          maxIter=200 if p == "reference" else 20, seed=1, **kw)
 
 
 def _gbt_es(p, **kw):
     # 9 leaves -> depth 3, rate 0.03, feature fraction 0.9, bagging 0.8, min_data 20
     n = 10000 if p == "reference" else 30
-    return GBTClassifier(maxIter=n, maxDepth=3, stepSize=0.03, featureSubsetStrategy="0.9",
+    return GBTClassifier(maxMemoryInMB=TREE_MEM_MB, maxIter=n, maxDepth=3, stepSize=0.03, featureSubsetStrategy="0.9",
                          subsamplingRate=0.8, minInstancesPerNode=20, seed=2, **kw)
 
 

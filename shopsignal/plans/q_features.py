@@ -25,7 +25,7 @@ def scan_log(spark, sf):
 @register("union_pairs", sql=fx.with_fixtures(
     "SELECT user_id, merchant_id, CAST(label AS DOUBLE) AS label, prob FROM all_pairs"))
 def union_pairs(spark, sf):
-    return _dbl(fx.all_pairs(spark, sf), "label")
+    return _dbl(fx.union_train_test(spark, sf), "label")
 
 
 @register("pairs_with_profile", sql=fx.with_fixtures(

@@ -115,11 +115,25 @@ def test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.where(_is_test(p)).select("user_id", "merchant_id", F.lit(None).cast("double").alias("prob"))
 
 
-def all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def union_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train.append(test) -- union by name; label null on test rows, prob null on train rows."""
     return train(spark, sf_dir).unionByName(test(spark, sf_dir), allowMissingColumns=True)
 
 
+def all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as ``union_train_test`` from one pass over the pair aggregate.
+
+    Two filtered copies of ``pairs`` would scan and aggregate the fact tables
+    twice (the split filter is pushed below the aggregate, so the exchanges
+    are not reused); one pass with conditional columns does not.
+    """
+    p = pairs(spark, sf_dir)
+    t = _is_test(p)
+    return p.select("user_id", "merchant_id",
+                    F.when(~t, F.col("label")).cast("int").alias("label"),
+                    F.lit(None).cast("double").alias("prob"))
+
+
 # ---------------------------------------------------------------------------
 # The same views as SQL text (DuckDB dialect), used by the oracle queries.
 # ---------------------------------------------------------------------------
