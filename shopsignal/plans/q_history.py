@@ -43,3 +43,21 @@ def merge_user_paths(spark, sf):
 def tokens(spark, sf):
     t = hi.path_tokens(hi.user_paths(fx.user_log(spark, sf)), "seller_path")
     return t.withColumn("idx", F.col("idx").cast("long"))
+
+
+def _seq_sql():
+    from shopsignal.plans.sqltext import ustats_ctes
+    return W("""SELECT time_stamp_nunique, CAST((pos - 1) // 1000 AS BIGINT) AS chunk, count(*) AS n_rows,
+  string_agg(CAST(user_id AS VARCHAR) || '_' || CAST(merchant_id AS VARCHAR), ' ' ORDER BY pos) AS row_key
+FROM (SELECT *, row_number() OVER (PARTITION BY time_stamp_nunique ORDER BY user_id, merchant_id) AS pos FROM (
+  SELECT t.user_id, t.merchant_id, CAST(COALESCE(s.time_stamp_nunique, -1) AS BIGINT) AS time_stamp_nunique
+  FROM train t LEFT JOIN ustats s ON t.user_id = s.user_id) x) y
+GROUP BY time_stamp_nunique, chunk""", ustats_ctes())
+
+
+@register("sequence_groups", sql=_seq_sql())
+def sequence_groups(spark, sf):
+    from shopsignal.plans.q_features import user_features_df
+    tr = user_features_df(spark, sf).where(F.col("label").isNotNull()) \
+        .select("user_id", "merchant_id", "time_stamp_nunique")
+    return hi.sequence_groups(tr, "time_stamp_nunique", ["user_id", "merchant_id"])
