@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsignal.functions.stats import filliben_sql, norm_ppf_sql
-from shopsignal.plans.ranking import with_global_position
+from shopsignal.plans.ranking import exact_quantiles, with_global_position
 
 SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
             "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN",
@@ -58,17 +58,18 @@ def unknown_ratio(info: DataFrame, specs: dict[str, int] | None = None) -> DataF
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """A4: count, mean, sample std, min, quartiles (linear interpolation), max per column.
 
-    ``percentile`` is exact (a value -> count map per column): right for the
-    low-cardinality profile columns; use ``percentile_approx`` for wide ones.
+    Quartiles are exact order statistics from the range-sorted values
+    (``exact_quantiles``), not a per-value map merged in one task.
     """
     parts = []
     for c in cols:
         x = F.col(c).cast("double")
+        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
         parts.append(df.agg(
             F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
             F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-            F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
-            F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max")))
+            q.select("q0").scalar().alias("p25"), q.select("q1").scalar().alias("p50"),
+            q.select("q2").scalar().alias("p75"), F.max(x).alias("max")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -123,8 +124,9 @@ def fd_histogram(values: DataFrame, x: str = "x", max_bins: int = 50) -> DataFra
 
     Output: bin, lo, hi, n, density -- every bin, empty ones included.
     """
+    q = exact_quantiles(values, x, [0.25, 0.75])
     st = values.agg(F.count(x).alias("cnt"), F.min(x).alias("mn"), F.max(x).alias("mx"),
-                    F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.75).alias("q3"))
+                    q.select("q0").scalar().alias("q1"), q.select("q1").scalar().alias("q3"))
     h = F.lit(2.0) * (F.col("q3") - F.col("q1")) / F.pow(F.col("cnt"), F.lit(1.0) / F.lit(3.0))
     nb = (F.when(F.col("cnt") < 2, F.lit(1))
           .when(h == 0, F.floor(F.sqrt(F.col("cnt"))))

@@ -39,3 +39,13 @@ def test_global_position_and_prefix_sum(spark):
 def test_dense_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), (None,)], "x string")
     assert {r["x"]: r["code"] for r in with_dense_codes(df, "x").collect()} == {"a": 0, "b": 1, "c": 2}
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    from shopsignal.plans.ranking import exact_quantiles
+    vals = [float(x) for x in np.random.default_rng(3).integers(0, 50, 501)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+    got = exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0]).first()
+    want = np.quantile(vals, [0.0, 0.25, 0.5, 0.9, 1.0])
+    assert [got[f"q{i}"] for i in range(5)] == pytest.approx(list(want))
