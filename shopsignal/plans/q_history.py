@@ -16,9 +16,9 @@ PATHS = UPOS + ",\nupaths AS (SELECT user_id, CAST((pos - 1) // 1000 AS BIGINT)
                  for name, c in hi.PATH_COLUMNS.items()) + "\n FROM upos GROUP BY user_id, chunk)"
 
 
-@register("event_position", sql=W("SELECT *, CAST(pos AS BIGINT) AS pos2 FROM upos", UPOS).replace(
-    "SELECT *, CAST(pos AS BIGINT) AS pos2 FROM upos",
-    "SELECT user_id, item_id, cat_id, seller_id, brand_id, time_stamp, action_type, CAST(pos AS BIGINT) AS pos FROM upos"))
+@register("event_position", sql=W(
+    "SELECT user_id, item_id, cat_id, seller_id, brand_id, time_stamp, action_type, CAST(pos AS BIGINT) AS pos "
+    "FROM upos", UPOS))
 def event_position(spark, sf):
     return hi.event_positions(fx.user_log(spark, sf))
 
