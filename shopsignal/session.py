@@ -21,6 +21,30 @@ DEFAULT_CONF = {
 }
 
 
+# Runtime SQL settings for a large cluster (about 100 TB of input). Shuffle
+# partitions are an upper bound that AQE coalesces toward the advisory size;
+# scan splits of 256 MB keep task counts manageable; broadcasts stay behind
+# AQE's measured-size check.
+CLUSTER_SQL_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set CLUSTER_SQL_CONF on a running session, leaving keys the cluster set at launch."""
+    launch = spark.sparkContext.getConf()
+    for k, v in {**CLUSTER_SQL_CONF, **(overrides or {})}.items():
+        if not launch.contains(k):
+            spark.conf.set(k, v)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "shopsignal", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster use the provided one."""
