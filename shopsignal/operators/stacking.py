@@ -9,6 +9,7 @@ D6); scores are P(class 1) (D4) in training and scoring alike (D8).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -42,8 +43,17 @@ def _learner(name, preset, n_features, n_rows, features, label):
     return make_learner(name, preset, features=features, label=label, **extra)
 
 
+def _fit_all(jobs, parallelism: int):
+    """Fit (estimator, frame) pairs concurrently: small fits leave executors idle one at a time."""
+    if parallelism <= 1:
+        return [est.fit(df) for est, df in jobs]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda j: j[0].fit(j[1]), jobs))
+
+
 def oof_stacking(train: DataFrame, test: DataFrame, learners: list[str], k: int = 5, seed: int = 0,
-                 preset: str = "small", features: str = "features", label: str = "label"):
+                 preset: str = "small", features: str = "features", label: str = "label",
+                 parallelism: int = 4):
     """M1: returns (train_meta, test_meta, cv_scores).
 
     train_meta: keys, label, one OOF P(class 1) column per learner.
@@ -55,15 +65,15 @@ def oof_stacking(train: DataFrame, test: DataFrame, learners: list[str], k: int
     te = test.persist(StorageLevel.MEMORY_AND_DISK)
     n_rows = tr.count()
     d = _n_features(tr, features)
+    grid = [(name, i) for name in learners for i in range(k)]
+    models = _fit_all([(_learner(name, preset, d, n_rows, features, label), tr.where(F.col("fold") != i))
+                       for name, i in grid], parallelism)
     oof, tst = [], []
-    for name in learners:
-        for i in range(k):
-            est = _learner(name, preset, d, n_rows, features, label)
-            model = est.fit(tr.where(F.col("fold") != i))
-            oof.append(model.transform(tr.where(F.col("fold") == i)).select(
-                *KEYS, F.col(label), F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1(None).alias("p")))
-            tst.append(model.transform(te).select(
-                *KEYS, F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1(None).alias("p")))
+    for (name, i), model in zip(grid, models):
+        oof.append(model.transform(tr.where(F.col("fold") == i)).select(
+            *KEYS, F.col(label), F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1(None).alias("p")))
+        tst.append(model.transform(te).select(
+            *KEYS, F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1(None).alias("p")))
     oof_long = _union(oof).checkpoint(eager=True)
     tst_long = _union(tst).checkpoint(eager=True)
     tr.unpersist()
@@ -93,7 +103,8 @@ class StackedBagging:
 
     def __init__(self, stacking_num: int = 2, bagging_num: int = 1, bagging_test_size: float = 0.33,
                  preset: str = "small", features: str = "features", label: str = "label",
-                 validation_tol: float = 1e-4):
+                 validation_tol: float = 1e-4, parallelism: int = 1):
+        self.parallelism = parallelism
         self.stacking_num, self.bagging_num, self.test_size = stacking_num, bagging_num, bagging_test_size
         self.preset, self.features, self.label, self.tol = preset, features, label, validation_tol
         self.stacking_models, self.bagging_models = [], []
@@ -106,20 +117,21 @@ class StackedBagging:
             f = stratified_kfold(train, self.stacking_num, label=self.label, seed=1).persist(
                 StorageLevel.MEMORY_AND_DISK)
             parts = []
-            for k in range(self.stacking_num):
-                m = make_learner("mlp", self.preset, features=self.features, label=self.label,
-                                 n_features=d).fit(f.where(F.col("fold") != k))
-                self.stacking_models.append(m)
+            self.stacking_models = _fit_all(
+                [(make_learner("mlp", self.preset, features=self.features, label=self.label, n_features=d),
+                  f.where(F.col("fold") != k)) for k in range(self.stacking_num)], self.parallelism)
+            for k, m in enumerate(self.stacking_models):
                 parts.append(m.transform(f.where(F.col("fold") == k)).select(
                     *[c for c in train.columns], prob1(None).alias("meta")))
             x = _union(parts).checkpoint(eager=True)
             f.unpersist()
             x = append_columns(x, ["meta"], self.features)
+        jobs = []
         for bn in range(self.bagging_num):
             s = train_test_split(x, self.test_size, seed=bn, name="is_valid")
-            gbt = make_learner("gbt_es", self.preset, features=self.features, label=self.label,
-                               validationIndicatorCol="is_valid", validationTol=self.tol)
-            self.bagging_models.append(gbt.fit(s))
+            jobs.append((make_learner("gbt_es", self.preset, features=self.features, label=self.label,
+                                      validationIndicatorCol="is_valid", validationTol=self.tol), s))
+        self.bagging_models = _fit_all(jobs, self.parallelism)
         return self
 
     def transform(self, df: DataFrame, out: str = "prob") -> DataFrame:
