@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsignal.functions.stats import sanitize
+from shopsignal.session import ensure_checkpoint_dir
 from shopsignal.operators import features as feat
 from shopsignal.operators import text as tx
 from shopsignal.operators.select import fit_importance_model, importance_table, select_features, top_k_features
@@ -46,7 +47,11 @@ def model_frames(spark: SparkSession, sf: str, text: bool = False):
     """(train, test, feature names): labelled and unlabelled rows with a feature vector."""
     ft = feature_table(spark, sf, text)
     cols = feature_columns(ft)
-    a = assemble(ft, cols)
+    # Fold assignment, range-bound sampling and every fit read this frame; one
+    # checkpoint in the shared folder computes the feature table once and cuts
+    # its lineage.
+    ensure_checkpoint_dir(spark)
+    a = assemble(ft, cols).checkpoint(eager=True)
     train = a.where(F.col("label").isNotNull()).withColumn("label", F.col("label").cast("double"))
     test = a.where(F.col("label").isNull())
     return train, test, cols
