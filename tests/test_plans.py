@@ -42,3 +42,10 @@ def test_entry_contract(spark):
     assert df.count() > 0
     assert df.schema == E.entry(spark).schema
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_no_cross_join_or_python_in_any_sql_checked_query(spark):
+    from tools.plan_report import report
+    rows = report(spark, SF_SMALL)
+    assert [n for n, s in rows if s["cross"]] == []
+    assert [n for n, s in rows if s["python"]] == []
