@@ -2,17 +2,20 @@
 
 The reference folds each user's log into space-joined path strings and runs
 a Python callback per row and statistic. Here every statistic is an
-aggregate over the log itself:
-
-* ``user_base_stats``: one ``groupBy(user)`` with count, min, max,
-  population std and action-conditional counts (plain partial aggregates:
-  a hot user is combined map-side before the shuffle).
-* ``token_stats``: the token columns are stacked into a long
-  ``(user, column, token)`` form and aggregated in two levels -- first per
-  (user, column, token) [count, first occurrence], then per user
-  [distinct count, n-th most frequent token and its count]. Both levels are
-  partial aggregates, so neither a hot user nor a hot token lands whole in
-  one task.
+aggregate over the log itself, computed in one pass (``token_stats``):
+
+* the log is range-sorted once and each event gets a long id monotone in
+  event order (first occurrence = ``min(id)``);
+* the token columns, the time stamp and the (seller, item) favourite key are
+  stacked into a long ``(user, column, token)`` form and aggregated in two
+  levels -- per (user, column, token) [count, first occurrence], then per user
+  [distinct counts, n-th most frequent token and its count, event and action
+  counts, time min/max and exact population std from integer moments].
+
+Both levels are partial aggregates, so neither a hot user nor a hot token
+lands whole in one task, and the log (a three-way join of the fact tables)
+is computed and shuffled once. ``user_base_stats`` computes the base
+statistics directly for streams and narrow callers.
 """
 
 from __future__ import annotations
@@ -27,7 +30,10 @@ MISSING = -1  # value of every statistic for a user without history (N2)
 
 def user_base_stats(log: DataFrame, user: str = "user_id", ts: str = "time_stamp",
                     action: str = "action_type", compat: bool = False) -> DataFrame:
-    """Count, max/min/population-std of time, action counts.
+    """A14, A16, A17, A20 directly on a log: count, max/min/population-std of time, action counts.
+
+    ``token_stats`` derives the same numbers from its token counts (one pass);
+    this form serves streams and callers that need only these columns.
 
     ``compat=True`` reproduces the reference's conditional count, which
     returns the history length whatever the action (defect D1).
@@ -45,7 +51,6 @@ def user_base_stats(log: DataFrame, user: str = "user_id", ts: str = "time_stamp
         action_count(CLICK).alias("user_cnt_0"),
         action_count(ADD_CART).alias("cart_cnt"),
         action_count(BUY).alias("buy_cnt"),
-        F.count_if(F.col(action) == ADD_FAV).alias("_fav_events"),
     )
 
 
@@ -85,45 +90,83 @@ def token_counts(log: DataFrame, user: str = "user_id",
             .agg(F.count(F.lit(1)).alias("cnt"), F.min("_eid").alias("first")))
 
 
+def _exact_std_pop(n: Column, s1: Column, s2: Column) -> Column:
+    """Population std from integer moments: sqrt((n*s2 - s1^2) / n^2), numerator exact in decimal."""
+    d = "decimal(38,0)"
+    num = n.cast(d) * s2.cast(d) - s1.cast(d) * s1.cast(d)
+    return F.when(n > 0, F.sqrt(num.cast("double") / (n.cast("double") * n.cast("double"))))
+
+
 def token_stats(log: DataFrame, user: str = "user_id", n: int = 1,
                 token_cols: dict[str, str] | None = None, compat: bool = False) -> DataFrame:
-    """A15, A18, A19, A21 for every token column at once.
+    """All per-user statistics from one pass over the log.
 
     Output per user: ``<name>_nunique``, ``<name>_most_<n>`` (string token) and
-    ``<name>_most_cnt_<n>``, plus ``time_stamp_nunique`` and
-    ``fav_seller_item_nunique`` (distinct (seller, item) among favourite
-    events). Most-n ties go to the token seen first in event order (N5).
+    ``<name>_most_cnt_<n>``, ``time_stamp_nunique``, ``fav_seller_item_nunique``
+    (distinct (seller, item) among favourite events), and the base statistics
+    ``user_cnt``, ``time_stamp_max/min/std``, ``user_cnt_0``, ``cart_cnt``,
+    ``buy_cnt``. The base statistics come from the per-token counts (event
+    count = sum of time-stamp token counts; action counts = action token
+    counts; time moments from (time, count) pairs, exact in integers), so the
+    log is read and shuffled once. Most-n ties go to the token seen first in
+    event order (N5).
     """
     token_cols = TOKEN_COLUMNS if token_cols is None else token_cols
+    ts = F.col("time_stamp")
     extra = {
-        "time_stamp": F.col("time_stamp"),
+        "time_stamp": ts,
+        "_ts_null": F.when(ts.isNull(), F.lit("")),  # events without a time still count
         "fav_seller_item": F.when(F.col("action_type") == ADD_FAV,
                                   F.concat_ws("_", F.col("seller_id").cast("string"),
                                               F.col("item_id").cast("string"))),
     }
+    if "action_type" not in token_cols:
+        extra["action_type"] = F.col("action_type")
     lvl1 = token_counts(log, user, token_cols, extra)
-    # preference key: higher count first, then earlier first occurrence
-    pref = F.struct((-F.col("cnt")).alias("negcnt"), F.col("first").alias("first"))
-    aggs = []
+    col, tok, cnt = F.col("col"), F.col("token"), F.col("cnt")
+    is_ts = col == "time_stamp"
+    x = F.when(is_ts, tok.cast("long"))
+    n_ts = F.sum(F.when(is_ts, cnt))
+    events = F.sum(F.when(col.isin("time_stamp", "_ts_null"), cnt))
+
+    def action_count(code: str) -> Column:
+        return events if compat else F.coalesce(
+            F.sum(F.when((col == "action_type") & (tok == code), cnt)), F.lit(0)).cast("long")
+
+    aggs = [events.cast("long").alias("user_cnt"),
+            F.max(x).alias("time_stamp_max"), F.min(x).alias("time_stamp_min"),
+            _exact_std_pop(n_ts, F.sum(x * cnt), F.sum(x.cast("decimal(38,0)") * x * cnt)).alias("time_stamp_std"),
+            action_count(CLICK).alias("user_cnt_0"), action_count(ADD_CART).alias("cart_cnt"),
+            action_count(BUY).alias("buy_cnt"),
+            F.coalesce(F.sum(F.when((col == "action_type") & (tok == ADD_FAV), cnt)), F.lit(0))
+             .alias("_fav_events")]
     for name in list(token_cols) + ["time_stamp", "fav_seller_item"]:
-        aggs.append(F.count_if(F.col("col") == name).alias(f"{name}_nunique"))
+        aggs.append(F.count_if(col == name).alias(f"{name}_nunique"))
+    # preference key: higher count first, then earlier first occurrence
+    pref = F.struct((-cnt).alias("negcnt"), F.col("first").alias("first"))
     if n == 1:
         # n = 1: the best token is a min_by aggregate -- no sort, no window
         for name in token_cols:
-            sel = F.col("col") == name
-            aggs.append(F.min_by(F.when(sel, F.col("token")), F.when(sel, pref)).alias(f"{name}_most_1"))
-            aggs.append(F.min_by(F.when(sel, F.col("cnt")), F.when(sel, pref)).alias(f"{name}_most_cnt_1"))
+            sel = col == name
+            aggs.append(F.min_by(F.when(sel, tok), F.when(sel, pref)).alias(f"{name}_most_1"))
+            aggs.append(F.min_by(F.when(sel, cnt), F.when(sel, pref)).alias(f"{name}_most_cnt_1"))
         out = lvl1.groupBy(user).agg(*aggs)
     else:
         out = lvl1.groupBy(user).agg(*aggs)
         w = Window.partitionBy(user, "col").orderBy(F.col("cnt").desc(), F.col("first").asc())
-        nth = (lvl1.where(F.col("col").isin(list(token_cols)))
+        nth = (lvl1.where(col.isin(list(token_cols)))
                .withColumn("rn", F.row_number().over(w)).where(F.col("rn") == n))
         piv = nth.groupBy(user).agg(*[
             F.max(F.when(F.col("col") == name, F.col(c))).alias(f"{name}_{lab}_{n}")
             for name in token_cols for c, lab in (("token", "most"), ("cnt", "most_cnt"))])
         out = out.join(piv, user, "left")
-    return out
+    if compat:
+        # The reference also counts the empty key once when some event is not a favourite
+        out = out.withColumn(
+            "fav_seller_item_nunique",
+            F.col("fav_seller_item_nunique")
+            + F.when(F.col("user_cnt") > F.col("_fav_events"), 1).otherwise(0))
+    return out.drop("_fav_events")
 
 
 def with_missing_defaults(df: DataFrame, n: int = 1, token_cols=None) -> DataFrame:
@@ -145,17 +188,8 @@ def with_missing_defaults(df: DataFrame, n: int = 1, token_cols=None) -> DataFra
 
 
 def user_stats(log: DataFrame, n: int = 1, compat: bool = False) -> DataFrame:
-    """All per-user statistics, one row per user with history."""
-    base = user_base_stats(log, compat=compat)
-    toks = token_stats(log, n=n)
-    out = base.join(toks, "user_id", "inner")
-    if compat:
-        # The reference also counts the empty key once when some event is not a favourite
-        out = out.withColumn(
-            "fav_seller_item_nunique",
-            F.col("fav_seller_item_nunique")
-            + F.when(F.col("user_cnt") > F.col("_fav_events"), 1).otherwise(0))
-    return out.drop("_fav_events")
+    """All per-user statistics, one row per user with history (one pass over the log)."""
+    return token_stats(log, n=n, compat=compat)
 
 
 def user_features(pairs: DataFrame, info: DataFrame, log: DataFrame, n: int = 1,
