@@ -153,7 +153,8 @@ def hashing_tf(spark, sf):
 
 def _w2v(spark, sf):
     log = fx.user_log(spark, sf)
-    model, sents = tx.fit_word2vec(log, "seller_id", partitions=1)
+    # the reference's 4 training partitions; on a cluster raise it with the data
+    model, sents = tx.fit_word2vec(log, "seller_id", partitions=4)
     return log, model, sents
 
 
