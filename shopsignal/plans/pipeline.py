@@ -96,3 +96,21 @@ def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
 def drop_unnamed(df: DataFrame) -> DataFrame:
     """PF3: drop columns whose name starts with 'Unnamed' (a pandas index read back)."""
     return df.select(*[c for c in df.columns if not c.startswith("Unnamed")])
+
+
+def main(argv=None):
+    """python -m shopsignal.plans.pipeline --sf DIR --out DIR [--preset small|reference] [--text]"""
+    import argparse
+    from shopsignal.session import build_session
+    ap = argparse.ArgumentParser()
+    ap.add_argument("--sf", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--preset", default="small")
+    ap.add_argument("--text", action="store_true", help="add the vocabulary TF-IDF block to the features")
+    a = ap.parse_args(argv)
+    spark = SparkSession.getActiveSession() or build_session()
+    run(spark, a.sf, preset=a.preset, out_dir=a.out, text=a.text)
+
+
+if __name__ == "__main__":
+    main()

@@ -62,3 +62,30 @@ def test_feature_frame_has_no_ids(spark):
     assert not {"user_id", "merchant_id", "label", "prob"} & set(cols)
     assert train.where(F.col("label").isNull()).count() == 0
     assert test.count() > 0
+
+
+def test_hashing_tf_counts_every_token(spark):
+    from shopsignal.operators import text as tx
+    from shopsignal.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    from pyspark.ml.functions import vector_to_array
+    log = fx.user_log(spark, SF_SMALL)
+    h = tx.hashed_tfidf(log, "seller_id", 100)
+    got = {r["user_id"]: r["n"] for r in h.select(
+        "user_id", F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda a, b: a + b).alias("n")).collect()}
+    want = {r["user_id"]: r["n"] for r in log.groupBy("user_id").agg(F.count("*").alias("n")).collect()}
+    assert got == {k: float(v) for k, v in want.items()}
+
+
+def test_oof_rows_scored_by_models_that_did_not_see_them(spark, planted):
+    """Each OOF score equals the score of a model fit without the row's fold."""
+    from shopsignal.operators.folds import kfold
+    from shopsignal.operators.learners import prob1
+    train = planted.where(F.col("user_id") % 5 != 0)
+    tm, _, _ = oof_stacking(train, train.drop("label").limit(1), ["gnb"], k=3)
+    f = kfold(train, 3, seed=0)
+    m = make_learner("gnb").fit(f.where(F.col("fold") != 1))
+    own = m.transform(f.where(F.col("fold") == 1)).select("user_id", "merchant_id", prob1().alias("own"))
+    j = own.join(tm, ["user_id", "merchant_id"])
+    assert j.count() == own.count()
+    assert j.where(F.abs(F.col("own") - F.col("gnb")) > 1e-12).count() == 0
