@@ -198,3 +198,23 @@ def user_features(pairs: DataFrame, info: DataFrame, log: DataFrame, n: int = 1,
     stats = user_stats(log, n=n, compat=compat)
     out = pairs.join(info, "user_id", "left").join(stats, "user_id", "left")
     return with_missing_defaults(out, n=n)
+
+
+def most_frequent(log: DataFrame, user: str, col: str, order: list[str], n: int = 1) -> DataFrame:
+    """A15/A18/A19 for any log: per user the n-th most frequent value of ``col``, its count,
+    the distinct count and the event count; ties go to the value seen first in ``order``."""
+    ordered = log.orderBy(F.col(user), *[F.col(c) for c in order]).withColumn("_eid", F.monotonically_increasing_id())
+    lvl1 = (ordered.where(F.col(col).isNotNull())
+            .groupBy(user, F.col(col).cast("string").alias("token"))
+            .agg(F.count(F.lit(1)).alias("cnt"), F.min("_eid").alias("first")))
+    base = lvl1.groupBy(user).agg(F.count(F.lit(1)).alias(f"{col}_nunique"),
+                                  F.sum("cnt").cast("long").alias("n_events"))
+    if n == 1:
+        pref = F.struct((-F.col("cnt")).alias("negcnt"), F.col("first"))
+        top = lvl1.groupBy(user).agg(F.min_by("token", pref).alias(f"{col}_most_1"),
+                                     F.min_by("cnt", pref).alias(f"{col}_most_cnt_1"))
+    else:
+        w = Window.partitionBy(user).orderBy(F.col("cnt").desc(), F.col("first").asc())
+        top = (lvl1.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == n)
+               .select(user, F.col("token").alias(f"{col}_most_{n}"), F.col("cnt").alias(f"{col}_most_cnt_{n}")))
+    return base.join(top, user, "left")

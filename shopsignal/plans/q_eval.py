@@ -161,3 +161,24 @@ GCOLS = ["user_cnt", "item_nunique", "time_stamp_std"]
 def gnb_params(spark, sf):
     st = feat.user_stats(fx.user_log(spark, sf))
     return rounded(ev.class_stats(fx.train(spark, sf).join(st, "user_id"), "label", GCOLS))
+
+
+# ---------------------------------------------------------------- metrics on the `labels` table
+
+DOC_SCORE_SQL = ("SELECT d.doc_id, l.quality AS label, ln(1 + d.n_chars) / 10.0e0 AS score FROM documents d "
+                 "JOIN labels l ON d.doc_id = l.doc_id")
+
+
+@register("doc_quality_auc", sql=(
+    "WITH scored AS (" + DOC_SCORE_SQL + ") "
+    "SELECT ROUND((sum(CASE WHEN label = 1 THEN r END) - n1 * (n1 + 1) / 2.0e0) / (n1 * n0), 6) AS auc "
+    "FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0e0 AS r "
+    "FROM scored) x, (SELECT count_if(label = 1) AS n1, count_if(label = 0) AS n0 FROM scored) c GROUP BY n1, n0"))
+def doc_quality_auc(spark, sf):
+    """M19 on document quality labels with a length score (ties counted one half)."""
+    from shopsignal.sources.tables import read_table
+    d = read_table(spark, sf, "documents", "doc_id", "n_chars")
+    lab = read_table(spark, sf, "labels", "doc_id", "quality")
+    s = d.join(lab, "doc_id").select("doc_id", F.col("quality").alias("label"),
+                                     (F.ln(1 + F.col("n_chars")) / 10.0).alias("score"))
+    return rounded(ev.auc(s))

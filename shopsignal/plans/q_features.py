@@ -109,3 +109,18 @@ USER_FEATURES_SQL = fx.with_fixtures(
 @register("user_features", sql=USER_FEATURES_SQL)
 def user_features(spark, sf):
     return rounded(_dbl(user_features_df(spark, sf), "label", "age_range", "gender"))
+
+
+@register("events_most_frequent", sql=(
+    "WITH p AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos "
+    "FROM events), c AS (SELECT user_id, event_type AS token, count(*) AS cnt, min(pos) AS first FROM p "
+    "WHERE event_type IS NOT NULL GROUP BY user_id, event_type), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY cnt DESC, first) AS rn FROM c) "
+    "SELECT user_id, count(*) AS event_type_nunique, CAST(sum(cnt) AS BIGINT) AS n_events, "
+    "max(CASE WHEN rn = 1 THEN token END) AS event_type_most_1, max(CASE WHEN rn = 1 THEN cnt END) AS event_type_most_cnt_1 "
+    "FROM r GROUP BY user_id"))
+def events_most_frequent(spark, sf):
+    """A15/A18/A19 on the events log (unique key event_id; order ts, event_id)."""
+    from shopsignal.sources.tables import read_table
+    ev = read_table(spark, sf, "events", "event_id", "ts", "user_id", "event_type")
+    return feat.most_frequent(ev, "user_id", "event_type", ["ts", "event_id"])

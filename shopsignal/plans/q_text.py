@@ -180,3 +180,23 @@ def w2v_transform(spark, sf):
     """TX9: Word2VecModel.transform (averages over all tokens, out-of-vocabulary included)."""
     _, model, sents = _w2v(spark, sf)
     return model.transform(sents).select("user_id", vector_to_array("w2v").alias("w2v"))
+
+
+# ---------------------------------------------------------------- the same operators on natural prose
+
+@register("doc_tfidf_topvocab", sql=(
+    f"""WITH tkv AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{tx.WORD2}')) AS token FROM documents),
+tfv AS (SELECT doc_id, token, count(*) AS tf FROM tkv GROUP BY doc_id, token),
+voc AS (SELECT token, CAST(row_number() OVER (ORDER BY token) - 1 AS INT) AS vidx
+        FROM (SELECT token, sum(tf) AS ctf FROM tfv GROUP BY token ORDER BY ctf DESC, token LIMIT {VOCAB_K})),
+ndv AS (SELECT count(*) AS n FROM documents),
+vt AS (SELECT tfv.*, voc.vidx FROM tfv JOIN voc ON tfv.token = voc.token),
+dfv AS (SELECT token, count(*) AS df FROM vt GROUP BY token),
+wv AS (SELECT vt.doc_id, vt.token, vt.vidx, tf * (ln((1 + n) / (1 + df)) + 1) AS raw
+       FROM vt JOIN dfv ON vt.token = dfv.token, ndv)
+SELECT doc_id, token, vidx, ROUND(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM wv"""))
+def doc_tfidf_topvocab(spark, sf):
+    """TX4 over whole document texts (documents are the docs; every document counts in n)."""
+    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    toks = tx.word_tokens(docs, "text", user="doc_id")
+    return rounded(tx.tfidf_vocab(toks, VOCAB_K, user="doc_id", docs=docs.select("doc_id")))
