@@ -76,6 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is invisible to executors: the cluster must name a shared one
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/DBFS)")
         d = tempfile.mkdtemp(prefix="shopsignal-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
