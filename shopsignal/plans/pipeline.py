@@ -15,7 +15,7 @@ from shopsignal.session import ensure_checkpoint_dir
 from shopsignal.operators import features as feat
 from shopsignal.operators import text as tx
 from shopsignal.operators.select import fit_importance_model, importance_table, select_features, top_k_features
-from shopsignal.operators.stacking import KEYS, StackedBagging, append_columns, oof_stacking
+from shopsignal.operators.ensemble import KEYS, StackedBagging, append_columns, oof_stacking
 from shopsignal.sources import fixtures as fx
 
 EXCLUDE = {"label", "prob", "user_id", "merchant_id"}  # D7: ids are not features

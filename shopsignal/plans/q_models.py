@@ -13,7 +13,7 @@ from shopsignal.operators.folds import train_test_split
 from shopsignal.operators.learners import make_learner, prob1
 from shopsignal.operators.select import (cv_accuracy, fit_importance_model, importance_table,
                                          select_features, top_k_features)
-from shopsignal.operators.stacking import KEYS, StackedBagging, oof_stacking
+from shopsignal.operators.ensemble import KEYS, StackedBagging, oof_stacking
 from shopsignal.plans import pipeline as pl
 from shopsignal.plans.registry import register
 

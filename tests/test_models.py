@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shopsignal.operators import evaluate as ev
 from shopsignal.operators.learners import make_learner
-from shopsignal.operators.stacking import StackedBagging, oof_stacking
+from shopsignal.operators.ensemble import StackedBagging, oof_stacking
 from shopsignal.plans import pipeline as pl
 from tests.conftest import SF_MID
 
