@@ -103,8 +103,8 @@ class StackedBagging:
 
     def __init__(self, stacking_num: int = 2, bagging_num: int = 1, bagging_test_size: float = 0.33,
                  preset: str = "small", features: str = "features", label: str = "label",
-                 validation_tol: float = 1e-4, parallelism: int = 1):
-        self.parallelism = parallelism
+                 validation_tol: float = 1e-4, parallelism: int = 1, bootstrap: bool = False):
+        self.parallelism, self.bootstrap = parallelism, bootstrap
         self.stacking_num, self.bagging_num, self.test_size = stacking_num, bagging_num, bagging_test_size
         self.preset, self.features, self.label, self.tol = preset, features, label, validation_tol
         self.stacking_models, self.bagging_models = [], []
@@ -129,6 +129,10 @@ class StackedBagging:
         jobs = []
         for bn in range(self.bagging_num):
             s = train_test_split(x, self.test_size, seed=bn, name="is_valid")
+            if self.bootstrap:
+                # K6 option: a true bootstrap of the training part (Poisson sampling, seeded)
+                s = (s.where(~F.col("is_valid")).sample(withReplacement=True, fraction=1.0, seed=bn)
+                     .unionByName(s.where(F.col("is_valid"))))
             jobs.append((make_learner("gbt_es", self.preset, features=self.features, label=self.label,
                                       validationIndicatorCol="is_valid", validationTol=self.tol), s))
         self.bagging_models = _fit_all(jobs, self.parallelism)

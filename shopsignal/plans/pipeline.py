@@ -19,6 +19,12 @@ from shopsignal.operators.ensemble import KEYS, StackedBagging, append_columns,
 from shopsignal.sources import fixtures as fx
 
 EXCLUDE = {"label", "prob", "user_id", "merchant_id"}  # D7: ids are not features
+# statistics that carry the -1 "no history" default
+MISSING_MARKED = {"user_cnt", "seller_nunique", "cat_nunique", "brand_nunique", "item_nunique",
+                  "time_stamp_nunique", "action_type_nunique", "time_stamp_max", "time_stamp_min",
+                  "time_stamp_std", "seller_most_cnt_1", "cat_most_cnt_1", "brand_most_cnt_1",
+                  "item_most_cnt_1", "action_type_most_cnt_1", "user_cnt_0", "cart_cnt", "buy_cnt",
+                  "fav_seller_item_nunique"}
 NUMERIC = {"bigint", "int", "double", "float", "smallint", "tinyint"}
 
 
@@ -37,13 +43,35 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in NUMERIC and c not in EXCLUDE]
 
 
-def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    """PF1 + PF9: project the feature columns, NaN/inf/null -> 0, one vector column."""
-    clean = df.select(*KEYS, "label", *[sanitize(F.col(c).cast("double")).alias(c) for c in cols])
+def assemble(df: DataFrame, cols: list[str], out: str = "features", missing_value: float | None = None):
+    """PF1 + PF9: project the feature columns, NaN/inf/null -> 0, one vector column.
+
+    ``missing_value`` (M6: the reference's boosters read -1 as missing): that
+    marker is replaced by the column median (Spark ML ``Imputer``) and a
+    ``has_history`` indicator is added, since the -1 defaults mark users
+    without history.
+    """
+    clean = df.select(*KEYS, "label", *[F.col(c).cast("double").alias(c) for c in cols])
+    if missing_value is not None:
+        from pyspark.ml.feature import Imputer
+        flagged = [c for c in cols if c in MISSING_MARKED]
+        clean = clean.withColumn("has_history", (F.col("user_cnt") != missing_value).cast("double"))
+        imp = Imputer(inputCols=flagged, outputCols=flagged, missingValue=float(missing_value), strategy="median")
+        clean = imp.fit(clean).transform(clean)
+        cols = cols + ["has_history"]
+    clean = clean.select(*KEYS, "label", *[sanitize(F.col(c)).alias(c) for c in cols])
     return VectorAssembler(inputCols=cols, outputCol=out).transform(clean).select(*KEYS, "label", out)
 
 
-def model_frames(spark: SparkSession, sf: str, text: bool = False):
+def assert_keys_not_null(df: DataFrame, keys=tuple(KEYS)) -> DataFrame:
+    """Join keys are declared non-null (Spark's = never matches null with null); one aggregate pass."""
+    bad = df.agg(F.count_if(F.greatest(*[F.col(k).isNull() for k in keys]))).first()[0]
+    if bad:
+        raise ValueError(f"{bad} rows with a null key among {list(keys)}")
+    return df
+
+
+def model_frames(spark: SparkSession, sf: str, text: bool = False, missing_value: float | None = None):
     """(train, test, feature names): labelled and unlabelled rows with a feature vector."""
     ft = feature_table(spark, sf, text)
     cols = feature_columns(ft)
@@ -51,16 +79,20 @@ def model_frames(spark: SparkSession, sf: str, text: bool = False):
     # checkpoint in the shared folder computes the feature table once and cuts
     # its lineage.
     ensure_checkpoint_dir(spark)
-    a = assemble(ft, cols).checkpoint(eager=True)
+    a = assemble(ft, cols, missing_value=missing_value).checkpoint(eager=True)
+    if missing_value is not None:
+        cols = cols + ["has_history"]
     train = a.where(F.col("label").isNotNull()).withColumn("label", F.col("label").cast("double"))
     test = a.where(F.col("label").isNull())
     return train, test, cols
 
 
 def run(spark: SparkSession, sf: str, preset: str = "small", learners=("lgb", "xgb"), k: int = 5,
-        top_k: int = 20, out_dir: str | None = None, text: bool = False) -> DataFrame:
+        top_k: int = 20, out_dir: str | None = None, text: bool = False,
+        missing_value: float | None = -1.0) -> DataFrame:
     """The reference's modelling path with corrected defects; returns (user_id, merchant_id, prob)."""
-    train, test, cols = model_frames(spark, sf, text)
+    assert_keys_not_null(fx.all_pairs(spark, sf))
+    train, test, cols = model_frames(spark, sf, text, missing_value)
     tm, sm, _ = oof_stacking(train, test, list(learners), k=k, preset=preset)
     tr2 = append_columns(train.join(tm.drop("label"), KEYS), list(learners))
     te2 = append_columns(test.join(sm, KEYS), list(learners))

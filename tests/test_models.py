@@ -89,3 +89,25 @@ def test_oof_rows_scored_by_models_that_did_not_see_them(spark, planted):
     j = own.join(tm, ["user_id", "merchant_id"])
     assert j.count() == own.count()
     assert j.where(F.abs(F.col("own") - F.col("gnb")) > 1e-12).count() == 0
+
+
+def test_missing_marker_imputed_with_indicator(spark):
+    train, test, cols = pl.model_frames(spark, SF_MID, missing_value=-1.0)
+    assert cols[-1] == "has_history"
+    from pyspark.ml.functions import vector_to_array
+    arr = train.select(vector_to_array("features").alias("a"))
+    i = cols.index("user_cnt")
+    assert arr.where(F.col("a")[i] == -1.0).count() == 0
+    assert arr.where(F.col("a")[len(cols) - 1] == 0.0).count() > 0  # users without history exist
+
+
+def test_bootstrap_bagging(spark, planted):
+    train = planted.where(F.col("user_id") % 5 != 0)
+    out = StackedBagging(stacking_num=1, bagging_num=2, bootstrap=True).fit(train).transform(train)
+    assert out.where((F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
+
+
+def test_null_keys_rejected(spark):
+    df = spark.createDataFrame([(1, None)], "user_id long, merchant_id long")
+    with pytest.raises(ValueError):
+        pl.assert_keys_not_null(df)
