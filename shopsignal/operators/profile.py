@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 
 from shopsignal.functions.stats import filliben_sql, norm_ppf_sql
 from shopsignal.plans.ranking import exact_quantiles, with_global_position
+from shopsignal.session import ensure_checkpoint_dir
+
+
+def _materialize(values: DataFrame, x: str) -> DataFrame:
+    """One column of values, computed once: quantiles, statistics and buckets all read it.
+
+    Without this, every scalar statistic re-runs the whole upstream plan
+    (here: aggregates over the fact tables).
+    """
+    ensure_checkpoint_dir(values.sparkSession)
+    return values.select(x).checkpoint(eager=True)
 
 SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
             "string": "VARCHAR", "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN",
@@ -122,27 +133,31 @@ def norm_fit(values: DataFrame, x: str = "x") -> DataFrame:
 def fd_histogram(values: DataFrame, x: str = "x", max_bins: int = 50) -> DataFrame:
     """DA1: Freedman-Diaconis histogram (bins capped at ``max_bins``), equal widths.
 
-    Output: bin, lo, hi, n, density -- every bin, empty ones included.
+    Output: bin, lo, hi, n, density -- every bin, empty ones included. The
+    one-row statistics (count, min, max, exact quartiles, bin count, width)
+    are read once and enter the bucketing pass as literals.
     """
-    q = exact_quantiles(values, x, [0.25, 0.75])
-    st = values.agg(F.count(x).alias("cnt"), F.min(x).alias("mn"), F.max(x).alias("mx"),
-                    q.select("q0").scalar().alias("q1"), q.select("q1").scalar().alias("q3"))
-    h = F.lit(2.0) * (F.col("q3") - F.col("q1")) / F.pow(F.col("cnt"), F.lit(1.0) / F.lit(3.0))
+    v = _materialize(values, x)
+    q = exact_quantiles(v, x, [0.25, 0.75])
+    st = v.agg(F.count(x).alias("cnt"), F.min(x).alias("mn"), F.max(x).alias("mx"))
+    h = F.lit(2.0) * (F.col("q1") - F.col("q0")) / F.pow(F.col("cnt"), F.lit(1.0) / F.lit(3.0))
     nb = (F.when(F.col("cnt") < 2, F.lit(1))
           .when(h == 0, F.floor(F.sqrt(F.col("cnt"))))
           .otherwise(F.ceil((F.col("mx") - F.col("mn")) / h)))
-    st = st.withColumn("nb", F.greatest(F.lit(1), F.least(F.lit(max_bins), nb.cast("int"))))
-    st = st.withColumn("w", (F.col("mx") - F.col("mn")) / F.col("nb"))
-    # the one-row statistics enter the bucketing as scalar subqueries
-    mn, w, nb, cnt = (st.select(F.first(c)).scalar() for c in ("mn", "w", "nb", "cnt"))
-    bucket = F.when(w == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col(x) - mn) / w), nb - 1)).cast("int")
-    counts = values.groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    bins = st.select(F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"))
+    qr = q.first()  # one row: the two quartiles
+    one = st.withColumn("q0", F.lit(qr["q0"])).withColumn("q1", F.lit(qr["q1"]))
+    one = one.withColumn("nb", F.greatest(F.lit(1), F.least(F.lit(max_bins), nb.cast("int"))))
+    one = one.withColumn("w", (F.col("mx") - F.col("mn")) / F.col("nb")).first()
+    mn, w, nb_, cnt = one["mn"], one["w"], one["nb"], one["cnt"]
+    bucket = (F.lit(0) if w == 0 else
+              F.least(F.floor((F.col(x) - F.lit(mn)) / F.lit(w)), F.lit(nb_ - 1))).cast("int")
+    counts = v.groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bins = v.sparkSession.range(nb_).select(F.col("id").cast("int").alias("bin"))
     out = bins.join(counts, "bin", "left").select(
-        "bin", (mn + F.col("bin") * w).alias("lo"), (mn + (F.col("bin") + 1) * w).alias("hi"),
+        "bin", (F.lit(mn) + F.col("bin") * F.lit(w)).alias("lo"),
+        (F.lit(mn) + (F.col("bin") + 1) * F.lit(w)).alias("hi"),
         F.coalesce(F.col("n"), F.lit(0)).alias("n"))
-    return out.withColumn("density", F.when(w > 0, F.col("n") / (cnt * w)))
+    return out.withColumn("density", F.col("n") / F.lit(cnt * w) if w > 0 else F.lit(None).cast("double"))
 
 
 def kde(values: DataFrame, x: str = "x", gridsize: int = 100, cut: float = 3.0) -> DataFrame:
@@ -152,11 +167,13 @@ def kde(values: DataFrame, x: str = "x", gridsize: int = 100, cut: float = 3.0)
     generator, not a cross join); contributions are summed per grid point
     with partial aggregation.
     """
+    values = _materialize(values, x)
     st = values.agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("mn"),
                     F.max(x).alias("mx"))
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n"), -0.2))
     st = st.withColumn("lo", F.col("mn") - cut * F.col("bw")).withColumn("hi", F.col("mx") + cut * F.col("bw"))
-    bw, lo, hi, n = (st.select(F.first(c)).scalar() for c in ("bw", "lo", "hi", "n"))
+    row = st.first()  # one row of statistics
+    bw, lo, hi, n = (F.lit(row[c]) for c in ("bw", "lo", "hi", "n"))
     step = (hi - lo) / (gridsize - 1)
     g = F.col("g")
     contrib = values.select(F.col(x).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("g"))
@@ -169,7 +186,7 @@ def kde(values: DataFrame, x: str = "x", gridsize: int = 100, cut: float = 3.0)
 def probplot_points(values: DataFrame, x: str = "x") -> DataFrame:
     """DA4: ordered values with Filliben plotting positions and normal quantiles."""
     pos = with_global_position(values.select(x), [F.col(x).asc()], "i")
-    n = values.select(F.count(F.lit(1))).scalar()
+    n = F.lit(pos.count())
     m = F.expr(filliben_sql("i", "n"))
     return (pos.withColumn("n", n).withColumn("m", m)
             .select(F.col("i").alias("rank"), F.col(x).alias("value"),
