@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shopsignal.functions import narrowing as nw
-from shopsignal.functions.stats import d, filliben_sql, norm_ppf_sql, sanitize
+from shopsignal.functions.stats import filliben_sql, norm_ppf_sql, sanitize
 from shopsignal.operators import profile as pr
 from shopsignal.plans.ranking import with_dense_codes
 from shopsignal.plans.registry import register, rounded
@@ -250,5 +250,3 @@ def sanitize_q(spark, sf):
     raw = ev.select("event_id", "event_type", F.expr(SAN_RAW).alias("raw"))
     return rounded(raw.select("event_id", "event_type", sanitize(F.col("raw")).alias("value")))
 
-
-__all__ = ["d"]

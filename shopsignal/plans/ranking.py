@@ -21,7 +21,7 @@ executor re-reads the checkpoint instead of re-sampling.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopsignal.session import ensure_checkpoint_dir
