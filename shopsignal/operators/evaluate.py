@@ -111,13 +111,13 @@ def auc(df: DataFrame, label="label", score="score") -> DataFrame:
 
 
 def zscore(df: DataFrame, cols: list[str], prefix: str = "z_") -> DataFrame:
-    """(x - mean) / population std; global statistics enter as scalar subqueries."""
-    out = df
+    """(x - mean) / population std; all means and stds come from one aggregate row."""
+    aggs = []
     for c in cols:
-        m = df.select(F.avg(c)).scalar()
-        s = df.select(F.stddev_pop(c)).scalar()
-        out = out.withColumn(f"{prefix}{c}", (F.col(c) - m) / s)
-    return out
+        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
+    st = df.agg(*aggs).first()
+    return df.withColumns({f"{prefix}{c}": (F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"])
+                           for c in cols})
 
 
 def variance_filter(df: DataFrame, cols: list[str], threshold: float = 0.8 * (1 - 0.8)) -> DataFrame:

@@ -34,18 +34,25 @@ def _block(p0: Column, n: Column, k: int) -> Column:
     return F.when(p0 < big, F.floor(p0 / (q + 1))).otherwise(r + F.floor((p0 - big) / q)).cast("int")
 
 
+def _max_pos(pos: DataFrame, col: str) -> int:
+    """Row count read from numbered rows (their lineage starts at a checkpoint): no rerun of the input."""
+    return pos.agg(F.max(col)).first()[0] or 0
+
+
 def kfold(df: DataFrame, k: int = 5, keys=KEYS, seed: int = 0, shuffle: bool = True,
           name: str = "fold") -> DataFrame:
     """K1 (shuffle=True) / K2 (contiguous blocks in key order)."""
-    n = df.select(F.count(F.lit(1))).scalar()
     pos = with_global_position(df, _order(keys, seed, shuffle), "_p")
+    n = F.lit(_max_pos(pos, "_p"))
     return pos.withColumn(name, _block(F.col("_p") - 1, n, k)).drop("_p")
 
 
 def stratified_kfold(df: DataFrame, k: int = 5, label: str = "label", keys=KEYS, seed: int = 1,
                      shuffle: bool = True, name: str = "fold") -> DataFrame:
     """K3: per-class contiguous blocks whose sizes follow a round-robin over label-sorted rows."""
-    cls = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    pos = with_group_position(df, [label], _order(keys, seed, shuffle), "_q")
+    # class sizes from the numbered rows (checkpointed), not another pass over the input
+    cls = pos.groupBy(label).agg(F.max("_q").alias("_nc"))
     # #classes rows: a single-task window and a broadcast bounded by the class count
     cls = cls.withColumn("_start", F.coalesce(F.sum("_nc").over(
         Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -57,7 +64,6 @@ def stratified_kfold(df: DataFrame, k: int = 5, label: str = "label", keys=KEYS,
     alloc = [upto(F.col("_end"), i) - upto(F.col("_start"), i) for i in range(k)]
     bounds = F.array(*[sum(alloc[: i + 1], F.lit(0)) for i in range(k)])
     cls = cls.select(label, bounds.alias("_hi"))
-    pos = with_group_position(df, [label], _order(keys, seed, shuffle), "_q")
     out = pos.join(F.broadcast(cls), label)
     fold = F.size(F.filter("_hi", lambda b: b <= F.col("_q") - 1))
     return out.withColumn(name, fold.cast("int")).drop("_q", "_hi")
@@ -66,16 +72,16 @@ def stratified_kfold(df: DataFrame, k: int = 5, label: str = "label", keys=KEYS,
 def train_test_split(df: DataFrame, test_size: float = 0.25, keys=KEYS, seed: int = 0,
                      name: str = "is_test") -> DataFrame:
     """K5: the first ceil(test_size * n) rows in md5(key, seed) order are the test part."""
-    n = df.select(F.count(F.lit(1))).scalar()
     pos = with_global_position(df, _order(keys, seed, True), "_p")
+    n = F.lit(_max_pos(pos, "_p"))
     return pos.withColumn(name, F.col("_p") <= F.ceil(n * F.lit(float(test_size)))).drop("_p")
 
 
 def shuffle_split(df: DataFrame, n_splits: int = 5, test_size: float = 0.3, keys=KEYS,
                   name: str = "is_test") -> DataFrame:
     """K4: ``n_splits`` independent train/test splits (``repeat`` = seed)."""
-    n = df.select(F.count(F.lit(1))).scalar()
     rep = df.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("repeat"))
     h = F.md5(F.concat_ws("_", *[F.col(c).cast("string") for c in keys], F.col("repeat").cast("string")))
     pos = with_group_position(rep.withColumn("_h", h), ["repeat"], [F.col("_h")], "_p").drop("_h")
+    n = F.lit(pos.where(F.col("repeat") == 0).agg(F.max("_p")).first()[0] or 0)
     return pos.withColumn(name, F.col("_p") <= F.ceil(n * F.lit(float(test_size)))).drop("_p")

@@ -91,8 +91,8 @@ def exact_quantiles(df: DataFrame, x: str, probs: list[float], prefix: str = "q"
     back. Output: one row with ``{prefix}0 .. {prefix}{k-1}``.
     """
     v = df.select(F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    n = v.select(F.count(F.lit(1))).scalar()
     pos = with_global_position(v, [F.col("_x").asc()], "_i")
+    n = F.lit(pos.agg(F.max("_i")).first()[0] or 0)  # from the checkpointed rows
     aggs = []
     for j, p in enumerate(probs):
         h = (n - 1) * F.lit(float(p))
