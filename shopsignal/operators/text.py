@@ -95,16 +95,32 @@ def to_wide(long: DataFrame, users: DataFrame, width: int, prefix: str, idx: str
 
 def hashed_tfidf(log: DataFrame, col: str = "seller_id", num_features: int = 100,
                  user: str = "user_id") -> DataFrame:
-    """TX1-TX3 in ML form: tokens per path chunk -> HashingTF -> per-user sum -> IDF.
+    """TX1-TX3 in ML form: HashingTF over each user's tokens, then Spark IDF.
 
-    Output: (user_id, features) with features a vector of ``num_features``.
+    Term frequency does not depend on order, so no paths are built: counts
+    per (user, token) are aggregated from the log, each distinct token is
+    hashed once by the same ``HashingTF`` transformer (a one-token document
+    per distinct token), and counts are summed per (user, bucket). Each user
+    then holds at most ``num_features`` buckets, assembled into a vector with
+    higher-order functions (no Python).
+
+    Output: (user_id, tf, features) with vectors of ``num_features``.
     """
-    paths = user_paths(log, user, columns={"p": col})
-    toks = paths.select(user, F.split(F.lower(F.col("p")), "\\s").alias("tokens"))
-    tf = HashingTF(inputCol="tokens", outputCol="tf_chunk", numFeatures=num_features).transform(toks)
-    per_user = tf.groupBy(user).agg(Summarizer.sum(F.col("tf_chunk")).alias("tf"))
-    model = IDF(inputCol="tf", outputCol="features").fit(per_user)
-    return model.transform(per_user).select(user, "tf", "features")
+    toks = spark_tokens(log, col, user)
+    tf = toks.groupBy(user, "token").agg(F.count(F.lit(1)).alias("n"))
+    vocab = tf.select("token").distinct().withColumn("doc", F.array("token"))
+    hashed = HashingTF(inputCol="doc", outputCol="h", numFeatures=num_features).transform(vocab)
+    # a one-token document has exactly one non-zero bucket
+    buckets = hashed.select("token", F.array_position(vector_to_array("h"), 1.0).cast("int").alias("b"))
+    per_bucket = (tf.join(buckets, "token").groupBy(user, F.col("b") - 1)
+                  .agg(F.sum("n").cast("double").alias("n")).withColumnRenamed("(b - 1)", "bucket"))
+    dense = (per_bucket.groupBy(user)
+             .agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("m"))
+             .select(user, array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(num_features - 1)),
+                                                       lambda i: F.coalesce(F.col("m")[i], F.lit(0.0))))
+                     .alias("tf")))
+    model = IDF(inputCol="tf", outputCol="features").fit(dense)
+    return model.transform(dense).select(user, "tf", "features")
 
 
 def mean_vectors(tokens: DataFrame, vectors: DataFrame, user: str = "user_id",
