@@ -29,12 +29,13 @@ def user_paths(spark, sf):
 
 
 @register("merge_user_paths", sql=W(
-    "SELECT p.user_id, p.merchant_id, CAST(p.label AS DOUBLE) AS label, p.prob, CAST(u.chunk AS DOUBLE) AS chunk, "
-    "CAST(u.n_events AS DOUBLE) AS n_events, " + ", ".join(f"u.{n}" for n in hi.PATH_COLUMNS)
-    + " FROM all_pairs p LEFT JOIN upaths u ON p.user_id = u.user_id", PATHS))
+    "SELECT p.user_id, p.merchant_id, CAST(p.label AS DOUBLE) AS label, p.prob, "
+    "CAST(u.n_events AS DOUBLE) AS n_events, CAST(u.n_chunks AS DOUBLE) AS n_chunks "
+    "FROM all_pairs p LEFT JOIN (SELECT user_id, sum(n_events) AS n_events, count(*) AS n_chunks "
+    "FROM upaths GROUP BY user_id) u ON p.user_id = u.user_id", PATHS))
 def merge_user_paths(spark, sf):
     m = hi.merge_paths(fx.all_pairs(spark, sf), hi.user_paths(fx.user_log(spark, sf)))
-    return m.withColumns({c: F.col(c).cast("double") for c in ("label", "chunk", "n_events")})
+    return m.withColumns({c: F.col(c).cast("double") for c in ("label", "n_events", "n_chunks")})
 
 
 @register("tokens", sql=W(
