@@ -29,6 +29,11 @@ from shopsignal.operators.history import user_paths
 WORD2 = r"[\pL\pN_]{2,}"
 
 
+def documents(tokens: DataFrame, user: str = "user_id") -> DataFrame:
+    """The distinct documents of a token table (from its term-frequency aggregate)."""
+    return term_frequencies(tokens, user).select(user).distinct()
+
+
 def spark_tokens(log: DataFrame, col: str, user: str = "user_id") -> DataFrame:
     """TX1 on the log: the lower-cased id as the token (null -> 'nan', as in a path)."""
     return log.select(user, F.lower(F.coalesce(F.col(col).cast("string"), F.lit("nan"))).alias("token"))
@@ -36,12 +41,16 @@ def spark_tokens(log: DataFrame, col: str, user: str = "user_id") -> DataFrame:
 
 def word_tokens(log: DataFrame, col: str, user: str = "user_id", pattern: str = WORD2,
                 stop_words: list[str] | None = None) -> DataFrame:
-    """Vocabulary-form tokenizer: lower-case, word runs of 2+ chars, stop words removed."""
-    t = log.select(user, F.explode(F.regexp_extract_all(F.lower(F.col(col).cast("string")),
-                                                        F.lit(pattern), 0)).alias("token"))
+    """Vocabulary-form tokenizer: lower-case, word runs of 2+ chars, stop words removed.
+
+    ``explode_outer`` keeps one null-token row for a row without any word, so
+    every document stays countable from the token table itself.
+    """
+    t = log.select(user, F.explode_outer(F.regexp_extract_all(F.lower(F.col(col).cast("string")),
+                                                              F.lit(pattern), 0)).alias("token"))
     if stop_words:
         sw = t.sparkSession.createDataFrame([(w,) for w in stop_words], "token string")
-        t = t.join(F.broadcast(sw), "token", "left_anti")
+        t = t.join(F.broadcast(sw), "token", "left_anti")  # null tokens never match: kept
     return t
 
 
@@ -70,12 +79,16 @@ def tfidf_vocab(tokens: DataFrame, k: int = 100, user: str = "user_id",
                 docs: DataFrame | None = None) -> DataFrame:
     """TX4: vocabulary TF-IDF -- smooth idf ln((1+n)/(1+df)) + 1, L2-normalised per user.
 
-    Output long form (user, token, vidx, tfidf) for in-vocabulary tokens.
+    Output long form (user, token, vidx, tfidf) for in-vocabulary tokens. The
+    document count n comes from ``docs`` when given, else from the distinct
+    users of the token table (null-token rows included, see ``word_tokens``),
+    i.e. from the same term-frequency aggregate -- no second pass over the input.
     """
-    tf = term_frequencies(tokens, user)
+    tf_all = term_frequencies(tokens, user)
+    tf = tf_all.where(F.col("token").isNotNull())
     vocab = top_vocabulary(tf, k)
     n = (docs.select(F.count(F.lit(1))) if docs is not None
-         else tokens.select(F.count_distinct(user))).scalar()
+         else tf_all.select(F.count_distinct(user))).scalar()
     vt = tf.join(F.broadcast(vocab.select("token", "vidx")), "token")
     df = vt.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     w = vt.join(F.broadcast(df), "token").withColumn(

@@ -33,8 +33,8 @@ def feature_table(spark: SparkSession, sf: str, text: bool = False) -> DataFrame
     log = fx.user_log(spark, sf)
     df = feat.user_features(fx.all_pairs(spark, sf), fx.user_info(spark, sf), log)
     if text:
-        docs = log.select("user_id").distinct()
-        wide = tx.to_wide(tx.tfidf_vocab(tx.word_tokens(log, "seller_id"), 100, docs=docs), docs, 100, "tfidf_")
+        toks = tx.word_tokens(log, "seller_id")
+        wide = tx.to_wide(tx.tfidf_vocab(toks, 100), tx.documents(toks), 100, "tfidf_")
         df = df.join(wide, "user_id", "left").fillna(0.0, subset=[f"tfidf_{i}" for i in range(100)])
     return df
 

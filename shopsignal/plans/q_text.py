@@ -48,9 +48,8 @@ tfidf AS (SELECT user_id, token, vidx, raw / sqrt(sum(raw * raw) OVER (PARTITION
 
 
 def _tfidf_vocab(spark, sf, col="seller_id"):
-    log = fx.user_log(spark, sf)
-    docs = log.select("user_id").distinct()
-    return tx.tfidf_vocab(tx.word_tokens(log, col), VOCAB_K, docs=docs), docs
+    toks = tx.word_tokens(fx.user_log(spark, sf), col)
+    return tx.tfidf_vocab(toks, VOCAB_K), tx.documents(toks)
 
 
 @register("tfidf_topvocab", sql=W("SELECT user_id, token, vidx, ROUND(tfidf, 6) AS tfidf FROM tfidf",
@@ -88,10 +87,9 @@ def _multi_sql():
 def tfidf_multi(spark, sf):
     """TX5: one vocabulary TF-IDF block per path column, side by side (long form with `col`)."""
     log = fx.user_log(spark, sf)
-    docs = log.select("user_id").distinct()
     out = None
     for name, col in MULTI.items():
-        b = tx.tfidf_vocab(tx.word_tokens(log, col), VOCAB_K, docs=docs).withColumn("col", F.lit(name))
+        b = tx.tfidf_vocab(tx.word_tokens(log, col), VOCAB_K).withColumn("col", F.lit(name))
         out = b if out is None else out.unionByName(b)
     return rounded(out)
 
@@ -199,4 +197,4 @@ def doc_tfidf_topvocab(spark, sf):
     """TX4 over whole document texts (documents are the docs; every document counts in n)."""
     docs = read_table(spark, sf, "documents", "doc_id", "text")
     toks = tx.word_tokens(docs, "text", user="doc_id")
-    return rounded(tx.tfidf_vocab(toks, VOCAB_K, user="doc_id", docs=docs.select("doc_id")))
+    return rounded(tx.tfidf_vocab(toks, VOCAB_K, user="doc_id"))
