@@ -61,7 +61,7 @@ def term_frequencies(tokens: DataFrame, user: str = "user_id") -> DataFrame:
 def tfidf_spark_relational(tokens: DataFrame, user: str = "user_id") -> DataFrame:
     """TX3 relational: tf * ln((n + 1) / (df + 1)) (Spark ML IDF), unnormalised."""
     tf = term_frequencies(tokens, user)
-    n = tokens.select(F.count_distinct(user)).scalar()
+    n = tf.select(F.count_distinct(user)).scalar()  # from the aggregate, not another input pass
     df = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     idf = df.select("token", F.ln((n + 1) / (F.col("df") + 1)).alias("idf"))
     return tf.join(idf, "token").withColumn("tfidf", F.col("tf") * F.col("idf"))
