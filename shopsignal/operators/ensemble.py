@@ -24,6 +24,7 @@ from shopsignal.operators.learners import make_learner, prob1
 from shopsignal.session import ensure_checkpoint_dir
 
 KEYS = ["user_id", "merchant_id"]
+EARLY_STOPPED = ("xgb", "lgb")  # boosters with a watch list on the held-out fold
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -66,8 +67,16 @@ def oof_stacking(train: DataFrame, test: DataFrame, learners: list[str], k: int
     n_rows = tr.count()
     d = _n_features(tr, features)
     grid = [(name, i) for name in learners for i in range(k)]
-    models = _fit_all([(_learner(name, preset, d, n_rows, features, label), tr.where(F.col("fold") != i))
-                       for name, i in grid], parallelism)
+    jobs = []
+    for name, i in grid:
+        if name in EARLY_STOPPED:
+            # M6/M7: the boosters train on the other folds and stop early on the held-out fold
+            est = make_learner(name, preset, features=features, label=label,
+                               validationIndicatorCol="_valid", validationTol=1e-4)
+            jobs.append((est, tr.withColumn("_valid", F.col("fold") == i)))
+        else:
+            jobs.append((_learner(name, preset, d, n_rows, features, label), tr.where(F.col("fold") != i)))
+    models = _fit_all(jobs, parallelism)
     oof, tst = [], []
     for (name, i), model in zip(grid, models):
         oof.append(model.transform(tr.where(F.col("fold") == i)).select(
