@@ -111,3 +111,15 @@ def test_null_keys_rejected(spark):
     df = spark.createDataFrame([(1, None)], "user_id long, merchant_id long")
     with pytest.raises(ValueError):
         pl.assert_keys_not_null(df)
+
+
+def test_reference_presets_carry_reference_sizes(spark):
+    rf = make_learner("rf", "reference")
+    assert rf.getNumTrees() == 1200 and rf.getMaxDepth() == 20
+    gb = make_learner("gb", "reference")
+    assert gb.getMaxIter() == 100 and gb.getStepSize() == 0.04 and gb.getSubsamplingRate() == 0.8
+    et = make_learner("et", "reference")
+    assert et.getBootstrap() is False and et.getMaxDepth() == 30
+    lgb = make_learner("lgb", "reference")
+    assert lgb.getStepSize() == 0.3 and lgb.getMaxIter() == 10000
+    assert make_learner("mlp", "reference", n_features=7).getLayers() == [7, 50, 50, 2]
