@@ -149,6 +149,8 @@ def fd_histogram(values: DataFrame, x: str = "x", max_bins: int = 50) -> DataFra
     one = one.withColumn("nb", F.greatest(F.lit(1), F.least(F.lit(max_bins), nb.cast("int"))))
     one = one.withColumn("w", (F.col("mx") - F.col("mn")) / F.col("nb")).first()
     mn, w, nb_, cnt = one["mn"], one["w"], one["nb"], one["cnt"]
+    if not cnt:  # no values: no bins
+        return v.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint, density double")
     bucket = (F.lit(0) if w == 0 else
               F.least(F.floor((F.col(x) - F.lit(mn)) / F.lit(w)), F.lit(nb_ - 1))).cast("int")
     counts = v.groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

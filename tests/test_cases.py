@@ -108,3 +108,14 @@ def test_union_fills_missing(spark):
     te = spark.createDataFrame([(3, 4, None)], "user_id long, merchant_id long, prob double")
     rows = {r["user_id"]: r for r in tr.unionByName(te, allowMissingColumns=True).collect()}
     assert rows[1]["prob"] is None and rows[3]["label"] is None
+
+
+def test_histogram_of_nothing_is_empty(spark):
+    empty = spark.createDataFrame([], "x double")
+    assert pr.fd_histogram(empty).count() == 0
+
+
+def test_histogram_single_value(spark):
+    one = spark.createDataFrame([(0.5,), (0.5,), (0.5,)], "x double")
+    rows = pr.fd_histogram(one).collect()
+    assert sum(r["n"] for r in rows) == 3
