@@ -97,7 +97,8 @@ def r2_score(df: DataFrame, label="label", score="score") -> DataFrame:
     """1 - SSR / SST."""
     y = F.col(label).cast("double")
     mean_y = df.select(F.avg(y)).scalar()
-    return df.agg((1 - F.sum((y - F.col(score)) ** 2) / F.sum((y - mean_y) ** 2)).alias("r2"))
+    # constant labels (SST = 0) give NULL rather than a division error under ANSI mode
+    return df.agg((1 - F.try_divide(F.sum((y - F.col(score)) ** 2), F.sum((y - mean_y) ** 2))).alias("r2"))
 
 
 def auc(df: DataFrame, label="label", score="score") -> DataFrame:
@@ -106,8 +107,9 @@ def auc(df: DataFrame, label="label", score="score") -> DataFrame:
     d = df.groupBy(F.col(score).alias("s")).agg(F.sum(y).alias("npos"), F.sum(1 - y).alias("nneg"))
     c = with_prefix_sum(d, [F.col("s").asc()], "nneg", "_negle", inclusive=True)
     below = F.col("_negle") - F.col("nneg")
-    return c.agg((F.sum(F.col("npos") * (below + 0.5 * F.col("nneg")))
-                  / (F.sum("npos") * F.sum("nneg"))).alias("auc"))
+    # a single class gives NULL (undefined), not a division error
+    return c.agg(F.try_divide(F.sum(F.col("npos") * (below + 0.5 * F.col("nneg"))),
+                              (F.sum("npos") * F.sum("nneg")).cast("double")).alias("auc"))
 
 
 def zscore(df: DataFrame, cols: list[str], prefix: str = "z_") -> DataFrame:
@@ -116,7 +118,8 @@ def zscore(df: DataFrame, cols: list[str], prefix: str = "z_") -> DataFrame:
     for c in cols:
         aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
     st = df.agg(*aggs).first()
-    return df.withColumns({f"{prefix}{c}": (F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"])
+    # a constant column (std 0) gives NULL, not a division error
+    return df.withColumns({f"{prefix}{c}": F.try_divide(F.col(c) - F.lit(st[f"m_{c}"]), F.lit(st[f"s_{c}"]))
                            for c in cols})
 
 

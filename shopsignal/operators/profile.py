@@ -175,6 +175,8 @@ def kde(values: DataFrame, x: str = "x", gridsize: int = 100, cut: float = 3.0)
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n"), -0.2))
     st = st.withColumn("lo", F.col("mn") - cut * F.col("bw")).withColumn("hi", F.col("mx") + cut * F.col("bw"))
     row = st.first()  # one row of statistics
+    if not row["bw"]:  # fewer than two values or no spread: the density is undefined
+        return values.sparkSession.createDataFrame([], "grid int, x double, density double")
     bw, lo, hi, n = (F.lit(row[c]) for c in ("bw", "lo", "hi", "n"))
     step = (hi - lo) / (gridsize - 1)
     g = F.col("g")

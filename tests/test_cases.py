@@ -119,3 +119,13 @@ def test_histogram_single_value(spark):
     one = spark.createDataFrame([(0.5,), (0.5,), (0.5,)], "x double")
     rows = pr.fd_histogram(one).collect()
     assert sum(r["n"] for r in rows) == 3
+
+
+def test_degenerate_inputs_do_not_divide_by_zero(spark):
+    from shopsignal.operators import evaluate as ev
+    one_class = spark.createDataFrame([(1, 0.3), (1, 0.7)], "label int, score double")
+    assert ev.auc(one_class).first()["auc"] is None
+    assert ev.r2_score(one_class).first()["r2"] is None
+    const = spark.createDataFrame([(1, 5.0), (2, 5.0)], "user_id long, v double")
+    assert [r["z_v"] for r in ev.zscore(const, ["v"]).collect()] == [None, None]
+    assert pr.kde(const.select(F.col("v").alias("x"))).count() == 0
