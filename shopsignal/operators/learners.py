@@ -61,9 +61,10 @@ def _gnb(p, **kw):
     return NaiveBayes(modelType="gaussian", **kw)
 
 
-def _lr(p, n_rows: int | None = None, **kw):
-    # M9: C = 0.1 -> regParam = 1 / (C * n); 200 iterations
-    reg = 1.0 / (0.1 * n_rows) if n_rows else 0.0
+def _lr(p, n_rows: int | None = None, C: float = 0.1, **kw):
+    # M9: inverse strength C (0.1 for the stacked learner, 1.0 by default elsewhere) ->
+    # regParam = 1 / (C * n); 200 iterations
+    reg = 1.0 / (C * n_rows) if n_rows else 0.0
     return LogisticRegression(maxIter=200 if p == "reference" else 50, regParam=reg, standardization=False, **kw)
 
 

@@ -58,7 +58,8 @@ def _split(spark, sf, size=0.25, seed=0):
 def logreg(spark, sf):
     """M9 (multinomial) + M14 on a 25 % holdout: (part, accuracy)."""
     s, _, _ = _split(spark, sf)
-    lr = make_learner("lr", n_rows=None, family="multinomial")
+    n = s.where(~F.col("is_test")).count()
+    lr = make_learner("lr", n_rows=n, C=1.0, family="multinomial")
     m = lr.fit(s.where(~F.col("is_test")))
     p = m.transform(s.where(F.col("is_test")))
     return ev.accuracy(p).withColumn("model", F.lit("logreg"))
