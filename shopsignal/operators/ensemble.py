@@ -75,7 +75,9 @@ def oof_stacking(train: DataFrame, test: DataFrame, learners: list[str], k: int
                                validationIndicatorCol="_valid", validationTol=1e-4)
             jobs.append((est, tr.withColumn("_valid", F.col("fold") == i)))
         else:
-            jobs.append((_learner(name, preset, d, n_rows, features, label), tr.where(F.col("fold") != i)))
+            # each fold model fits about (k - 1) / k of the rows (regParam = 1 / (C * n_fit))
+            jobs.append((_learner(name, preset, d, n_rows * (k - 1) // k, features, label),
+                         tr.where(F.col("fold") != i)))
     models = _fit_all(jobs, parallelism)
     oof, tst = [], []
     for (name, i), model in zip(grid, models):
