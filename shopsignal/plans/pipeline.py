@@ -30,8 +30,9 @@ NUMERIC = {"bigint", "int", "double", "float", "smallint", "tinyint"}
 
 def feature_table(spark: SparkSession, sf: str, text: bool = False) -> DataFrame:
     """User features per pair, optionally with the vocabulary TF-IDF block (joined by key, J3)."""
-    log = fx.user_log(spark, sf)
-    df = feat.user_features(fx.all_pairs(spark, sf), fx.user_info(spark, sf), log)
+    lo = fx.shared_line_orders(spark, sf)  # pairs and log both need lineitem x orders: join once
+    log = fx.user_log(spark, sf, lo)
+    df = feat.user_features(fx.all_pairs(spark, sf, lo), fx.user_info(spark, sf), log)
     if text:
         toks = tx.word_tokens(log, "seller_id")
         wide = tx.to_wide(tx.tfidf_vocab(toks, 100), tx.documents(toks), 100, "tfidf_")

@@ -93,8 +93,9 @@ FEATURE_COLS = (["user_cnt"] + NUNIQUE + TIME + MOST1 + ACTION + ["fav_seller_it
 
 
 def user_features_df(spark, sf):
-    pairs = fx.all_pairs(spark, sf)
-    return feat.user_features(pairs, fx.user_info(spark, sf), fx.user_log(spark, sf))
+    # the pairs and the log both read lineitem joined with orders: join once
+    lo = fx.shared_line_orders(spark, sf)
+    return feat.user_features(fx.all_pairs(spark, sf, lo), fx.user_info(spark, sf), fx.user_log(spark, sf, lo))
 
 
 USER_FEATURES_SQL = fx.with_fixtures(

@@ -45,16 +45,42 @@ def _orders(spark, sf_dir):
     return read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
 
 
-def user_log_all(spark: SparkSession, sf_dir: str, before_cut: bool = False) -> DataFrame:
-    """One row per order line: user_log(user_id, item_id, cat_id, seller_id, brand_id, time_stamp, action_type)."""
+def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their order's customer and date: the join both the log and the pairs need."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                     "l_returnflag", "l_linestatus")
-    o = _orders(spark, sf_dir).where(F.col("o_custkey") % 50 != 0)
-    if before_cut:
-        # same as time_stamp < CUT_DAY, but on the raw column so it is pushed to the scan
-        o = o.where(F.col("o_orderdate") < _cut_ts())
+    o = _orders(spark, sf_dir)
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "o_custkey", "o_orderdate")
+
+
+def shared_line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_orders`` computed once and checkpointed, for plans that read it twice."""
+    from shopsignal.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return line_orders(spark, sf_dir).checkpoint(eager=True)
+
+
+def user_log_all(spark: SparkSession, sf_dir: str, before_cut: bool = False,
+                 lo: DataFrame | None = None) -> DataFrame:
+    """One row per order line: user_log(user_id, item_id, cat_id, seller_id, brand_id, time_stamp, action_type).
+
+    ``lo``: a precomputed ``line_orders`` (e.g. ``shared_line_orders``) instead of joining again.
+    """
+    if lo is None:
+        li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                        "l_returnflag", "l_linestatus")
+        o = _orders(spark, sf_dir).where(F.col("o_custkey") % 50 != 0)
+        if before_cut:
+            # same as time_stamp < CUT_DAY, but on the raw column so it is pushed to the scan
+            o = o.where(F.col("o_orderdate") < _cut_ts())
+        lo = li.join(o, li.l_orderkey == o.o_orderkey)
+    else:
+        lo = lo.where(F.col("o_custkey") % 50 != 0)
+        if before_cut:
+            lo = lo.where(F.col("o_orderdate") < _cut_ts())
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    j = lo.join(p, lo.l_partkey == p.p_partkey)
     action = (F.when(F.col("l_returnflag") == "N", F.lit(CLICK))
               .when(F.col("l_returnflag") == "R", F.lit(ADD_FAV))
               .when(F.col("l_linestatus") == "O", F.lit(ADD_CART))
@@ -71,9 +97,9 @@ def user_log_all(spark: SparkSession, sf_dir: str, before_cut: bool = False) ->
     )
 
 
-def user_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_log(spark: SparkSession, sf_dir: str, lo: DataFrame | None = None) -> DataFrame:
     """History before the label period (time_stamp < CUT_DAY)."""
-    return user_log_all(spark, sf_dir, before_cut=True)
+    return user_log_all(spark, sf_dir, before_cut=True, lo=lo)
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,16 +112,18 @@ def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(g < 3, g).cast("int").alias("gender"))
 
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pairs(spark: SparkSession, sf_dir: str, lo: DataFrame | None = None) -> DataFrame:
     """(user_id, merchant_id, label): bought before the cut; label = bought again after it.
 
     One scan and one aggregation keyed by the pair, instead of two DISTINCT
     scans and a join: the partial aggregate collapses repeats map-side.
     """
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey")
-    o = _orders(spark, sf_dir)
+    if lo is None:
+        li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey")
+        o = _orders(spark, sf_dir)
+        lo = li.join(o, li.l_orderkey == o.o_orderkey)
     before = F.col("o_orderdate") < _cut_ts()
-    g = (li.join(o, li.l_orderkey == o.o_orderkey)
+    g = (lo
          .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("merchant_id"))
          .agg(F.max(before.cast("int")).alias("h"), F.max((~before).cast("int")).alias("f")))
     return g.where(F.col("h") == 1).select("user_id", "merchant_id", F.col("f").cast("int").alias("label"))
@@ -120,14 +148,14 @@ def union_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train(spark, sf_dir).unionByName(test(spark, sf_dir), allowMissingColumns=True)
 
 
-def all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_pairs(spark: SparkSession, sf_dir: str, lo: DataFrame | None = None) -> DataFrame:
     """The same rows as ``union_train_test`` from one pass over the pair aggregate.
 
     Two filtered copies of ``pairs`` would scan and aggregate the fact tables
     twice (the split filter is pushed below the aggregate, so the exchanges
     are not reused); one pass with conditional columns does not.
     """
-    p = pairs(spark, sf_dir)
+    p = pairs(spark, sf_dir, lo)
     t = _is_test(p)
     return p.select("user_id", "merchant_id",
                     F.when(~t, F.col("label")).cast("int").alias("label"),
