@@ -38,11 +38,16 @@ CLUSTER_SQL_CONF = {
 
 
 def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
-    """Set CLUSTER_SQL_CONF on a running session, leaving keys the cluster set at launch."""
+    """Set CLUSTER_SQL_CONF on a running session, leaving keys the cluster set at launch.
+
+    ``overrides`` are the caller's explicit choices and always apply.
+    """
     launch = spark.sparkContext.getConf()
-    for k, v in {**CLUSTER_SQL_CONF, **(overrides or {})}.items():
+    for k, v in CLUSTER_SQL_CONF.items():
         if not launch.contains(k):
             spark.conf.set(k, v)
+    for k, v in (overrides or {}).items():
+        spark.conf.set(k, v)
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,

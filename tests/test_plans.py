@@ -49,3 +49,15 @@ def test_no_cross_join_or_python_in_any_sql_checked_query(spark):
     rows = report(spark, SF_SMALL)
     assert [n for n, s in rows if s["cross"]] == []
     assert [n for n, s in rows if s["python"]] == []
+
+
+def test_cluster_conf_sets_runtime_sql_settings(spark):
+    from shopsignal.session import CLUSTER_SQL_CONF, apply_cluster_conf
+    before = {k: spark.conf.get(k) for k in CLUSTER_SQL_CONF}
+    try:
+        apply_cluster_conf(spark, {"spark.sql.shuffle.partitions": "7"})
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("256m", str(256 * 1024 * 1024))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
