@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopsignal.llm import exact_dedup, packing, quality, simhash, token_counts, token_files
+from shopsignal.llm import (
+    chat,
+    exact_dedup,
+    language,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    token_files,
+    vectors,
+)
 from shopsignal.llm.common import shared_path, ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,16 +60,74 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+@register("op3_language")
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op4_embeddings", """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
+SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links,
+       least(vec_id, coalesce((SELECT min(v) FROM reach WHERE u = vec_id), vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce((SELECT min(v) FROM reach WHERE u = vec_id), vec_id)) AS kept
+FROM embeddings""")
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @register("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+_ODD_TEXT = r"\### Assistant: </turn> ok"
+
+
+@register("op6_chat", rf"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '{_ODD_TEXT}'), (-7, 1, 'assistant', '{_ODD_TEXT}')),
+r AS (
+    SELECT *, '<turn ' || replace(replace(role, '~', '~0'), '>', '~1') || '>'
+        || replace(replace(replace(text, '\', '\0'), '<turn', '\1turn'), '</turn', '\1/turn') || '</turn>' || chr(10) AS s,
+        sum(length(s)) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto
+    FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(s))::BIGINT AS formatted_chars,
+       count(*) FILTER (role = 'assistant') AS n_examples,
+       coalesce(sum(upto) FILTER (role = 'assistant'), 0)::BIGINT AS example_chars
+FROM r GROUP BY conv_id""")
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-7, 0, "user", _ODD_TEXT), (-7, 1, "assistant", _ODD_TEXT)],
+                                "conv_id long, turn long, role string, text string")
+    path = shared_path(spark, "chat")
+    chat.write_formatted(given.unionByName(odd), path)
+    return chat.digest(chat.read_formatted(spark, path))
+
+
 @register("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op8_mixing")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.assign(table(spark, sf_dir, "documents"))
+
+
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
