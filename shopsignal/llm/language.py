@@ -98,6 +98,8 @@ class Codes:
     def learn(cls, counts: dict[str, np.ndarray], smooth: float = 0.5) -> Codes:
         langs = sorted(counts)
         code = codewords(len(langs))
+        if not langs:
+            return cls([], code, np.zeros((0, 0)), np.zeros(0), np.zeros(0))
         shares = []
         for lang in langs:
             c = counts[lang].reshape(len(LENGTHS), CELLS)

@@ -123,7 +123,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@register("op8_mixing")
+@register("op8_mixing", mixing.oracle_sql())
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.assign(table(spark, sf_dir, "documents"))
 
