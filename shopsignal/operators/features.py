@@ -2,20 +2,16 @@
 
 The reference folds each user's log into space-joined path strings and runs
 a Python callback per row and statistic. Here every statistic is an
-aggregate over the log itself, computed in one pass (``token_stats``):
-
-* the log is range-sorted once and each event gets a long id monotone in
-  event order (first occurrence = ``min(id)``);
-* the token columns, the time stamp and the (seller, item) favourite key are
-  stacked into a long ``(user, column, token)`` form and aggregated in two
-  levels -- per (user, column, token) [count, first occurrence], then per user
-  [distinct counts, n-th most frequent token and its count, event and action
-  counts, time min/max and exact population std from integer moments].
-
-Both levels are partial aggregates, so neither a hot user nor a hot token
-lands whole in one task, and the log (a three-way join of the fact tables)
-is computed and shuffled once. ``user_base_stats`` computes the base
-statistics directly for streams and narrow callers.
+aggregate over the log itself, and callers name the groups they need:
+
+* ``base``: event count, time max/min/std and action counts are one plain
+  aggregate per user -- no sort, no generator;
+* ``nunique``: the token columns, the time stamp and the (seller, item)
+  favourite key are stacked into ``(user, column, token)`` rows and counted in
+  two levels, so neither a hot user nor a hot token lands whole in one task;
+* ``most``: the same two levels for the n-th most frequent token. Only this
+  group needs event order: the log is range-sorted once and each event gets a
+  long id monotone in event order (first occurrence = ``min(id)``).
 """
 
 from __future__ import annotations
@@ -30,27 +26,26 @@ MISSING = -1  # value of every statistic for a user without history (N2)
 
 def user_base_stats(log: DataFrame, user: str = "user_id", ts: str = "time_stamp",
                     action: str = "action_type", compat: bool = False) -> DataFrame:
-    """A14, A16, A17, A20 directly on a log: count, max/min/population-std of time, action counts.
+    """Count, max/min/population-std of time, action counts in one aggregate.
 
-    ``token_stats`` derives the same numbers from its token counts (one pass);
-    this form serves streams and callers that need only these columns.
-
-    ``compat=True`` reproduces the reference's conditional count, which
-    returns the history length whatever the action (defect D1).
+    Times may be fractional; the std merges central moments, so large stamps
+    lose no digits. ``compat=True`` reproduces the reference's conditional
+    count, which returns the history length whatever the action (defect D1).
     """
     n = F.count(F.lit(1))
+    x = F.col(ts).cast("double")
 
     def action_count(code: str) -> Column:
         return n if compat else F.count_if(F.col(action) == code)
 
     return log.groupBy(user).agg(
         n.alias("user_cnt"),
-        F.max(ts).cast("long").alias("time_stamp_max"),
-        F.min(ts).cast("long").alias("time_stamp_min"),
-        F.stddev_pop(ts).alias("time_stamp_std"),
+        F.max(x).alias("time_stamp_max"), F.min(x).alias("time_stamp_min"),
+        F.stddev_pop(x).alias("time_stamp_std"),
         action_count(CLICK).alias("user_cnt_0"),
         action_count(ADD_CART).alias("cart_cnt"),
         action_count(BUY).alias("buy_cnt"),
+        F.count_if(F.col(action) == ADD_FAV).alias("_fav_events"),
     )
 
 
@@ -68,105 +63,60 @@ def with_event_ids(log: DataFrame, user: str = "user_id") -> DataFrame:
     return log.orderBy(*order).withColumn("_eid", F.monotonically_increasing_id())
 
 
-def _long_tokens(log: DataFrame, user: str, token_cols: dict[str, str],
-                 extra: dict[str, Column] | None = None) -> DataFrame:
-    """Stack token columns into (user, col, token, _eid) rows, nulls skipped."""
-    items = [F.struct(F.lit(name).alias("col"), F.col(c).cast("string").alias("token"))
-             for name, c in token_cols.items()]
-    for name, expr in (extra or {}).items():
-        items.append(F.struct(F.lit(name).alias("col"), expr.cast("string").alias("token")))
-    return (with_event_ids(log, user).select(F.col(user), "_eid", F.explode(F.array(*items)).alias("t"))
-            .select(user, F.col("t.col").alias("col"), F.col("t.token").alias("token"), "_eid")
+def _long_tokens(log: DataFrame, user: str, tokens: dict[str, Column], ordered: bool) -> DataFrame:
+    """Stack token columns into (user, col, token[, _eid]) rows, nulls skipped."""
+    items = [F.struct(F.lit(name).alias("col"), c.cast("string").alias("token")) for name, c in tokens.items()]
+    eid = ["_eid"] if ordered else []
+    src = with_event_ids(log, user) if ordered else log
+    return (src.select(F.col(user), *eid, F.explode(F.array(*items)).alias("t"))
+            .select(user, F.col("t.col").alias("col"), F.col("t.token").alias("token"), *eid)
             .where(F.col("token").isNotNull()))
 
 
-def token_counts(log: DataFrame, user: str = "user_id",
-                 token_cols: dict[str, str] | None = None,
-                 extra: dict[str, Column] | None = None) -> DataFrame:
-    """Level 1: (user, col, token) -> cnt, first occurrence (min event id)."""
-    token_cols = TOKEN_COLUMNS if token_cols is None else token_cols
-    return (_long_tokens(log, user, token_cols, extra)
-            .groupBy(user, "col", "token")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.min("_eid").alias("first")))
+def token_counts(log: DataFrame, user: str, tokens: dict[str, Column], ordered: bool = True) -> DataFrame:
+    """Level 1: (user, col, token) -> cnt and, if ``ordered``, first occurrence (min event id)."""
+    first = [F.min("_eid").alias("first")] if ordered else []
+    return (_long_tokens(log, user, tokens, ordered).groupBy(user, "col", "token")
+            .agg(F.count(F.lit(1)).alias("cnt"), *first))
 
 
-def _exact_std_pop(n: Column, s1: Column, s2: Column) -> Column:
-    """Population std from integer moments: sqrt((n*s2 - s1^2) / n^2), numerator exact in decimal."""
-    d = "decimal(38,0)"
-    num = n.cast(d) * s2.cast(d) - s1.cast(d) * s1.cast(d)
-    return F.when(n > 0, F.sqrt(num.cast("double") / (n.cast("double") * n.cast("double"))))
+def _favourite() -> Column:
+    """The (seller, item) key of a favourite event, else null."""
+    return F.when(F.col("action_type") == ADD_FAV,
+                  F.concat_ws("_", F.col("seller_id").cast("string"), F.col("item_id").cast("string")))
 
 
-def token_stats(log: DataFrame, user: str = "user_id", n: int = 1,
-                token_cols: dict[str, str] | None = None, compat: bool = False) -> DataFrame:
-    """All per-user statistics from one pass over the log.
+def token_stats(log: DataFrame, user: str = "user_id", n: int = 1, token_cols: dict[str, str] | None = None,
+                nunique: bool = True, most: bool = True) -> DataFrame:
+    """A15, A18, A19, A21 per user from one pass over the log.
 
-    Output per user: ``<name>_nunique``, ``<name>_most_<n>`` (string token) and
-    ``<name>_most_cnt_<n>``, ``time_stamp_nunique``, ``fav_seller_item_nunique``
-    (distinct (seller, item) among favourite events), and the base statistics
-    ``user_cnt``, ``time_stamp_max/min/std``, ``user_cnt_0``, ``cart_cnt``,
-    ``buy_cnt``. The base statistics come from the per-token counts (event
-    count = sum of time-stamp token counts; action counts = action token
-    counts; time moments from (time, count) pairs, exact in integers), so the
-    log is read and shuffled once. Most-n ties go to the token seen first in
-    event order (N5).
+    ``<name>_nunique`` of every token column, of ``time_stamp`` and of the
+    favourite (seller, item) keys; ``<name>_most_<n>`` (string token) and
+    ``<name>_most_cnt_<n>``. Ties go to the token seen first in event order (N5).
     """
     token_cols = TOKEN_COLUMNS if token_cols is None else token_cols
-    ts = F.col("time_stamp")
-    extra = {
-        "time_stamp": ts,
-        "_ts_null": F.when(ts.isNull(), F.lit("")),  # events without a time still count
-        "fav_seller_item": F.when(F.col("action_type") == ADD_FAV,
-                                  F.concat_ws("_", F.col("seller_id").cast("string"),
-                                              F.col("item_id").cast("string"))),
-    }
-    if "action_type" not in token_cols:
-        extra["action_type"] = F.col("action_type")
-    lvl1 = token_counts(log, user, token_cols, extra)
+    tokens = {name: F.col(c) for name, c in token_cols.items()}
+    if nunique:
+        tokens |= {"time_stamp": F.col("time_stamp"), "fav_seller_item": _favourite()}
+    lvl1 = token_counts(log, user, tokens, ordered=most)
     col, tok, cnt = F.col("col"), F.col("token"), F.col("cnt")
-    is_ts = col == "time_stamp"
-    x = F.when(is_ts, tok.cast("long"))
-    n_ts = F.sum(F.when(is_ts, cnt))
-    events = F.sum(F.when(col.isin("time_stamp", "_ts_null"), cnt))
-
-    def action_count(code: str) -> Column:
-        return events if compat else F.coalesce(
-            F.sum(F.when((col == "action_type") & (tok == code), cnt)), F.lit(0)).cast("long")
-
-    aggs = [events.cast("long").alias("user_cnt"),
-            F.max(x).alias("time_stamp_max"), F.min(x).alias("time_stamp_min"),
-            _exact_std_pop(n_ts, F.sum(x * cnt), F.sum(x.cast("decimal(38,0)") * x * cnt)).alias("time_stamp_std"),
-            action_count(CLICK).alias("user_cnt_0"), action_count(ADD_CART).alias("cart_cnt"),
-            action_count(BUY).alias("buy_cnt"),
-            F.coalesce(F.sum(F.when((col == "action_type") & (tok == ADD_FAV), cnt)), F.lit(0))
-             .alias("_fav_events")]
-    for name in list(token_cols) + ["time_stamp", "fav_seller_item"]:
-        aggs.append(F.count_if(col == name).alias(f"{name}_nunique"))
-    # preference key: higher count first, then earlier first occurrence
-    pref = F.struct((-cnt).alias("negcnt"), F.col("first").alias("first"))
+    if not most:
+        return lvl1.groupBy(user).agg(*[F.count_if(col == name).alias(f"{name}_nunique") for name in tokens])
+    aggs = [F.count_if(col == name).alias(f"{name}_nunique") for name in tokens] if nunique else []
     if n == 1:
-        # n = 1: the best token is a min_by aggregate -- no sort, no window
+        # the best token is a min_by aggregate: higher count first, then earlier first occurrence
+        pref = F.struct((-cnt).alias("negcnt"), F.col("first").alias("first"))
         for name in token_cols:
             sel = col == name
             aggs.append(F.min_by(F.when(sel, tok), F.when(sel, pref)).alias(f"{name}_most_1"))
             aggs.append(F.min_by(F.when(sel, cnt), F.when(sel, pref)).alias(f"{name}_most_cnt_1"))
-        out = lvl1.groupBy(user).agg(*aggs)
-    else:
-        out = lvl1.groupBy(user).agg(*aggs)
-        w = Window.partitionBy(user, "col").orderBy(F.col("cnt").desc(), F.col("first").asc())
-        nth = (lvl1.where(col.isin(list(token_cols)))
-               .withColumn("rn", F.row_number().over(w)).where(F.col("rn") == n))
-        piv = nth.groupBy(user).agg(*[
-            F.max(F.when(F.col("col") == name, F.col(c))).alias(f"{name}_{lab}_{n}")
-            for name in token_cols for c, lab in (("token", "most"), ("cnt", "most_cnt"))])
-        out = out.join(piv, user, "left")
-    if compat:
-        # The reference also counts the empty key once when some event is not a favourite
-        out = out.withColumn(
-            "fav_seller_item_nunique",
-            F.col("fav_seller_item_nunique")
-            + F.when(F.col("user_cnt") > F.col("_fav_events"), 1).otherwise(0))
-    return out.drop("_fav_events")
+        return lvl1.groupBy(user).agg(*aggs)
+    # Spark keeps at most n rows per (user, column) on both sides of the shuffle (window group limit)
+    w = Window.partitionBy(user, "col").orderBy(cnt.desc(), F.col("first").asc())
+    nth = (lvl1.where(col.isin(list(token_cols))).withColumn("rn", F.row_number().over(w)).where(F.col("rn") == n)
+           .groupBy(user).agg(*[F.max(F.when(col == name, F.col(c))).alias(f"{name}_{lab}_{n}")
+                                for name in token_cols for c, lab in (("token", "most"), ("cnt", "most_cnt"))]))
+    return lvl1.groupBy(user).agg(*aggs).join(nth, user, "left") if nunique else nth
 
 
 def with_missing_defaults(df: DataFrame, n: int = 1, token_cols=None) -> DataFrame:
@@ -175,9 +125,9 @@ def with_missing_defaults(df: DataFrame, n: int = 1, token_cols=None) -> DataFra
     repl = {}
     for c in df.columns:
         if c.endswith("_nunique") or c.endswith(f"_most_cnt_{n}") or c in (
-                "user_cnt", "time_stamp_max", "time_stamp_min", "user_cnt_0", "cart_cnt", "buy_cnt"):
+                "user_cnt", "user_cnt_0", "cart_cnt", "buy_cnt"):
             repl[c] = F.coalesce(F.col(c).cast("long"), F.lit(MISSING).cast("long"))
-        elif c == "time_stamp_std":
+        elif c in ("time_stamp_std", "time_stamp_max", "time_stamp_min"):
             repl[c] = F.coalesce(F.col(c), F.lit(float(MISSING)))
         elif c.endswith(f"_most_{n}") and c[: -len(f"_most_{n}")] in token_cols:
             repl[c] = F.coalesce(F.col(c), F.lit(str(MISSING)))
@@ -187,9 +137,26 @@ def with_missing_defaults(df: DataFrame, n: int = 1, token_cols=None) -> DataFra
     return out
 
 
-def user_stats(log: DataFrame, n: int = 1, compat: bool = False) -> DataFrame:
-    """All per-user statistics, one row per user with history (one pass over the log)."""
-    return token_stats(log, n=n, compat=compat)
+GROUPS = ("base", "nunique", "most")
+
+
+def user_stats(log: DataFrame, n: int = 1, compat: bool = False, groups=GROUPS) -> DataFrame:
+    """Per-user statistics, one row per user with history; only the named ``groups`` are computed."""
+    parts = []
+    if "base" in groups or compat:
+        parts.append(user_base_stats(log, compat=compat))
+    if "nunique" in groups or "most" in groups:
+        parts.append(token_stats(log, n=n, nunique="nunique" in groups, most="most" in groups))
+    out = parts[0]
+    for p in parts[1:]:
+        # a user whose tokens are all null has base statistics only
+        out = out.join(p, "user_id", "left")
+        out = out.fillna(0, subset=[c for c in p.columns if c.endswith("_nunique")])
+    if compat and "nunique" in groups:
+        # The reference also counts the empty key once when some event is not a favourite
+        out = out.withColumn("fav_seller_item_nunique", F.col("fav_seller_item_nunique")
+                             + F.when(F.col("user_cnt") > F.col("_fav_events"), 1).otherwise(0))
+    return out.drop("_fav_events")
 
 
 def user_features(pairs: DataFrame, info: DataFrame, log: DataFrame, n: int = 1,

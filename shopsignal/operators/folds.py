@@ -5,16 +5,21 @@ in the same fold, whatever the partitioning (``randomSplit`` depends on the
 partition layout, so it is not used). Fold sizes follow the reference's
 splitters exactly: K-fold blocks of n//k (+1 for the first n%k folds) over
 the shuffled order; stratified folds use the per-class allocation of a
-round-robin over the label-sorted rows. Positions come from the skew-safe
-ranking helpers, never from an unpartitioned window.
+round-robin over the label-sorted rows. A fold is a range of that order, so
+only the order's values at the k - 1 fold borders are looked up (from counts
+per digest prefix); the fold is then a column expression, and no row with its
+feature vector is sorted, shuffled or written. Keys are unique; rows that
+share a key share a fold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsignal.plans.ranking import with_global_position, with_group_position
+from shopsignal.plans.ranking import order_cuts, with_global_position
 
 KEYS = ("user_id", "merchant_id")
 
@@ -23,65 +28,67 @@ def shuffle_key(keys=KEYS, seed: int | str = 0) -> Column:
     return F.md5(F.concat_ws("_", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def _order(keys, seed, shuffle):
-    return [shuffle_key(keys, seed)] if shuffle else [F.col(k) for k in keys]
+def _starts(n: int, k: int) -> list[int]:
+    """First positions of folds 1 .. k - 1: blocks of n // k, one more in the first n % k."""
+    q, r = divmod(n, k)
+    return [i * q + min(i, r) for i in range(1, k)]
+
+
+def _fold_of(h: Column, cuts: list, name: str) -> Column:
+    """The number of fold borders at or before ``h``."""
+    return sum(((h >= c).cast("int") for c in cuts if c is not None), F.lit(0)).cast("int").alias(name)
 
 
-def _block(p0: Column, n: Column, k: int) -> Column:
-    q = F.floor(n / k)
-    r = n % k
-    big = r * (q + 1)
-    return F.when(p0 < big, F.floor(p0 / (q + 1))).otherwise(r + F.floor((p0 - big) / q)).cast("int")
+def _key_cuts(df: DataFrame, keys, positions: list[int]) -> list[Column | None]:
+    """The key at each 0-based position of the order by key (only keys are ranked)."""
+    pos = with_global_position(df.select(*keys), [F.col(c) for c in keys], "_p")
+    want = [p + 1 for p in positions]
+    at = {r["_p"]: r for r in pos.where(F.col("_p").isin(want)).collect()}  # k - 1 rows
+    return [F.struct(*[F.lit(at[p][c]).alias(c) for c in keys]) if p in at else None for p in want]
 
 
-def _max_pos(pos: DataFrame, col: str) -> int:
-    """Row count read from numbered rows (their lineage starts at a checkpoint): no rerun of the input."""
-    return pos.agg(F.max(col)).first()[0] or 0
+def _cuts(df: DataFrame, keys, seed, shuffle: bool, positions: list[int]) -> tuple[Column, list]:
+    if shuffle:
+        h = shuffle_key(keys, seed)
+        return h, order_cuts(df, h, positions)
+    return F.struct(*[F.col(c) for c in keys]), _key_cuts(df, keys, positions)
 
 
 def kfold(df: DataFrame, k: int = 5, keys=KEYS, seed: int = 0, shuffle: bool = True,
           name: str = "fold") -> DataFrame:
     """K1 (shuffle=True) / K2 (contiguous blocks in key order)."""
-    pos = with_global_position(df, _order(keys, seed, shuffle), "_p")
-    n = F.lit(_max_pos(pos, "_p"))
-    return pos.withColumn(name, _block(F.col("_p") - 1, n, k)).drop("_p")
+    h, cuts = _cuts(df, keys, seed, shuffle, _starts(df.count(), k))
+    return df.select("*", _fold_of(h, cuts, name))
 
 
 def stratified_kfold(df: DataFrame, k: int = 5, label: str = "label", keys=KEYS, seed: int = 1,
                      shuffle: bool = True, name: str = "fold") -> DataFrame:
     """K3: per-class contiguous blocks whose sizes follow a round-robin over label-sorted rows."""
-    pos = with_group_position(df, [label], _order(keys, seed, shuffle), "_q")
-    # class sizes from the numbered rows (checkpointed), not another pass over the input
-    cls = pos.groupBy(label).agg(F.max("_q").alias("_nc"))
-    # #classes rows: a single-task window and a broadcast bounded by the class count
-    cls = cls.withColumn("_start", F.coalesce(F.sum("_nc").over(
-        Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    cls = cls.withColumn("_end", F.col("_start") + F.col("_nc"))
-
-    def upto(x, i):  # rows p in [0, x) with p % k == i
-        return F.floor((x - F.lit(i) + F.lit(k - 1)) / k)
-
-    alloc = [upto(F.col("_end"), i) - upto(F.col("_start"), i) for i in range(k)]
-    bounds = F.array(*[sum(alloc[: i + 1], F.lit(0)) for i in range(k)])
-    cls = cls.select(label, bounds.alias("_hi"))
-    out = pos.join(F.broadcast(cls), label)
-    fold = F.size(F.filter("_hi", lambda b: b <= F.col("_q") - 1))
-    return out.withColumn(name, fold.cast("int")).drop("_q", "_hi")
+    sizes = sorted((r[label], r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect())
+    fold, start = F.lit(None).cast("int"), 0
+    for value, n in sizes:  # one pass per class
+        upto = lambda x, i: (x - i + k - 1) // k  # noqa: E731  rows p in [0, x) with p % k == i
+        parts = [upto(start + n, i) - upto(start, i) for i in range(k)]
+        h, cuts = _cuts(df.where(F.col(label) == F.lit(value)), keys, seed, shuffle,
+                        [sum(parts[:i]) for i in range(1, k)])
+        fold = F.when(F.col(label) == F.lit(value), _fold_of(h, cuts, "f")).otherwise(fold)
+        start += n
+    return df.select("*", fold.alias(name))
 
 
 def train_test_split(df: DataFrame, test_size: float = 0.25, keys=KEYS, seed: int = 0,
                      name: str = "is_test") -> DataFrame:
     """K5: the first ceil(test_size * n) rows in md5(key, seed) order are the test part."""
-    pos = with_global_position(df, _order(keys, seed, True), "_p")
-    n = F.lit(_max_pos(pos, "_p"))
-    return pos.withColumn(name, F.col("_p") <= F.ceil(n * F.lit(float(test_size)))).drop("_p")
+    h, (cut,) = _cuts(df, keys, seed, True, [math.ceil(df.count() * test_size)])
+    return df.withColumn(name, F.lit(True) if cut is None else h < cut)
 
 
 def shuffle_split(df: DataFrame, n_splits: int = 5, test_size: float = 0.3, keys=KEYS,
                   name: str = "is_test") -> DataFrame:
     """K4: ``n_splits`` independent train/test splits (``repeat`` = seed)."""
-    rep = df.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("repeat"))
-    h = F.md5(F.concat_ws("_", *[F.col(c).cast("string") for c in keys], F.col("repeat").cast("string")))
-    pos = with_group_position(rep.withColumn("_h", h), ["repeat"], [F.col("_h")], "_p").drop("_h")
-    n = F.lit(pos.where(F.col("repeat") == 0).agg(F.max("_p")).first()[0] or 0)
-    return pos.withColumn(name, F.col("_p") <= F.ceil(n * F.lit(float(test_size)))).drop("_p")
+    at = [math.ceil(df.count() * test_size)]
+    parts = []
+    for r in range(n_splits):
+        h, (cut,) = _cuts(df, keys, r, True, at)
+        parts.append(F.struct(F.lit(r).alias("repeat"), (F.lit(True) if cut is None else h < cut).alias(name)))
+    return df.select(*keys, F.explode(F.array(*parts)).alias("_s")).select(*keys, "_s.*")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsignal.functions.stats import filliben_sql, norm_ppf_sql
-from shopsignal.plans.ranking import exact_quantiles, with_global_position
+from shopsignal.plans.ranking import exact_quantiles, value_positions
 from shopsignal.session import ensure_checkpoint_dir
 
 
@@ -180,17 +180,24 @@ def kde(values: DataFrame, x: str = "x", gridsize: int = 100, cut: float = 3.0)
     bw, lo, hi, n = (F.lit(row[c]) for c in ("bw", "lo", "hi", "n"))
     step = (hi - lo) / (gridsize - 1)
     g = F.col("g")
-    contrib = values.select(F.col(x).alias("v"), F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("g"))
+    # distinct values first: the generator runs once per value, not once per row
+    distinct = values.where(F.col(x).isNotNull()).groupBy(F.col(x).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    contrib = distinct.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("g"))
     z = ((lo + g * step) - F.col("v")) / bw
-    dens = contrib.groupBy("g").agg(F.sum(F.exp(-0.5 * z * z)).alias("s"))
+    dens = contrib.groupBy("g").agg(F.sum(F.exp(-0.5 * z * z) * F.col("c")).alias("s"))
     return dens.select(F.col("g").cast("int").alias("grid"), (lo + g * step).alias("x"),
                        (F.col("s") / (n * bw * F.sqrt(F.lit(2 * 3.141592653589793)))).alias("density"))
 
 
 def probplot_points(values: DataFrame, x: str = "x") -> DataFrame:
     """DA4: ordered values with Filliben plotting positions and normal quantiles."""
-    pos = with_global_position(values.select(x), [F.col(x).asc()], "i")
-    n = F.lit(pos.count())
+    v = value_positions(values, x)
+    n = F.lit(v.agg(F.max("_upto")).first()[0] or 0)
+    # ranks of a value in slices of 10,000, dealt over tasks: a value that fills the table is not one task's work
+    lo = F.col("_upto") - F.col("_n") + 1
+    slices = v.select("_x", "_upto", F.explode(F.sequence(lo, F.col("_upto"), F.lit(10_000).cast("long"))).alias("a"))
+    pos = slices.repartition("_x", "a").select(
+        F.col("_x").alias(x), F.explode(F.sequence("a", F.least(F.col("a") + 9_999, F.col("_upto")))).alias("i"))
     m = F.expr(filliben_sql("i", "n"))
     return (pos.withColumn("n", n).withColumn("m", m)
             .select(F.col("i").alias("rank"), F.col(x).alias("value"),

@@ -141,7 +141,7 @@ def main(argv=None):
     ap.add_argument("--preset", default="small")
     ap.add_argument("--text", action="store_true", help="add the vocabulary TF-IDF block to the features")
     a = ap.parse_args(argv)
-    spark = SparkSession.getActiveSession() or build_session()
+    spark = SparkSession.getActiveSession() or build_session(master=None)
     run(spark, a.sf, preset=a.preset, out_dir=a.out, text=a.text)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shopsignal.functions.stats import softmax2
 from shopsignal.operators import features as feat
 from shopsignal.plans.registry import register, rounded
 from shopsignal.plans.sqltext import defaults_select, ustats_ctes
@@ -17,15 +18,15 @@ def _dbl(df, *cols):
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
 
-@register("scan_log", sql=fx.with_fixtures("SELECT * FROM user_log"))
+@register("scan_log", sql=fx.with_fixtures("SELECT * FROM user_log_all"))
 def scan_log(spark, sf):
-    return fx.user_log(spark, sf)
+    return fx.user_log_all(spark, sf)
 
 
 @register("union_pairs", sql=fx.with_fixtures(
     "SELECT user_id, merchant_id, CAST(label AS DOUBLE) AS label, prob FROM all_pairs"))
 def union_pairs(spark, sf):
-    return _dbl(fx.union_train_test(spark, sf), "label")
+    return _dbl(fx.all_pairs(spark, sf), "label")
 
 
 @register("pairs_with_profile", sql=fx.with_fixtures(
@@ -42,17 +43,15 @@ def pairs_with_profile(spark, sf):
     "CASE WHEN label IS NULL THEN 'unlabelled' ELSE 'labelled' END AS part FROM all_pairs"))
 def label_split(spark, sf):
     """PF5: the labelled (train) / unlabelled (test) split on a null label."""
-    p = fx.all_pairs(spark, sf)
-    lab = p.where(F.col("label").isNotNull()).withColumn("part", F.lit("labelled"))
-    unl = p.where(F.col("label").isNull()).withColumn("part", F.lit("unlabelled"))
-    return _dbl(lab.unionByName(unl), "label")
+    part = F.when(F.col("label").isNull(), "unlabelled").otherwise("labelled")
+    return _dbl(fx.all_pairs(spark, sf).withColumn("part", part), "label")
 
 
 # ---------------------------------------------------------------- A14-A21 per user
 
-def _per_user(spark, sf, cols, n=1, compat=False):
+def _per_user(spark, sf, cols, n=1, compat=False, groups=feat.GROUPS):
     users = fx.user_info(spark, sf).select("user_id")
-    stats = feat.user_stats(fx.user_log(spark, sf), n=n, compat=compat)
+    stats = feat.user_stats(fx.user_log(spark, sf), n=n, compat=compat, groups=groups)
     out = feat.with_missing_defaults(users.join(stats, "user_id", "left"), n=n)
     return rounded(out.select("user_id", *cols))
 
@@ -71,20 +70,29 @@ MOST2 = [f"{k}_most_2" for k in fx.TOKEN_COLUMNS] + [f"{k}_most_cnt_2" for k in
 ACTION = ["user_cnt_0", "cart_cnt", "buy_cnt"]
 
 
-def _reg_per_user(name, cols, n=1, compat=False):
+def _reg_per_user(name, cols, group, n=1, compat=False):
     register(name, sql=_per_user_sql(cols, n, compat))(
-        lambda spark, sf: _per_user(spark, sf, cols, n, compat))
-
-
-_reg_per_user("user_cnt", ["user_cnt"])
-_reg_per_user("user_nunique", NUNIQUE)
-_reg_per_user("user_time_stats", TIME)
-_reg_per_user("user_most_n", MOST1)
-_reg_per_user("user_most_n_cnt", MOST2, n=2)
-_reg_per_user("user_action_cnt", ACTION)
-_reg_per_user("user_action_cnt_compat", ACTION, compat=True)
-_reg_per_user("user_action_nunique", ["fav_seller_item_nunique"])
-_reg_per_user("user_action_nunique_compat", ["fav_seller_item_nunique"], compat=True)
+        lambda spark, sf: _per_user(spark, sf, cols, n, compat, (group,)))
+
+
+_reg_per_user("user_cnt", ["user_cnt"], "base")
+_reg_per_user("user_nunique", NUNIQUE, "nunique")
+_reg_per_user("user_time_stats", TIME, "base")
+_reg_per_user("user_most_n", MOST1, "most")
+_reg_per_user("user_most_n_cnt", MOST2, "most", n=2)
+_reg_per_user("user_action_cnt", ACTION, "base")
+_reg_per_user("user_action_cnt_compat", ACTION, "base", compat=True)
+_reg_per_user("user_action_nunique", ["fav_seller_item_nunique"], "nunique")
+_reg_per_user("user_action_nunique_compat", ["fav_seller_item_nunique"], "nunique", compat=True)
+
+
+@register("softmax_actions", sql=fx.with_fixtures(
+    "SELECT user_id, ROUND(exp(c * 0.1e0) / (exp(c * 0.1e0) + exp(b * 0.1e0)), 6) AS p_cart FROM (SELECT user_id, "
+    "count_if(action_type = '1') AS c, count_if(action_type = '2') AS b FROM user_log GROUP BY user_id)"))
+def softmax_actions(spark, sf):
+    """softmax of two scores, here a tenth of a user's cart and buy counts."""
+    s = feat.user_base_stats(fx.user_log(spark, sf))
+    return rounded(s.select("user_id", softmax2(F.col("cart_cnt") * 0.1, F.col("buy_cnt") * 0.1).alias("p_cart")))
 
 
 # ---------------------------------------------------------------- full feature table

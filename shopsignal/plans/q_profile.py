@@ -25,16 +25,16 @@ TRAIN_INFO = "train_info AS (SELECT t.*, i.age_range, i.gender FROM train t LEFT
 
 
 @register("null_counts", sql=W("SELECT " + ", ".join(
-    f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}_nulls" for c in fx.LOG_COLUMNS) + " FROM user_log"))
+    f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}_nulls" for c in fx.LOG_COLUMNS) + " FROM user_log_all"))
 def null_counts(spark, sf):
-    return pr.null_counts(fx.user_log(spark, sf))
+    return pr.null_counts(fx.user_log_all(spark, sf))
 
 
 @register("table_info", sql=W(" UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", any_value(typeof({c})) AS dtype, count({c}) AS non_null FROM user_log"
+    f"SELECT '{c}' AS \"column\", any_value(typeof({c})) AS dtype, count({c}) AS non_null FROM user_log_all"
     for c in fx.LOG_COLUMNS)))
 def table_info(spark, sf):
-    return pr.table_info(fx.user_log(spark, sf))
+    return pr.table_info(fx.user_log_all(spark, sf))
 
 
 @register("unknown_ratio", sql=W(
@@ -232,9 +232,9 @@ def narrow_plan(spark, sf):
 
 @register("category_codes", sql=W(
     "SELECT cat_id, CAST(dense_rank() OVER (ORDER BY cat_id) - 1 AS BIGINT) AS code "
-    "FROM (SELECT DISTINCT cat_id FROM user_log WHERE cat_id IS NOT NULL)"))
+    "FROM (SELECT DISTINCT cat_id FROM user_log_all WHERE cat_id IS NOT NULL)"))
 def category_codes(spark, sf):
-    return with_dense_codes(fx.user_log(spark, sf), "cat_id", "code")
+    return with_dense_codes(fx.user_log_all(spark, sf), "cat_id", "code")
 
 
 SAN_RAW = ("CASE WHEN event_type = 'error' THEN CAST('NaN' AS DOUBLE) "

@@ -83,21 +83,59 @@ def with_prefix_sum(df: DataFrame, order: list, value: str, name: str = "cum",
             .drop("_pid", "_rid", "_off"))
 
 
+def value_positions(df: DataFrame, x: str) -> DataFrame:
+    """Distinct values of ``x`` with their count and last position: (_x, _n, _upto).
+
+    Equal values are combined before the range sort, so a value that makes up
+    most rows is one row here and not one task.
+    """
+    v = df.select(F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    return with_prefix_sum(v.groupBy("_x").agg(F.count(F.lit(1)).alias("_n")), [F.col("_x").asc()], "_n", "_upto")
+
+
 def exact_quantiles(df: DataFrame, x: str, probs: list[float], prefix: str = "q") -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics (h = (n - 1) p).
 
-    The values are range-sorted and numbered (no single task holds them all);
-    only the at most 2 * len(probs) rows at the needed positions are read
-    back. Output: one row with ``{prefix}0 .. {prefix}{k-1}``.
+    Order statistics are read off the running counts of the distinct values.
+    Output: one row with ``{prefix}0 .. {prefix}{k-1}``.
     """
-    v = df.select(F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    pos = with_global_position(v, [F.col("_x").asc()], "_i")
-    n = F.lit(pos.agg(F.max("_i")).first()[0] or 0)  # from the checkpointed rows
+    pos = value_positions(df, x)
+    n = F.lit(pos.agg(F.max("_upto")).first()[0] or 0)  # from the checkpointed rows
     aggs = []
     for j, p in enumerate(probs):
         h = (n - 1) * F.lit(float(p))
         lo = F.floor(h)
-        a = F.max(F.when(F.col("_i") == lo + 1, F.col("_x")))
-        b = F.max(F.when(F.col("_i") == lo + 2, F.col("_x")))
+        # the value at 1-based position i is the smallest one whose running count reaches i
+        a = F.min(F.when(F.col("_upto") >= lo + 1, F.col("_x")))
+        b = F.min(F.when(F.col("_upto") >= lo + 2, F.col("_x")))
         aggs.append((a + (h - lo) * (F.coalesce(b, a) - a)).alias(f"{prefix}{j}"))
     return pos.agg(*aggs)
+
+
+def order_cuts(df: DataFrame, key: Column, positions: list[int], step: int = 4, most: int = 10_000) -> list[str | None]:
+    """The hex-digest ``key`` of the row at each 0-based position of the order by ``key``.
+
+    Counts per prefix of ``step`` digits (at most 16 ** step rows) locate each
+    position; its bucket is then counted by the next digits, until it has at
+    most ``most`` rows. No rows are sorted or moved. None beyond the last row.
+    """
+    keys = df.select(key.alias("k"))
+
+    def find(prefix: str, at: int, hist: list) -> str | None:
+        for p, c in hist:
+            if at < c:
+                if c <= most or len(p) >= 32:
+                    rows = keys.where(F.col("k").startswith(p)).orderBy("k").limit(at + 1)
+                    return rows.agg(F.max("k")).first()[0]
+                return find(p, at, _histogram(keys, p, step))
+            at -= c
+        return None
+
+    top = _histogram(keys, "", step)
+    return [find("", at, top) for at in positions]
+
+
+def _histogram(keys: DataFrame, prefix: str, step: int) -> list:
+    k = keys.where(F.col("k").startswith(prefix)) if prefix else keys
+    h = k.groupBy(F.substring("k", 1, len(prefix) + step).alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    return sorted((r["p"], r["c"]) for r in h.collect())  # at most 16 ** step rows

@@ -42,10 +42,4 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from shopsignal.plans import q_features  # noqa: F401
-    for mod in ("q_profile", "q_history", "q_text", "q_folds", "q_eval", "q_models"):
-        try:
-            __import__(f"shopsignal.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if mod not in str(e):
-                raise
+    from shopsignal.plans import q_eval, q_features, q_folds, q_history, q_models, q_profile, q_text  # noqa: F401

@@ -36,7 +36,7 @@ ubase AS (
     count(DISTINCT seller_id) AS seller_nunique, count(DISTINCT cat_id) AS cat_nunique,
     count(DISTINCT brand_id) AS brand_nunique, count(DISTINCT item_id) AS item_nunique,
     count(DISTINCT time_stamp) AS time_stamp_nunique, count(DISTINCT action_type) AS action_type_nunique,
-    CAST(max(time_stamp) AS BIGINT) AS time_stamp_max, CAST(min(time_stamp) AS BIGINT) AS time_stamp_min,
+    CAST(max(time_stamp) AS DOUBLE) AS time_stamp_max, CAST(min(time_stamp) AS DOUBLE) AS time_stamp_min,
     stddev_pop(time_stamp) AS time_stamp_std,
     {acts},
     {fav}
@@ -58,12 +58,12 @@ ustats AS (SELECT b.*, {", ".join(f"t.{k}_most_{n}, t.{k}_most_cnt_{n}" for k in
 def defaults_select(prefix: str = "s", n: int = 1) -> str:
     """SELECT list applying the -1 defaults (N2) and range after defaults."""
     longs = ["user_cnt", "seller_nunique", "cat_nunique", "brand_nunique", "item_nunique",
-             "time_stamp_nunique", "action_type_nunique", "time_stamp_max", "time_stamp_min",
+             "time_stamp_nunique", "action_type_nunique",
              "user_cnt_0", "cart_cnt", "buy_cnt", "fav_seller_item_nunique"]
     longs += [f"{k}_most_cnt_{n}" for k in TOKEN_SQL]
     parts = [f"CAST(COALESCE({prefix}.{c}, -1) AS BIGINT) AS {c}" for c in longs]
     parts.append(f"ROUND(COALESCE({prefix}.time_stamp_std, -1.0), 6) AS time_stamp_std")
-    parts.append(f"CAST(COALESCE({prefix}.time_stamp_max, -1) - COALESCE({prefix}.time_stamp_min, -1) AS BIGINT)"
-                 " AS time_stamp_range")
+    parts += [f"COALESCE({prefix}.time_stamp_{m}, -1.0) AS time_stamp_{m}" for m in ("max", "min")]
+    parts.append(f"COALESCE({prefix}.time_stamp_max, -1.0) - COALESCE({prefix}.time_stamp_min, -1.0) AS time_stamp_range")
     parts += [f"COALESCE({prefix}.{k}_most_{n}, '-1') AS {k}_most_{n}" for k in TOKEN_SQL]
     return ",\n  ".join(parts)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,22 +49,28 @@ def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> No
         spark.conf.set(k, v)
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
                   app: str = "shopsignal", extra: dict | None = None) -> SparkSession:
-    """Local session for tests and the bench; on a cluster use the provided one."""
-    b = SparkSession.builder.master(master).appName(app)
+    """Local session for tests and the bench.
+
+    ``master=None`` leaves the master, the shuffle partitions and the checkpoint folder to the
+    launcher (spark-submit) and applies the cluster settings that it has not set.
+    """
+    local = master is not None and master.startswith("local")
+    b = SparkSession.builder.appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    if master is not None:
+        b = b.master(master)
+    if local:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf["spark.driver.memory"] = "16g"
     conf.update(extra or {})
-    if "spark.checkpoint.dir" not in conf:
-        # Local runs only: a private scratch folder. On a cluster the shared
-        # folder comes from the cluster's own spark.checkpoint.dir.
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="shopsignal-ckpt-")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local["):
+        apply_cluster_conf(spark, extra)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -81,16 +86,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local[") and sc.master != "local":
             # a driver-local folder is invisible to executors: the cluster must name a shared one
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/DBFS)")
         d = tempfile.mkdtemp(prefix="shopsignal-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)

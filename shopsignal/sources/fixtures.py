@@ -70,15 +70,13 @@ def user_log_all(spark: SparkSession, sf_dir: str, before_cut: bool = False,
     if lo is None:
         li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                         "l_returnflag", "l_linestatus")
-        o = _orders(spark, sf_dir).where(F.col("o_custkey") % 50 != 0)
+        o = _orders(spark, sf_dir)
         if before_cut:
             # same as time_stamp < CUT_DAY, but on the raw column so it is pushed to the scan
             o = o.where(F.col("o_orderdate") < _cut_ts())
         lo = li.join(o, li.l_orderkey == o.o_orderkey)
-    else:
-        lo = lo.where(F.col("o_custkey") % 50 != 0)
-        if before_cut:
-            lo = lo.where(F.col("o_orderdate") < _cut_ts())
+    elif before_cut:
+        lo = lo.where(F.col("o_orderdate") < _cut_ts())
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_type", "p_brand")
     j = lo.join(p, lo.l_partkey == p.p_partkey)
     action = (F.when(F.col("l_returnflag") == "N", F.lit(CLICK))
@@ -143,13 +141,8 @@ def test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.where(_is_test(p)).select("user_id", "merchant_id", F.lit(None).cast("double").alias("prob"))
 
 
-def union_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train.append(test) -- union by name; label null on test rows, prob null on train rows."""
-    return train(spark, sf_dir).unionByName(test(spark, sf_dir), allowMissingColumns=True)
-
-
 def all_pairs(spark: SparkSession, sf_dir: str, lo: DataFrame | None = None) -> DataFrame:
-    """The same rows as ``union_train_test`` from one pass over the pair aggregate.
+    """Train.append(test) in one pass -- label null on test rows, prob null on train rows.
 
     Two filtered copies of ``pairs`` would scan and aggregate the fact tables
     twice (the split filter is pushed below the aggregate, so the exchanges
@@ -172,8 +165,7 @@ user_log_all AS (
     CAST((year(o_orderdate) - 1995) * 372 + (month(o_orderdate) - 1) * 31 + day(o_orderdate) AS INT) AS time_stamp,
     CASE WHEN l_returnflag = 'N' THEN '0' WHEN l_returnflag = 'R' THEN '3'
          WHEN l_linestatus = 'O' THEN '1' ELSE '2' END AS action_type
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  WHERE o_custkey % 50 <> 0),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 user_log AS (SELECT * FROM user_log_all WHERE time_stamp < 1489),
 user_info AS (
   SELECT c_custkey AS user_id,
