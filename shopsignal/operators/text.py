@@ -26,6 +26,10 @@ from shopsignal.operators.history import user_paths
 
 # Word pattern of the vocabulary TF-IDF: maximal runs of two or more word
 # characters (one-character tokens vanish, N8). Valid in Java regex and RE2.
+# The stop words removed from prose, by language of the test documents.
+STOP_WORDS = ["and", "the", "of", "to", "in", "und", "der", "die", "das", "le", "la", "les", "de", "et", "el", "los",
+              "que", "y", "en"]
+EVENTS_PER_PARTITION = 1_000_000
 WORD2 = r"[\pL\pN_]{2,}"
 
 
@@ -140,31 +144,51 @@ def mean_vectors(tokens: DataFrame, vectors: DataFrame, user: str = "user_id",
                  token: str = "token", key: str = "word", vec: str = "vector") -> DataFrame:
     """TX8/J4: mean of in-vocabulary token vectors per user (repeats counted).
 
-    The token -> vector lookup is an equi-join (AQE broadcasts the vector
-    table when its measured size allows); the mean is a partial aggregate.
-    Users without in-vocabulary tokens are absent here; callers left-join and
-    fill zeros (N10).
+    Repeats are counted first, so vectors are joined once per (user, token);
+    the lookup is an equi-join on the token's own type (AQE broadcasts the
+    vector table when its measured size allows) and the mean a partial
+    aggregate weighted by the counts. Users without in-vocabulary tokens are
+    absent here; callers left-join and fill zeros (N10).
     """
-    j = tokens.join(vectors.withColumnRenamed(key, token), token)
-    return j.groupBy(user).agg(Summarizer.mean(F.col(vec)).alias("mean_vec"))
+    n = tokens.groupBy(user, token).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    j = n.join(vectors.withColumnRenamed(key, token), token)
+    return j.groupBy(user).agg(Summarizer.mean(F.col(vec), F.col("_n")).alias("mean_vec"))
 
 
 def embedding_table(spark_df: DataFrame, id_col: str = "vec_id", emb_col: str = "embedding") -> DataFrame:
-    return spark_df.select(F.col(id_col).cast("string").alias("word"),
-                           array_to_vector(F.col(emb_col)).alias("vector"))
+    return spark_df.select(F.col(id_col).alias("word"), array_to_vector(F.col(emb_col)).alias("vector"))
 
 
 def fit_word2vec(log: DataFrame, col: str = "seller_id", user: str = "user_id", vector_size: int = 100,
-                 window: int = 5, min_count: int = 5, partitions: int = 4, seed: int = 42,
+                 window: int = 5, min_count: int = 5, partitions: int | None = None, seed: int = 42,
                  max_iter: int = 1):
-    """TX7: Word2Vec on per-chunk token sentences of a path column."""
+    """TX7: Word2Vec on the token sentences (user, chunk, n_events, sentence) of a path column.
+
+    Without ``partitions`` there is one for every ``EVENTS_PER_PARTITION``
+    events, and the reference's 4 at least. Spark keeps vocabulary and
+    vectors on the driver: use it for columns with a bounded vocabulary
+    (sellers, brands, categories), not for item ids.
+    """
     paths = user_paths(log, user, columns={"p": col})
-    sents = paths.select(user, F.split(F.col("p"), " ").alias("sentence"))
+    sents = paths.select(user, "chunk", "n_events", F.split(F.col("p"), " ").alias("sentence"))
+    if partitions is None:
+        partitions = max(4, -(-log.count() // EVENTS_PER_PARTITION))
     w2v = Word2Vec(inputCol="sentence", outputCol="w2v", vectorSize=vector_size, windowSize=window,
                    minCount=min_count, numPartitions=partitions, seed=seed, maxIter=max_iter)
     return w2v.fit(sents), sents
 
 
+def w2v_user_vectors(model, sents: DataFrame, user: str = "user_id") -> DataFrame:
+    """TX9: one vector per user, the mean over all tokens (out-of-vocabulary ones count as zero).
+
+    The model's transform gives such a mean for each chunk of a history; a
+    user's vector is their mean weighted by the chunks' numbers of events.
+    """
+    t = model.transform(sents)
+    return t.groupBy(user).agg(Summarizer.mean(F.col("w2v"), F.col("n_events").cast("double")).alias("w2v"),
+                               F.sum("n_events").alias("n_events"))
+
+
 def vector_columns(df: DataFrame, vec: str, prefix: str, width: int) -> list[Column]:
     arr = vector_to_array(F.col(vec))
     return [arr[i].alias(f"{prefix}{i}") for i in range(width)]

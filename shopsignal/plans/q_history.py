@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shopsignal.operators import features as feat
 from shopsignal.operators import history as hi
 from shopsignal.plans.registry import register
 from shopsignal.sources import fixtures as fx
@@ -49,16 +50,23 @@ def tokens(spark, sf):
 def _seq_sql():
     from shopsignal.plans.sqltext import ustats_ctes
     return W("""SELECT time_stamp_nunique, CAST((pos - 1) // 1000 AS BIGINT) AS chunk, count(*) AS n_rows,
-  string_agg(CAST(user_id AS VARCHAR) || '_' || CAST(merchant_id AS VARCHAR), ' ' ORDER BY pos) AS row_key
+  string_agg(CAST(user_id AS VARCHAR) || '_' || CAST(merchant_id AS VARCHAR), ' ' ORDER BY pos) AS row_key,
+  string_agg(CAST(user_cnt AS VARCHAR) || ',' || CAST(seller_nunique AS VARCHAR) || ',' || CAST(buy_cnt AS VARCHAR), ' ' ORDER BY pos)
+    AS feature_path
 FROM (SELECT *, row_number() OVER (PARTITION BY time_stamp_nunique ORDER BY user_id, merchant_id) AS pos FROM (
-  SELECT t.user_id, t.merchant_id, CAST(COALESCE(s.time_stamp_nunique, -1) AS BIGINT) AS time_stamp_nunique
+  SELECT t.user_id, t.merchant_id, CAST(COALESCE(s.time_stamp_nunique, -1) AS BIGINT) AS time_stamp_nunique,
+    COALESCE(s.user_cnt, -1) AS user_cnt, COALESCE(s.seller_nunique, -1) AS seller_nunique, COALESCE(s.buy_cnt, -1) AS buy_cnt
   FROM train t LEFT JOIN ustats s ON t.user_id = s.user_id) x) y
 GROUP BY time_stamp_nunique, chunk""", ustats_ctes())
 
 
 @register("sequence_groups", sql=_seq_sql())
 def sequence_groups(spark, sf):
-    from shopsignal.plans.q_features import user_features_df
-    tr = user_features_df(spark, sf).where(F.col("label").isNotNull()) \
-        .select("user_id", "merchant_id", "time_stamp_nunique")
-    return hi.sequence_groups(tr, "time_stamp_nunique", ["user_id", "merchant_id"])
+    """A12 with the rows' feature vectors, written as text for the comparison."""
+    feats = ["user_cnt", "seller_nunique", "buy_cnt"]
+    stats = feat.user_stats(fx.user_log(spark, sf), groups=("base", "nunique"))
+    tr = feat.with_missing_defaults(fx.train(spark, sf).join(stats, "user_id", "left"))
+    g = hi.sequence_groups(tr.select("user_id", "merchant_id", "time_stamp_nunique", *feats), "time_stamp_nunique",
+                           ["user_id", "merchant_id"], feats)
+    row = lambda v: F.array_join(F.transform(v, lambda x: x.cast("long").cast("string")), ",")
+    return g.withColumn("feature_path", F.array_join(F.transform("features", row), " ")).drop("features")

@@ -109,7 +109,7 @@ def _emb_sql():
 @register("mean_embedding", sql=_emb_sql())
 def mean_embedding(spark, sf):
     log = fx.user_log(spark, sf)
-    toks = log.select("user_id", F.col("item_id").cast("string").alias("token"))
+    toks = log.select("user_id", F.col("item_id").alias("token"))
     vecs = tx.embedding_table(read_table(spark, sf, "embeddings", "vec_id", "embedding"))
     m = tx.mean_vectors(toks, vecs)
     wide = m.select("user_id", *tx.vector_columns(m, "mean_vec", "embedding_", EMB_DIM))
@@ -139,20 +139,61 @@ def features_by_key(spark, sf):
 
 # ---------------------------------------------------------------- ML forms (property-checked)
 
-@register("hashing_tf")
+# Spark's HashingTF: murmur3 x86 32-bit, seed 42, of the token's UTF-8 bytes. For ASCII ids the
+# recurrence is a fold over 4-byte words, then the remaining bytes one by one in one word.
+
+def _mul32(a: str, c: int) -> str:
+    return f"((({a}) * {c}::HUGEINT) % 4294967296)::UBIGINT"
+
+
+def _rotl32(a: str, r: int) -> str:
+    return f"(((({a})::HUGEINT * {1 << r}) % 4294967296)::UBIGINT | (({a}) >> {32 - r}))"
+
+
+def _murmur_ctes(max_len: int = 12) -> str:
+    """hash32(token, h): one CTE per word step over the distinct tokens (ids of at most ``max_len`` bytes)."""
+    steps = ["mm0 AS (SELECT token, length(token)::UBIGINT AS n, 42::UBIGINT AS h FROM (SELECT DISTINCT token FROM tk))"]
+    byte = lambda i: f"(ascii(substr(token, {i}, 1))::UBIGINT)"
+    for w in range(max_len // 4):
+        i = 4 * w + 1
+        word = f"({byte(i)} + {byte(i + 1)} * 256 + {byte(i + 2)} * 65536 + {byte(i + 3)} * 16777216)"
+        k = _mul32(_rotl32(_mul32(word, 0xCC9E2D51), 15), 0x1B873593)
+        steps.append(f"mk{w} AS (SELECT token, n, h, CASE WHEN n >= {i + 3} THEN {k} END AS k FROM mm{w})")
+        steps.append(f"mr{w} AS (SELECT token, n, h, k, {_rotl32('xor(h, k)', 13)} AS r FROM mk{w})")
+        steps.append(f"mm{w + 1} AS (SELECT token, n, CASE WHEN k IS NULL THEN h ELSE ((r::HUGEINT * 5 + 3864292196) % 4294967296)"
+                     f"::UBIGINT END AS h FROM mr{w})")
+    last = max_len // 4
+    tail = (f"(CASE WHEN n % 4 >= 1 THEN ascii(substr(token, CAST(n - n % 4 + 1 AS INT), 1)) ELSE 0 END"
+            f" + CASE WHEN n % 4 >= 2 THEN ascii(substr(token, CAST(n - n % 4 + 2 AS INT), 1)) * 256 ELSE 0 END"
+            f" + CASE WHEN n % 4 = 3 THEN ascii(substr(token, CAST(n - n % 4 + 3 AS INT), 1)) * 65536 ELSE 0 END)::UBIGINT")
+    k = _mul32(_rotl32(_mul32(tail, 0xCC9E2D51), 15), 0x1B873593)
+    steps += [f"mt AS (SELECT token, xor(xor(h, CASE WHEN n % 4 > 0 THEN {k} ELSE 0 END), n) AS h FROM mm{last})",
+              f"f1 AS (SELECT token, {_mul32('xor(h, h >> 16)', 0x85EBCA6B)} AS h FROM mt)",
+              f"f2 AS (SELECT token, {_mul32('xor(h, h >> 13)', 0xC2B2AE35)} AS h FROM f1)",
+              "f3 AS (SELECT token, xor(h, h >> 16)::BIGINT AS h FROM f2)",
+              "bk AS (SELECT token, CASE WHEN h >= 2147483648 THEN ((h - 4294967296) % 100 + 100) % 100 ELSE h % 100 END AS bucket"
+              " FROM f3)"]
+    return ",\n".join(steps)
+
+
+@register("hashing_tf", sql=W(
+    "SELECT user_id, CAST(bucket AS INT) AS bucket, tf, ROUND(tf * ln((n + 1) / (df + 1)), 6) AS tfidf FROM ub "
+    "JOIN (SELECT bucket, count(*) AS df FROM ub GROUP BY bucket) USING (bucket), "
+    "(SELECT count(DISTINCT user_id) AS n FROM tk) WHERE tf * ln((n + 1) / (df + 1)) <> 0",
+    TK_SPARK + ",\n" + _murmur_ctes() + """,
+ub AS (SELECT user_id, bucket, CAST(count(*) AS DOUBLE) AS tf FROM tk JOIN bk USING (token) GROUP BY user_id, bucket)"""))
 def hashing_tf(spark, sf):
     """TX2/TX3: HashingTF(100) + Spark IDF; long form of non-zero buckets."""
     h = tx.hashed_tfidf(fx.user_log(spark, sf), "seller_id", 100)
     z = h.select("user_id", F.posexplode(vector_to_array("features")).alias("bucket", "tfidf"),
                  vector_to_array("tf").alias("tfa"))
-    return z.where(F.col("tfidf") != 0).select("user_id", "bucket", F.col("tfa")[F.col("bucket")].alias("tf"),
-                                               "tfidf")
+    return rounded(z.where(F.col("tfidf") != 0).select("user_id", "bucket", F.col("tfa")[F.col("bucket")].alias("tf"),
+                                                       "tfidf"))
 
 
 def _w2v(spark, sf):
     log = fx.user_log(spark, sf)
-    # the reference's 4 training partitions; on a cluster raise it with the data
-    model, sents = tx.fit_word2vec(log, "seller_id", partitions=4)
+    model, sents = tx.fit_word2vec(log, "seller_id")
     return log, model, sents
 
 
@@ -175,15 +216,32 @@ def w2v_mean(spark, sf):
 
 @register("w2v_transform")
 def w2v_transform(spark, sf):
-    """TX9: Word2VecModel.transform (averages over all tokens, out-of-vocabulary included)."""
+    """TX9: Word2VecModel.transform (averages over all tokens, out-of-vocabulary included), one row per user."""
     _, model, sents = _w2v(spark, sf)
-    return model.transform(sents).select("user_id", vector_to_array("w2v").alias("w2v"))
+    return tx.w2v_user_vectors(model, sents).select("user_id", "n_events", vector_to_array("w2v").alias("w2v"))
+
+
+@register("w2v_transform_rows", sql=W("SELECT user_id, count(*) AS n_events, 100 AS width FROM user_log GROUP BY user_id"))
+def w2v_transform_rows(spark, sf):
+    """Companion of ``w2v_transform``: its rows, event counts and vector widths, checked by SQL."""
+    return w2v_transform(spark, sf).select("user_id", "n_events", F.size("w2v").alias("width"))
+
+
+@register("w2v_vocabulary", sql=W(
+    "SELECT CAST(seller_id AS VARCHAR) AS word, 100 AS width FROM user_log GROUP BY seller_id HAVING count(*) >= 5"))
+def w2v_vocabulary(spark, sf):
+    """Companion of ``w2v_vectors``: the vocabulary is every seller with 5 events or more."""
+    return w2v_vectors(spark, sf).select("word", F.size("vector").alias("width"))
 
 
 # ---------------------------------------------------------------- the same operators on natural prose
 
+STOP_SQL = ", ".join(f"'{w}'" for w in tx.STOP_WORDS)
+
+
 @register("doc_tfidf_topvocab", sql=(
-    f"""WITH tkv AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{tx.WORD2}')) AS token FROM documents),
+    f"""WITH tkv AS (SELECT * FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{tx.WORD2}')) AS token
+        FROM documents) WHERE token NOT IN ({STOP_SQL})),
 tfv AS (SELECT doc_id, token, count(*) AS tf FROM tkv GROUP BY doc_id, token),
 voc AS (SELECT token, CAST(row_number() OVER (ORDER BY token) - 1 AS INT) AS vidx
         FROM (SELECT token, sum(tf) AS ctf FROM tfv GROUP BY token ORDER BY ctf DESC, token LIMIT {VOCAB_K})),
@@ -194,7 +252,8 @@ wv AS (SELECT vt.doc_id, vt.token, vt.vidx, tf * (ln((1 + n) / (1 + df)) + 1) AS
        FROM vt JOIN dfv ON vt.token = dfv.token, ndv)
 SELECT doc_id, token, vidx, ROUND(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM wv"""))
 def doc_tfidf_topvocab(spark, sf):
-    """TX4 over whole document texts (documents are the docs; every document counts in n)."""
+    """TX4 over whole document texts without stop words (every document counts in n)."""
     docs = read_table(spark, sf, "documents", "doc_id", "text")
-    toks = tx.word_tokens(docs, "text", user="doc_id")
-    return rounded(tx.tfidf_vocab(toks, VOCAB_K, user="doc_id"))
+    toks = tx.word_tokens(docs, "text", user="doc_id", stop_words=tx.STOP_WORDS)
+    # a document of stop words alone still counts in n, so n comes from the documents
+    return rounded(tx.tfidf_vocab(toks, VOCAB_K, user="doc_id", docs=docs))
