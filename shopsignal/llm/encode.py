@@ -1,75 +1,131 @@
-"""Token ids of whole texts from the tokenizers library, with a bounded cache of segments.
+"""Token ids of whole texts from the tokenizers library, each distinct segment encoded once.
 
 The library pre-splits a text and encodes each piece by itself, and no piece reaches from a
-non-space character over a following space. A text may therefore be cut before every run of
-spaces, and the ids of a segment (spaces and the word after them) do not depend on its
-neighbours: each new segment is encoded once by the library and kept. Texts with rarer white
-space or with a special token's string go to the library whole.
+non-space character over a following space, nor from a letter or digit to a following full
+stop or comma. A text may therefore be cut at these places, and the ids of a segment (spaces
+and the word after them, or signs) do not depend on its neighbours. A batch's segments are
+numbered by Arrow; the library encodes those that the worker has not yet seen. Texts with
+rarer white space or with a special token's string go to the library whole.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
-#: Segments kept per Python worker (about 200 bytes each); the cache is emptied when full.
-CACHE_SEGMENTS = 1_200_000
+#: Segments kept per Python worker (about 200 bytes each); they are dropped when there are more.
+CACHE_SEGMENTS = 1_500_000
+#: Bytes of text encoded together.
+BATCH_BYTES = 8_000_000
+_JOINED = 200  # new segments per call of the library
 
-_SEGMENT = re.compile(r"\s*\S+|\s+")
 _RARE_SPACE = re.compile(r"[^\S \t\n\r\x0b\x0c]")
 _ENCODERS: dict[str, SegmentEncoder] = {}
 
 
 class SegmentEncoder:
-    """``encode(text)`` gives the ids as little-endian unsigned 32-bit bytes."""
-
     def __init__(self, path: str, limit: int = CACHE_SEGMENTS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.limit, self.cache = limit, {}
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _RARE_SPACE.search(text) or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = _SEGMENT.findall(text)
-        ids = list(map(self.cache.get, words))
-        if None in ids:
-            if len(self.cache) > self.limit:
-                self.cache.clear()
-                ids = [None] * len(words)
-            self._learn(dict.fromkeys(w for w, v in zip(words, ids) if v is None))
-            ids = [self.cache[w] for w in words]
-        return b"".join(ids)
-
-    def _learn(self, new: dict[str, None]) -> None:
-        """Encode new segments in one call; a token belongs to the segment in which it starts."""
-        # a text's first segment may lack a leading space: it must come first, or stand alone
-        bare = [w for w in new if not w[0].isspace()]
-        for w in bare:
-            self._learn_joined([w])
-        rest = [w for w in new if w[0].isspace()]
-        # a segment of spaces alone must not run into the next one: it ends a text
-        blank = [w for w in rest if w.isspace()]
-        for w in blank:
-            self._learn_joined([w])
-        if rest := [w for w in rest if not w.isspace()]:
-            self._learn_joined(rest)
-
-    def _learn_joined(self, words: list[str]) -> None:
-        e = self.tokenizer.encode("".join(words), add_special_tokens=False)
-        ids = np.array(e.ids, "<u4").tobytes()
-        if len(words) == 1:
-            self.cache[words[0]] = ids
-            return
+        self.limit = limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat, self.used = np.zeros(1 << 18, "<u4"), 0
+
+    def batches(self, texts: list[str]) -> Iterator[list[np.ndarray]]:
+        """The ids of each text, for a bounded number of bytes at a time."""
+        at = size = 0
+        for i, t in enumerate(texts):
+            size += len(t)
+            if size >= BATCH_BYTES or i + 1 == len(texts):
+                yield self.encode(texts[at:i + 1])
+                at, size = i + 1, 0
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids (unsigned 32 bits) of each whole text."""
+        whole = [bool(_RARE_SPACE.search(t)) or any(s in t for s in self.special) for t in texts]
+        raw = [b"" if w else t.encode() for t, w in zip(texts, whole)]
+        ids, ends = self._plain(raw)
+        out = np.split(ids, ends[:-1])
+        for i, w in enumerate(whole):
+            if w:
+                out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4")
+        return out
+
+    def _plain(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.number) > self.limit:
+            self._forget()
+        data = b"".join(raw)
+        if not data:
+            return np.zeros(0, "<u4"), np.zeros(len(raw), np.int64)
+        stops = np.cumsum([len(r) for r in raw])
+        cuts = _cuts(data, stops)
+        number = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+        coded = number.dictionary_encode()
+        known = self._numbers(coded.dictionary.to_pylist())
+        segment = known[coded.indices.to_numpy()]
+        length = self.length[segment]
+        done = np.cumsum(length)
+        source = np.repeat(self.first[segment] - (done - length), length)
+        source += np.arange(len(source))
+        # tokens before the end of each text: segments never cross one
+        return self.flat[source], np.append(0, done)[np.searchsorted(cuts, stops)]
+
+    def _numbers(self, segments: list[bytes]) -> np.ndarray:
+        found = [self.number.get(s, -1) for s in segments]
+        new = [s for s, n in zip(segments, found) if n < 0]
+        if not new:
+            return np.array(found, np.int64)
+        joined = [s for s in new if s[0] <= 32 and not s.isspace()]
+        # a segment may follow another only if it begins with a space and that one does not end with one
+        for i in range(0, len(joined), _JOINED):
+            self._learn_joined(joined[i:i + _JOINED])
+        alone = [s for s in new if s[0] > 32 or s.isspace()]
+        for s, e in zip(alone, self.tokenizer.encode_batch([s.decode() for s in alone], add_special_tokens=False)):
+            self._store([s], np.array([0, len(e.ids)]), e.ids)
+        return np.array([self.number[s] if n < 0 else n for s, n in zip(segments, found)], np.int64)
+
+    def _learn_joined(self, segments: list[bytes]) -> None:
+        data = b"".join(segments)
+        e = self.tokenizer.encode(data.decode(), add_special_tokens=False)
+        # a token belongs to the segment in which its first character lies
         first = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        cuts = [0, *(4 * np.searchsorted(first, ends)).tolist()]
-        self.cache.update(zip(words, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
+        chars = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+        ends = chars[np.cumsum([len(s) for s in segments]) - 1]
+        self._store(segments, np.append(0, np.searchsorted(first, ends)), e.ids)
+
+    def _store(self, segments: list[bytes], cuts: np.ndarray, ids: list[int]) -> None:
+        n, more, used = len(self.number), len(segments), self.used
+        while n + more > len(self.first):
+            self.first, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.length))
+        while used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[used:used + len(ids)] = ids
+        self.first[n:n + more] = used + cuts[:-1]
+        self.length[n:n + more] = np.diff(cuts)
+        self.used += len(ids)
+        self.number.update(zip(segments, range(n, n + more)))
+
+
+def _cuts(data: bytes, stops: np.ndarray) -> np.ndarray:
+    """Places at which texts may be cut, ends of texts included, as 32-bit offsets."""
+    b = np.frombuffer(data, np.uint8)
+    space = (b == 32) | (b >= 9) & (b <= 13)
+    low = b | 32
+    word = (low >= 97) & (low <= 122) | (b >= 48) & (b <= 57)
+    cut = np.zeros(len(b) + 1, bool)
+    cut[1:-1] = space[1:] & ~space[:-1] | ((b[1:] == 44) | (b[1:] == 46)) & word[:-1]
+    cut[0] = cut[-1] = True
+    cut[stops] = True
+    return np.flatnonzero(cut).astype(np.int32)
 
 
 def encoder(path: str) -> SegmentEncoder:

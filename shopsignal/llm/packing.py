@@ -105,20 +105,21 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         from pyspark import TaskContext
 
         enc, task, seen = encoder(tokenizer), TaskContext.get().partitionId(), {}
-        end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in batches:
             rows = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "task", "rank")}
-            kept = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(text.as_py()) + end
-                for i, at in enumerate(range(0, len(ids), step)):
-                    cut = ids[at:at + step]
-                    n = len(cut) // 4
-                    seen[n] = seen.get(n, -1) + 1
-                    for k, v in zip(rows, (doc, i, at // 4, n, zlib.crc32(cut), task, seen[n])):
-                        rows[k].append(v)
-                    if with_ids:
-                        kept.append(np.frombuffer(cut, "<u4").astype(np.int32))
+            kept, docs_of, at = [], b.column(0).to_pylist(), 0
+            for group in enc.batches(b.column(1).to_pylist()):
+                for doc, ids in zip(docs_of[at:], group):
+                    ids = np.append(ids, np.uint32(end_id))
+                    for i, start in enumerate(range(0, len(ids), capacity)):
+                        cut = ids[start:start + capacity]
+                        n = len(cut)
+                        seen[n] = seen.get(n, -1) + 1
+                        for k, v in zip(rows, (doc, i, start, n, zlib.crc32(cut), task, seen[n])):
+                            rows[k].append(v)
+                        if with_ids:
+                            kept.append(cut.astype(np.int32))
+                at += len(group)
             types = dict.fromkeys(rows, pa.int64()) | {"piece": pa.int32(), "task": pa.int32()}
             columns = {k: pa.array(v, types[k]) for k, v in rows.items()}
             if with_ids:

@@ -92,13 +92,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         from pyspark import TaskContext
 
         enc, shard, block = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
         width = 2 if max(enc.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
         doc_ids, parts, size = [], [], 0
 
         def flush():
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            ends = EliasFano.encode(np.cumsum([len(p) // 4 for p in parts]))
+            ids = np.concatenate(parts)
+            ends = EliasFano.encode(np.cumsum([len(p) for p in parts]))
             row = (shard, block, len(parts), len(ids), doc_ids, width, ids.astype(f"<u{width}").tobytes(),
                    ends.low_bits, ends.low.tobytes(), ends.high.tobytes(), ends.ranks.tobytes())
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
@@ -108,14 +107,16 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                             ("ids", pa.binary()), ("low_bits", pa.int32()), ("low", pa.binary()),
                             ("high", pa.binary()), ("ranks", pa.binary())])
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(text.as_py()) + end
-                if parts and size + len(ids) // 4 > block_tokens:
-                    yield flush()
-                    doc_ids, parts, size, block = [], [], 0, block + 1
-                doc_ids.append(doc)
-                parts.append(ids)
-                size += len(ids) // 4
+            docs_of, i = b.column(0).to_pylist(), 0
+            for group in enc.batches(b.column(1).to_pylist()):
+                for ids in group:
+                    if parts and size + len(ids) + 1 > block_tokens:
+                        yield flush()
+                        doc_ids, parts, size, block = [], [], 0, block + 1
+                    doc_ids.append(docs_of[i])
+                    parts.append(np.append(ids, np.uint32(end_id)))
+                    size += len(ids) + 1
+                    i += 1
         if parts:
             yield flush()
 
