@@ -1,14 +1,15 @@
 """Out-of-fold stacking (M1), stacked bagging ensemble (M24) and model averaging.
 
 Folds are a column (K1/K3); each fit is one Spark ML job on a filter of one
-persisted frame. Fold predictions are collected in a long table
-(keys, learner, fold, p) that is checkpointed, so lineage does not grow with
-folds x learners. Keys travel with every prediction (no positional concat,
-D6); scores are P(class 1) (D4) in training and scoring alike (D8).
+persisted frame. A fold's scores are written as soon as its model is fitted
+and the model is dropped: the driver holds only the models being fitted. Keys
+travel with every prediction (no positional concat, D6); scores are P(class 1)
+(D4) in training and scoring alike (D8).
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from shopsignal.operators import evaluate as ev
 from shopsignal.operators.folds import kfold, stratified_kfold, train_test_split
-from shopsignal.operators.learners import make_learner, prob1
+from shopsignal.operators.learners import FIT_ROWS, fit_sample, make_learner, prob1
 from shopsignal.session import ensure_checkpoint_dir
 
 KEYS = ["user_id", "merchant_id"]
@@ -35,8 +36,7 @@ def _n_features(df: DataFrame, features: str) -> int:
     return len(df.select(features).first()[0])
 
 
-def _learner(name, preset, n_features, n_rows, features, label):
-    extra = {}
+def _learner(name, preset, n_features, n_rows, features, label, **extra):
     if name == "mlp":
         extra["n_features"] = n_features
     if name == "lr":
@@ -44,51 +44,71 @@ def _learner(name, preset, n_features, n_rows, features, label):
     return make_learner(name, preset, features=features, label=label, **extra)
 
 
-def _fit_all(jobs, parallelism: int):
-    """Fit (estimator, frame) pairs concurrently: small fits leave executors idle one at a time."""
+def _each(work, jobs, parallelism: int) -> list:
+    """Run the jobs, some at a time: small fits leave executors idle one by one."""
     if parallelism <= 1:
-        return [est.fit(df) for est, df in jobs]
+        return [work(j) for j in jobs]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda j: j[0].fit(j[1]), jobs))
+        return list(pool.map(work, jobs))
 
 
-def oof_stacking(train: DataFrame, test: DataFrame, learners: list[str], k: int = 5, seed: int = 0,
-                 preset: str = "small", features: str = "features", label: str = "label",
-                 parallelism: int = 4):
-    """M1: returns (train_meta, test_meta, cv_scores).
+def _shared_folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    train_meta: keys, label, one OOF P(class 1) column per learner.
-    test_meta:  keys, the mean over the k fold models of P(class 1) per learner.
-    cv_scores:  learner, fold, log_loss (M11).
+
+def oof_scores(train: DataFrame, test: DataFrame, learners: list[str], k: int = 5, seed: int = 0,
+               preset: str = "reference", features: str = "features", label: str = "label",
+               parallelism: int = 4, missing: dict[str, tuple] | None = None, fit_rows: int = FIT_ROWS):
+    """M1 in long form: (keys, label, learner, fold, p) of the held-out rows, and of all test rows per fold.
+
+    A fold's model is fitted on at most ``fit_rows`` rows of the other folds
+    and, for boosters, stopped early on at most as many of the held-out fold;
+    all rows are scored. ``missing``: per learner, its missing marker.
     """
-    ensure_checkpoint_dir(train.sparkSession)
+    spark = train.sparkSession
     tr = kfold(train, k, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
     te = test.persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = tr.count()
     d = _n_features(tr, features)
-    grid = [(name, i) for name in learners for i in range(k)]
-    jobs = []
-    for name, i in grid:
+    folder = _shared_folder(spark, "oof")
+
+    def one(job):
+        name, i = job
+        held = F.col("fold") == i
+        rows = fit_sample(tr.where(~held), fit_rows)
+        extra = {"missing": (missing or {}).get(name)}
         if name in EARLY_STOPPED:
             # M6/M7: the boosters train on the other folds and stop early on the held-out fold
-            est = make_learner(name, preset, features=features, label=label,
-                               validationIndicatorCol="_valid", validationTol=1e-4)
-            jobs.append((est, tr.withColumn("_valid", F.col("fold") == i)))
+            rows = rows.unionByName(fit_sample(tr.where(held), fit_rows)).withColumn("_valid", held)
+            est = make_learner(name, preset, features=features, label=label, valid="_valid", **extra)
         else:
-            # each fold model fits about (k - 1) / k of the rows (regParam = 1 / (C * n_fit))
-            jobs.append((_learner(name, preset, d, n_rows * (k - 1) // k, features, label),
-                         tr.where(F.col("fold") != i)))
-    models = _fit_all(jobs, parallelism)
-    oof, tst = [], []
-    for (name, i), model in zip(grid, models):
-        oof.append(model.transform(tr.where(F.col("fold") == i)).select(
-            *KEYS, F.col(label), F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1(None).alias("p")))
-        tst.append(model.transform(te).select(
-            *KEYS, F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1(None).alias("p")))
-    oof_long = _union(oof).checkpoint(eager=True)
-    tst_long = _union(tst).checkpoint(eager=True)
+            # regParam = 1 / (C * n_fit)
+            est = _learner(name, preset, d, rows.count() if name == "lr" else 0, features, label, **extra)
+        model = est.fit(rows)
+        out = [F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1().alias("p")]
+        model.transform(tr.where(held)).select(*KEYS, F.col(label), *out).write.parquet(f"{folder}/oof/{name}-{i}")
+        model.transform(te).select(*KEYS, *out).write.parquet(f"{folder}/test/{name}-{i}")
+
+    grid = [(name, i) for name in learners for i in range(k)]
+    _each(one, grid, parallelism)
+    oof_long, tst_long = (spark.read.parquet(*[f"{folder}/{part}/{name}-{i}" for name, i in grid])
+                          for part in ("oof", "test"))
     tr.unpersist()
     te.unpersist()
+    return oof_long, tst_long
+
+
+def oof_stacking(train: DataFrame, test: DataFrame, learners: list[str], label: str = "label", **settings):
+    """M1: returns (train_meta, test_meta, cv_scores); ``settings`` as in ``oof_scores``.
+
+    train_meta: keys, label, one OOF P(class 1) column per learner.
+    test_meta:  keys, the mean over the k fold models of P(class 1) per learner.
+    cv_scores:  learner, fold, log_loss (M11).
+    """
+    return stack_tables(*oof_scores(train, test, learners, label=label, **settings), learners, label)
+
+
+def stack_tables(oof_long: DataFrame, tst_long: DataFrame, learners: list[str], label: str = "label"):
+    """The three tables of ``oof_stacking`` from long scores."""
     train_meta = oof_long.groupBy(*KEYS, label).pivot("learner", learners).agg(F.first("p"))
     test_meta = tst_long.groupBy(*KEYS).pivot("learner", learners).agg(F.avg("p"))  # A11
     cv = ev.log_loss(oof_long.withColumnRenamed("p", "score"), label=label, by=["learner", "fold"])
@@ -109,15 +129,15 @@ class StackedBagging:
     boosters are fit on the features + meta column, each with a seeded
     train/validation split driving early stopping.
     predict: meta = mean of the stacking models' P(class 1); output = mean of
-    the boosters' P(class 1).
+    the boosters' P(class 1). Every model is fitted on at most ``fit_rows`` rows.
     """
 
     def __init__(self, stacking_num: int = 2, bagging_num: int = 1, bagging_test_size: float = 0.33,
-                 preset: str = "small", features: str = "features", label: str = "label",
-                 validation_tol: float = 1e-4, parallelism: int = 1, bootstrap: bool = False):
-        self.parallelism, self.bootstrap = parallelism, bootstrap
+                 preset: str = "reference", features: str = "features", label: str = "label",
+                 parallelism: int = 1, bootstrap: bool = False, fit_rows: int = FIT_ROWS):
+        self.parallelism, self.bootstrap, self.fit_rows = parallelism, bootstrap, fit_rows
         self.stacking_num, self.bagging_num, self.test_size = stacking_num, bagging_num, bagging_test_size
-        self.preset, self.features, self.label, self.tol = preset, features, label, validation_tol
+        self.preset, self.features, self.label = preset, features, label
         self.stacking_models, self.bagging_models = [], []
 
     def fit(self, train: DataFrame) -> "StackedBagging":
@@ -127,26 +147,25 @@ class StackedBagging:
         if self.stacking_num > 1:
             f = stratified_kfold(train, self.stacking_num, label=self.label, seed=1).persist(
                 StorageLevel.MEMORY_AND_DISK)
-            parts = []
-            self.stacking_models = _fit_all(
-                [(make_learner("mlp", self.preset, features=self.features, label=self.label, n_features=d),
-                  f.where(F.col("fold") != k)) for k in range(self.stacking_num)], self.parallelism)
-            for k, m in enumerate(self.stacking_models):
-                parts.append(m.transform(f.where(F.col("fold") == k)).select(
-                    *[c for c in train.columns], prob1(None).alias("meta")))
+            self.stacking_models = _each(
+                lambda k: make_learner("mlp", self.preset, features=self.features, label=self.label, n_features=d)
+                .fit(fit_sample(f.where(F.col("fold") != k), self.fit_rows)), range(self.stacking_num), self.parallelism)
+            parts = [m.transform(f.where(F.col("fold") == k)).select(*train.columns, prob1().alias("meta"))
+                     for k, m in enumerate(self.stacking_models)]
             x = _union(parts).checkpoint(eager=True)
             f.unpersist()
             x = append_columns(x, ["meta"], self.features)
-        jobs = []
-        for bn in range(self.bagging_num):
+
+        def bag(bn: int):
             s = train_test_split(x, self.test_size, seed=bn, name="is_valid")
+            fit, held = (fit_sample(s.where(c), self.fit_rows) for c in (~F.col("is_valid"), F.col("is_valid")))
             if self.bootstrap:
                 # K6 option: a true bootstrap of the training part (Poisson sampling, seeded)
-                s = (s.where(~F.col("is_valid")).sample(withReplacement=True, fraction=1.0, seed=bn)
-                     .unionByName(s.where(F.col("is_valid"))))
-            jobs.append((make_learner("gbt_es", self.preset, features=self.features, label=self.label,
-                                      validationIndicatorCol="is_valid", validationTol=self.tol), s))
-        self.bagging_models = _fit_all(jobs, self.parallelism)
+                fit = fit.sample(withReplacement=True, fraction=1.0, seed=bn)
+            return make_learner("gbt_es", self.preset, features=self.features, label=self.label,
+                                valid="is_valid").fit(fit.unionByName(held))
+
+        self.bagging_models = _each(bag, range(self.bagging_num), self.parallelism)
         return self
 
     def transform(self, df: DataFrame, out: str = "prob") -> DataFrame:
@@ -171,4 +190,4 @@ class StackedBagging:
         return x.drop(*[f"_bpp{i}" for i in range(len(self.bagging_models))])
 
 
-__all__ = ["oof_stacking", "StackedBagging", "append_columns", "array_to_vector"]
+__all__ = ["oof_scores", "oof_stacking", "stack_tables", "StackedBagging", "append_columns", "array_to_vector"]

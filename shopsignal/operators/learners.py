@@ -1,10 +1,13 @@
 """Pluggable classifiers by name (UD6) as Spark ML estimators.
 
-Each name maps to a factory with two presets: ``reference`` carries the
-reference's sizes where Spark ML has the parameter; ``small`` keeps the same
-shape with sizes fit for tests. Differences that Spark ML cannot express
-(leaf-wise growth, L2 on leaves, extra-trees random thresholds) are noted on
-each factory. An unknown name raises ``ValueError``.
+Each name maps to a factory. The default preset ``reference`` carries the
+reference's sizes; ``small`` keeps the same shape with sizes for tests.
+Differences that Spark ML cannot express (leaf-wise growth, L2 on leaves,
+extra-trees random thresholds) are noted on each factory. An unknown name
+raises ``ValueError``.
+
+Fits read at most ``FIT_ROWS`` labelled rows (``fit_sample``): the first in
+md5 order of their keys. Scores are computed for every row.
 """
 
 from __future__ import annotations
@@ -17,9 +20,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopsignal.operators.prepare import Preparation, Prepared
+from shopsignal.plans.ranking import order_cuts
+
 SEED = 2017
 # Histogram memory per tree-growing pass: more nodes per pass, fewer passes over the data.
 TREE_MEM_MB = 512
+# Labelled rows that one model is fitted on at most, and validated on for early stopping.
+FIT_ROWS = 4000
+# Rounds without improvement after which a booster stops: stacked boosters, and the ensemble's.
+PATIENCE = {"xgb": 100, "lgb": 100, "gbt_es": 200}
 
 
 def _rf(p, **kw):
@@ -86,14 +96,68 @@ FACTORIES = {"rf": _rf, "et": _et, "gb": _gb, "xgb": _xgb, "lgb": _lgb, "gnb": _
              "mlp": _mlp, "gbt_es": _gbt_es}
 
 
-def make_learner(name: str, preset: str = "small", features: str = "features", label: str = "label",
-                 **params):
+def make_learner(name: str, preset: str = "reference", features: str = "features", label: str = "label",
+                 valid: str | None = None, missing: tuple[float, tuple[int, ...]] | None = None, **params):
+    """The learner ``name``; ``lr`` and ``mlp`` standardise their features (fitted with the model).
+
+    ``valid``: a boolean column of held-out rows; boosters then keep their best
+    prefix on these rows. ``missing``: (marker, feature indices) whose marker
+    becomes the median of the training rows.
+    """
     if name == "ada":
         return AdaBoostSAMME(n_estimators=50 if preset == "reference" else 5, learning_rate=0.01,
                              features=features, label=label)
     if name not in FACTORIES:
         raise ValueError(f"unknown learner {name!r}; known: {sorted(FACTORIES) + ['ada']}")
-    return FACTORIES[name](preset, featuresCol=features, labelCol=label, **params)
+    learner = FACTORIES[name](preset, featuresCol=features, labelCol=label, **params)
+    if valid is not None and name in PATIENCE:
+        learner = BestPrefix(learner, PATIENCE[name] if preset == "reference" else 5, valid)
+    marker, marked = missing or (None, ())
+    if name in ("lr", "mlp") or marked:
+        learner = Prepared(learner, Preparation(features, name in ("lr", "mlp"), marker, marked), valid)
+    return learner
+
+
+def fit_sample(df: DataFrame, bound: int = FIT_ROWS, keys=("user_id", "merchant_id")) -> DataFrame:
+    """At most ``bound`` rows: the first in md5 order of their keys (all rows if there are no more)."""
+    if df.count() <= bound:
+        return df
+    h = F.md5(F.concat_ws("_", F.lit("fit"), *[F.col(k).cast("string") for k in keys]))
+    return df.where(h < order_cuts(df, h, [bound])[0])
+
+
+class BestPrefix:
+    """Boosting that stops ``patience`` rounds after its best round on the held-out rows.
+
+    Spark's boosters have no patience, so rounds are added by doubling: fit,
+    read the held-out loss after every round (``evaluateEachIteration``), and
+    double the rounds while the best one is among the last ``patience``. The
+    model returned is fitted with the best number of rounds; with the same
+    seed and rows this is the prefix of the longer one.
+    """
+
+    def __init__(self, booster: GBTClassifier, patience: int, valid: str):
+        self.booster, self.patience, self.valid = booster, patience, valid
+
+    def fit(self, df: DataFrame):
+        most = self.booster.getMaxIter()
+        # few rows and many short jobs: one partition spares the scheduling of each
+        fit, held = (df.where(c).coalesce(1).persist() for c in (~F.col(self.valid), F.col(self.valid)))
+        rounds = min(most, self.patience + max(1, self.patience // 4))
+        try:
+            while True:
+                model = self.booster.copy({self.booster.maxIter: rounds}).fit(fit)
+                loss = model.evaluateEachIteration(held)
+                best = min(range(len(loss)), key=loss.__getitem__) + 1
+                if rounds >= most or best + self.patience <= rounds:
+                    break
+                rounds = min(most, 2 * rounds)
+            if best < rounds:
+                model = self.booster.copy({self.booster.maxIter: best}).fit(fit)
+            return model
+        finally:
+            fit.unpersist()
+            held.unpersist()
 
 
 def prob1(df: DataFrame | None = None, col: str = "probability") -> F.Column:
@@ -129,7 +193,7 @@ class AdaBoostSAMME:
             stumps.append(stump)
             alphas.append(alpha)
             cur = pred.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * miss)).drop("_p", "_pp", "_rp")
-            if (i + 1) % 5 == 0:
+            if (i + 1) % 5 == 0 and i + 1 < self.n:
                 cur = cur.checkpoint(eager=True)
             if err == 0:
                 break

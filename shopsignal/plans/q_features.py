@@ -120,6 +120,34 @@ def user_features(spark, sf):
     return rounded(_dbl(user_features_df(spark, sf), "label", "age_range", "gender"))
 
 
+NUMERIC_COLS = ["age_range", "gender"] + [c for c in FEATURE_COLS if not (c.endswith("_most_1"))]
+
+
+@register("project_features", sql=f"SELECT {', '.join(NUMERIC_COLS)} FROM ({USER_FEATURES_SQL}) q")
+def project_features(spark, sf):
+    """PF1: all numeric columns of the feature table but the excluded keys and targets."""
+    from shopsignal.plans import pipeline as pl
+    return rounded(_dbl(pl.project(user_features_df(spark, sf)), "age_range", "gender"))
+
+
+EMBEDDING_DIM = 64  # width of the `embeddings` test table
+LISTED = [f"embedding_{i}" for i in range(EMBEDDING_DIM)] + ["user_cnt", "buy_cnt"]
+
+
+@register("project_listed", sql=fx.with_fixtures(
+    "SELECT p.user_id, p.merchant_id, " + ", ".join(f"ROUND(COALESCE(m.e{i}, 0.0), 6) AS embedding_{i}" for i in range(EMBEDDING_DIM))
+    + ", CAST(COALESCE(s.user_cnt, -1) AS BIGINT) AS user_cnt, CAST(COALESCE(s.buy_cnt, -1) AS BIGINT) AS buy_cnt FROM all_pairs p "
+      "LEFT JOIN m ON p.user_id = m.user_id LEFT JOIN s ON p.user_id = s.user_id",
+    "m AS (SELECT l.user_id, " + ", ".join(f"avg(e.embedding[{i + 1}]) AS e{i}" for i in range(EMBEDDING_DIM))
+    + " FROM user_log l JOIN embeddings e ON l.item_id = e.vec_id GROUP BY l.user_id),\n"
+      "s AS (SELECT user_id, count(*) AS user_cnt, count_if(action_type = '2') AS buy_cnt FROM user_log GROUP BY user_id)"))
+def project_listed(spark, sf):
+    """PF2: a listed projection of the feature table with its embedding block."""
+    from shopsignal.plans import pipeline as pl
+    ft = pl.feature_table(spark, sf, embedding=True)
+    return rounded(pl.project(ft, ["user_id", "merchant_id", *LISTED]))
+
+
 @register("events_most_frequent", sql=(
     "WITH p AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos "
     "FROM events), c AS (SELECT user_id, event_type AS token, count(*) AS cnt, min(pos) AS first FROM p "
