@@ -230,6 +230,24 @@ def narrow_plan(spark, sf):
     return rounded(nw.narrow_plan(read_table(spark, sf, "lineitem", *LI_NUMERIC)))
 
 
+def _applied_sql():
+    return " UNION ALL ".join(
+        f"SELECT n.\"column\", n.spark_type, (SELECT ROUND(sum({c}), 6) FROM lineitem) AS total FROM narrowed n "
+        f"WHERE n.\"column\" = '{c}'" for c in LI_NUMERIC)
+
+
+@register("narrow_apply", sql=f"WITH narrowed AS ({_narrow_sql()}) " + _applied_sql())
+def narrow_apply(spark, sf):
+    """PF11: the table cast to the planned types; each column's type and its unchanged total."""
+    li = read_table(spark, sf, "lineitem", *LI_NUMERIC)
+    cast = nw.apply_narrowing(li, nw.narrow_plan(li))
+    kinds = dict(cast.dtypes)
+    one = cast.agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in cast.columns])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("spark_type"), F.col(c).alias("total"))
+                               for c in cast.columns]))
+    return rounded(one.select(rows.alias("r")).select("r.*"))
+
+
 @register("category_codes", sql=W(
     "SELECT cat_id, CAST(dense_rank() OVER (ORDER BY cat_id) - 1 AS BIGINT) AS code "
     "FROM (SELECT DISTINCT cat_id FROM user_log_all WHERE cat_id IS NOT NULL)"))

@@ -30,7 +30,7 @@ def test_unknown_learner():
 def test_oof_properties(spark, planted):
     train = planted.where(F.col("user_id") % 5 != 0)
     test = planted.where(F.col("user_id") % 5 == 0).drop("label")
-    tm, sm, cv = oof_stacking(train, test, ["gnb", "lgb"], k=3)
+    tm, sm, cv = oof_stacking(train, test, ["gnb", "lgb"], k=3, preset="small")
     n = train.count()
     assert tm.count() == n and tm.select("user_id", "merchant_id").distinct().count() == n
     assert sm.count() == test.count()
@@ -51,7 +51,7 @@ def test_oof_deterministic(spark, planted):
 
 def test_stacked_bagging(spark, planted):
     train = planted.where(F.col("user_id") % 5 != 0)
-    m = StackedBagging(stacking_num=2, bagging_num=2).fit(train)
+    m = StackedBagging(stacking_num=2, bagging_num=2, preset="small").fit(train)
     out = m.transform(train)
     assert out.where((F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
     assert ev.auc(out.withColumn("score", F.col("prob"))).first()["auc"] > 0.8
@@ -91,19 +91,102 @@ def test_oof_rows_scored_by_models_that_did_not_see_them(spark, planted):
     assert j.where(F.abs(F.col("own") - F.col("gnb")) > 1e-12).count() == 0
 
 
-def test_missing_marker_imputed_with_indicator(spark):
-    train, test, cols = pl.model_frames(spark, SF_MID, missing_value=-1.0)
-    assert cols[-1] == "has_history"
+def test_missing_marker_and_indicator(spark):
+    """A user without history has -1 statistics, the indicator, and the median inside a fold."""
     from pyspark.ml.functions import vector_to_array
-    arr = train.select(vector_to_array("features").alias("a"))
-    i = cols.index("user_cnt")
-    assert arr.where(F.col("a")[i] == -1.0).count() == 0
-    assert arr.where(F.col("a")[len(cols) - 1] == 0.0).count() > 0  # users without history exist
+    from shopsignal.operators.prepare import Preparation
+    cols = [c for c in ("user_cnt", "buy_cnt")]
+    df = spark.createDataFrame([(1, 1, 0.0, 4, 1), (2, 1, 1.0, -1, -1), (3, 1, 0.0, 8, 3), (4, 1, 1.0, 6, 2)],
+                               "user_id long, merchant_id long, label double, user_cnt long, buy_cnt long")
+    a = pl.assemble(df, cols, missing_value=-1.0)
+    got = {r["user_id"]: r["features"].toArray().tolist() for r in a.collect()}
+    assert got[2] == [-1.0, -1.0, 0.0] and got[1] == [4.0, 1.0, 1.0]
+    marker, marked = pl.missing_markers(cols + ["has_history"])
+    assert marked == (0, 1)
+    done = Preparation(missing=marker, marked=marked).fit(a).transform(a)
+    got = {r["user_id"]: r["v"] for r in done.select("user_id", vector_to_array("features").alias("v")).collect()}
+    assert got[2] == [6.0, 2.0, 0.0] and got[3] == [8.0, 3.0, 1.0]
+
+
+def test_preparation_never_sees_held_out_rows(spark):
+    from pyspark.ml.functions import vector_to_array
+    from shopsignal.operators.prepare import Prepared, Preparation
+
+    class Keep:
+        def fit(self, df):
+            return self
+
+        def transform(self, df):
+            return df.withColumn("seen", vector_to_array("features"))
+
+    rows = [(i, float(i), 7.0, False) for i in range(5)] + [(9, 1e6, -1e6, True)]
+    df = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(
+        spark.createDataFrame(rows, "id long, x double, y double, held boolean"))
+    model = Prepared(Keep(), Preparation(scale=True), "held").fit(df)
+    assert model.preparation.mean == [2.0, 7.0]
+    assert model.preparation.std == [pytest.approx(2 ** 0.5), 1.0]  # population std; a constant column becomes 0
+    out = {r["id"]: r for r in model.transform(df).collect()}
+    assert out[4]["seen"] == [pytest.approx(2 / 2 ** 0.5), 0.0]
+    assert out[4]["features"].toArray().tolist() == [4.0, 7.0]  # the caller's features stay
+
+
+def test_lr_and_mlp_beat_the_majority(spark, planted):
+    """On features of very different scale with a planted signal."""
+    from shopsignal.operators.learners import prob1
+    from pyspark.ml.functions import vector_to_array
+    a = vector_to_array("features")
+    big = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        planted.select("user_id", "merchant_id", "label", (a[0] * 1e5 + 1e6).alias("a"), (a[1] * 1e-3).alias("b")))
+    fit, held = big.where("user_id % 4 <> 0"), big.where("user_id % 4 = 0")
+    share = held.agg(F.avg("label")).first()[0]
+    for est in (make_learner("lr", n_rows=fit.count(), C=1.0), make_learner("mlp", n_features=2, hidden=(5, 5))):
+        p = est.fit(fit).transform(held)
+        assert ev.accuracy(p).first()["accuracy"] > max(share, 1 - share) + 0.2
+        assert ev.auc(p.withColumn("score", prob1())).first()["auc"] > 0.8
+
+
+def test_booster_keeps_its_best_prefix(spark):
+    """Labels follow x on the training rows; held-out labels turn against the later rounds."""
+    from shopsignal.operators.learners import BestPrefix
+    from pyspark.ml.classification import GBTClassifier
+    rows = [(float(i % 20), float((i % 20) > 9) if i % 7 else float((i % 20) <= 9), i % 3 == 0) for i in range(600)]
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.createDataFrame(rows, "x double, label double, held boolean"))
+    gbt = GBTClassifier(maxIter=200, stepSize=0.5, maxDepth=4, seed=1)
+    model = BestPrefix(gbt, 5, "held").fit(df)
+    long = gbt.copy({gbt.maxIter: 40}).fit(df.where("not held").coalesce(1))
+    loss = long.evaluateEachIteration(df.where("held"))
+    best = loss.index(min(loss)) + 1
+    assert model.getNumTrees == best < 40
+    # stops by patience, not by the limit: the losses of the kept rounds are the long model's
+    assert model.evaluateEachIteration(df.where("held")) == pytest.approx(loss[:best])
+
+
+def test_boosters_see_only_their_own_held_out_fold(spark, planted):
+    """Flipping the labels of the other folds' test rows cannot matter; flipping training labels does."""
+    from shopsignal.operators.folds import kfold
+    from shopsignal.operators.learners import BestPrefix, prob1
+    f = kfold(planted, 3, seed=0).withColumn("_valid", F.col("fold") == 0)
+    est = make_learner("lgb", "small", valid="_valid")
+    assert isinstance(est, BestPrefix)
+    m = est.fit(f)
+    tm, _, _ = oof_stacking(planted, planted.drop("label").limit(1), ["lgb"], k=3, preset="small")
+    own = m.transform(f.where("fold = 0")).select("user_id", "merchant_id", prob1().alias("own"))
+    assert own.join(tm, ["user_id", "merchant_id"]).where(F.abs(F.col("own") - F.col("lgb")) > 1e-9).count() == 0
+
+
+def test_fit_sample_is_bounded_and_stable(spark):
+    from shopsignal.operators.learners import fit_sample
+    df = spark.range(5000).select(F.col("id").alias("user_id"), F.lit(1).alias("merchant_id"))
+    a = fit_sample(df, 700)
+    assert a.count() == 700 and fit_sample(df, 6000).count() == 5000
+    b = fit_sample(df.repartition(13), 700)
+    assert a.exceptAll(b).count() == 0
 
 
 def test_bootstrap_bagging(spark, planted):
     train = planted.where(F.col("user_id") % 5 != 0)
-    out = StackedBagging(stacking_num=1, bagging_num=2, bootstrap=True).fit(train).transform(train)
+    out = StackedBagging(stacking_num=1, bagging_num=2, bootstrap=True, preset="small").fit(train).transform(train)
     assert out.where((F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
 
 
@@ -114,7 +197,7 @@ def test_null_keys_rejected(spark):
 
 
 def test_reference_presets_carry_reference_sizes(spark):
-    rf = make_learner("rf", "reference")
+    rf = make_learner("rf")
     assert rf.getNumTrees() == 1200 and rf.getMaxDepth() == 20
     gb = make_learner("gb", "reference")
     assert gb.getMaxIter() == 100 and gb.getStepSize() == 0.04 and gb.getSubsamplingRate() == 0.8
@@ -122,4 +205,4 @@ def test_reference_presets_carry_reference_sizes(spark):
     assert et.getBootstrap() is False and et.getMaxDepth() == 30
     lgb = make_learner("lgb", "reference")
     assert lgb.getStepSize() == 0.3 and lgb.getMaxIter() == 10000
-    assert make_learner("mlp", "reference", n_features=7).getLayers() == [7, 50, 50, 2]
+    assert make_learner("mlp", n_features=7).learner.getLayers() == [7, 50, 50, 2]
