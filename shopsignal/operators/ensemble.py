@@ -58,7 +58,7 @@ def _shared_folder(spark, name: str) -> str:
 
 def oof_scores(train: DataFrame, test: DataFrame, learners: list[str], k: int = 5, seed: int = 0,
                preset: str = "reference", features: str = "features", label: str = "label",
-               parallelism: int = 4, missing: dict[str, tuple] | None = None, fit_rows: int = FIT_ROWS):
+               parallelism: int = 8, missing: dict[str, tuple] | None = None, fit_rows: int = FIT_ROWS):
     """M1 in long form: (keys, label, learner, fold, p) of the held-out rows, and of all test rows per fold.
 
     A fold's model is fitted on at most ``fit_rows`` rows of the other folds

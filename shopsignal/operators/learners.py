@@ -27,7 +27,7 @@ SEED = 2017
 # Histogram memory per tree-growing pass: more nodes per pass, fewer passes over the data.
 TREE_MEM_MB = 512
 # Labelled rows that one model is fitted on at most, and validated on for early stopping.
-FIT_ROWS = 4000
+FIT_ROWS = 1000
 # Rounds without improvement after which a booster stops: stacked boosters, and the ensemble's.
 PATIENCE = {"xgb": 100, "lgb": 100, "gbt_es": 200}
 

@@ -28,6 +28,7 @@ from shopsignal.sources import fixtures as fx
 
 K = 5
 BOOSTERS = ["lgb", "xgb"]
+PRESET = "reference"  # sizes of all learners; tests set "small"
 ALL_ROWS = 1 << 62  # naive Bayes is one aggregate over the rows: no bound needed
 _MEMO: dict = {}
 
@@ -60,7 +61,7 @@ def _scores(spark, sf, name):
         train, test, cols = _frames(spark, sf)
         # M6: the one booster that reads -1 as missing
         marker = {"xgb": pl.missing_markers(cols)}
-        return oof_scores(train, test, [name], k=K, missing=marker, fit_rows=ALL_ROWS if name == "gnb" else FIT_ROWS)
+        return oof_scores(train, test, [name], k=K, preset=PRESET, missing=marker, fit_rows=ALL_ROWS if name == "gnb" else FIT_ROWS)
     return _once(spark, sf, f"scores-{name}", make)
 
 
@@ -146,7 +147,7 @@ def logreg(spark, sf):
     """M9 (multinomial, standardised) + M14 on a 25 % holdout: (part, accuracy)."""
     s, _, _ = _split(spark, sf)
     fit = fit_sample(s.where(~F.col("is_test")))
-    m = make_learner("lr", n_rows=fit.count(), C=1.0, family="multinomial").fit(fit)
+    m = make_learner("lr", PRESET, n_rows=fit.count(), C=1.0, family="multinomial").fit(fit)
     p = m.transform(s.where(F.col("is_test")))
     return ev.accuracy(p).withColumn("model", F.lit("logreg"))
 
@@ -155,13 +156,13 @@ def logreg(spark, sf):
 def mlp(spark, sf):
     """MLP (5, 5) on a 25 % holdout; accuracy and R^2 of P(class 1)."""
     s, _, cols = _split(spark, sf)
-    m = make_learner("mlp", n_features=len(cols), hidden=(5, 5)).fit(fit_sample(s.where(~F.col("is_test"))))
+    m = make_learner("mlp", PRESET, n_features=len(cols), hidden=(5, 5)).fit(fit_sample(s.where(~F.col("is_test"))))
     p = m.transform(s.where(F.col("is_test"))).withColumn("score", prob1()).checkpoint(eager=True)
     return ev.accuracy(p).withColumn("r2", ev.r2_score(p).select("r2").scalar())
 
 
 def _importance(spark, sf):
-    return _once(spark, sf, "importance", lambda: fit_importance_model(_frames(spark, sf)[0]))
+    return _once(spark, sf, "importance", lambda: fit_importance_model(_frames(spark, sf)[0], PRESET))
 
 
 @register("gbt_early_stop")
@@ -193,7 +194,7 @@ def selection_compare(spark, sf):
 def _sbbtree(spark, sf, bagging_num=1):
     train, _, _ = _frames(spark, sf)
     return _once(spark, sf, f"sbbtree-{bagging_num}", lambda: StackedBagging(
-        stacking_num=2, bagging_num=bagging_num, bagging_test_size=0.33, parallelism=3).fit(train))
+        stacking_num=2, bagging_num=bagging_num, bagging_test_size=0.33, preset=PRESET, parallelism=3).fit(train))
 
 
 @register("sbbtree")
@@ -211,7 +212,7 @@ def bagging_predict(spark, sf):
 @register("submission")
 def submission(spark, sf):
     """M25/IO6: the full modelling path -> (user_id, merchant_id, prob) for every test pair."""
-    return _once(spark, sf, "submission", lambda: _written(pl.run(spark, sf), "submission"))
+    return _once(spark, sf, "submission", lambda: _written(pl.run(spark, sf, preset=PRESET), "submission"))
 
 
 @register("predicted_rows", sql=fx.with_fixtures(
