@@ -173,8 +173,13 @@ def learn(docs: DataFrame, learning: Column | None = None, id_col: str = "doc_id
 
     cells = sample.mapInArrow(run, "lang string, cell int, n double").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     counts = {r["lang"]: np.zeros(len(LENGTHS) * CELLS) for r in sizes}
-    for lang, cell, n in cells.collect():  # at most lengths * CELLS rows per language
-        counts[lang][cell] = n
+    got = cells.toArrow().combine_chunks()  # at most lengths * CELLS rows of 20 bytes per language
+    if got.num_rows:
+        lang = got.column("lang").combine_chunks().dictionary_encode()
+        cell, n = (got.column(c).to_numpy() for c in ("cell", "n"))
+        for i, name in enumerate(lang.dictionary.to_pylist()):
+            at = lang.indices.to_numpy() == i
+            counts[name][cell[at]] = n[at]
     return Codes.learn(counts)
 
 

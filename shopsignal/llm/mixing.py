@@ -68,7 +68,7 @@ def spread(nodes: DataFrame, parents: list[str]) -> DataFrame:
         "seq", "rest", "open", "full", "first", "part")
 
 
-def leaf_budgets(leaves: DataFrame, budget: Column, epochs: int = EPOCHS, temperature: float = TEMPERATURE) -> DataFrame:
+def leaf_budgets(leaves: DataFrame, budget: int, epochs: int = EPOCHS, temperature: float = TEMPERATURE) -> DataFrame:
     """``leaves`` (domain, lang, source, tokens[, weight]) with each leaf's ``budget`` in tokens.
 
     Without a column ``weight`` a leaf's weight is tokens ** ``temperature``, in thousandths; an
@@ -80,10 +80,10 @@ def leaf_budgets(leaves: DataFrame, budget: Column, epochs: int = EPOCHS, temper
     leaves = leaves.withColumn("capacity", F.col("tokens") * epochs)
     sums = [F.sum("weight").alias("weight"), F.sum("capacity").alias("capacity")]
     langs = leaves.groupBy("domain", "lang").agg(*sums)
-    domains = langs.groupBy("domain").agg(*sums).withColumn("all", F.lit(1))
-    total = leaves.agg(F.sum("capacity").alias("most"), F.sum("tokens").alias("have"))
-    total = total.select(F.lit(1).alias("all"), F.least(budget, F.col("most")).cast("long").alias("budget"))
-    domains = spread(domains.join(total, "all"), ["all"]).select("domain", F.col("share").alias("budget"))
+    most = leaves.agg(F.sum("capacity")).first()[0] or 0
+    domains = langs.groupBy("domain").agg(*sums).withColumns(
+        {"all": F.lit(1), "budget": F.lit(min(budget, most)).cast("long")})
+    domains = spread(domains, ["all"]).select("domain", F.col("share").alias("budget"))
     langs = spread(langs.join(domains, "domain"), ["domain"]).select("domain", "lang", F.col("share").alias("budget"))
     out = spread(leaves.join(langs, ["domain", "lang"]), ["domain", "lang"])
     return out.select(*TREE, "tokens", "capacity", "weight", F.col("share").alias("budget"))
@@ -123,7 +123,7 @@ def choose(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     have = leaves.agg(F.sum("tokens")).first()[0] or 0
     if weights is not None:
         leaves = leaves.join(weights.select(*TREE, "weight"), TREE)
-    leaves = leaf_budgets(leaves, F.lit(int(have * budget_share)), epochs, temperature)
+    leaves = leaf_budgets(leaves, int(have * budget_share), epochs, temperature)
     leaves = leaves.withColumn("whole", F.expr("budget div tokens"))
     leaves = written(leaves.withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")), "leaves")
     # sums over hash ranges of the epoch that is not taken whole

@@ -365,12 +365,12 @@ def test_shortage_goes_to_siblings_first(spark):
         [("a", "en", "s1", 10, 50), ("a", "en", "s2", 1000, 50), ("a", "de", "s1", 1000, 100), ("b", "en", "s1", 1000, 200)],
         "domain string, lang string, source string, tokens long, weight long")
     got = {(r["domain"], r["lang"], r["source"]): r["budget"]
-           for r in mixing.leaf_budgets(leaves, F.lit(800), epochs=1).collect()}
+           for r in mixing.leaf_budgets(leaves, 800, epochs=1).collect()}
     # s1 can give 10 of its 100: its sibling s2 gets the other 90, nobody else
     assert got == {("a", "en", "s1"): 10, ("a", "en", "s2"): 190, ("a", "de", "s1"): 200, ("b", "en", "s1"): 400}
     tight = leaves.withColumn("tokens", F.when(F.expr("domain = 'a' and lang = 'en'"), 10).otherwise(F.col("tokens")))
     got = {(r["domain"], r["lang"], r["source"]): r["budget"]
-           for r in mixing.leaf_budgets(tight, F.lit(800), epochs=1).collect()}
+           for r in mixing.leaf_budgets(tight, 800, epochs=1).collect()}
     # all of a/en is short: a/de makes up for it, domain b is not touched
     assert got == {("a", "en", "s1"): 10, ("a", "en", "s2"): 10, ("a", "de", "s1"): 380, ("b", "en", "s1"): 400}
 
