@@ -28,14 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+#: Rows and bytes handed to Python at a time: whole texts are long, and a task holds a few such batches.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+               "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, unless their module path already has it.
+    """Prepare a session for Python over whole texts: bounded Arrow batches, and this package on the executors.
 
-    The same as submitting it with --py-files: the driver packs the sources once per context
-    and Spark distributes the archive.
+    Batch sizes named at launch are kept. The package is sent unless the workers' module path
+    already has it, as submitting it with --py-files would: the driver packs the sources once
+    per context and Spark distributes the archive.
     """
     import shopsignal
 
+    launch = spark.sparkContext.getConf()
+    for k, v in ARROW_BATCH.items():
+        if not launch.contains(k):
+            spark.conf.set(k, v)
     sc, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(shopsignal.__file__)))
     if getattr(sc, "_shopsignal_sent", False) or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
@@ -44,6 +54,23 @@ def ship_package(spark: SparkSession) -> None:
     sc._shopsignal_sent = True
 
 
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with memory that earlier ones have freed given back to the system.
+
+    A Python worker outlives its task, and allocators keep what whole texts have needed: without
+    this, idle workers and the next stage share an executor's memory with it.
+    """
+    import ctypes
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    for b in batches:
+        yield b
+        del b
+        pa.default_memory_pool().release_unused()
+        if trim is not None:
+            trim(0)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -15,11 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Segments kept per Python worker (about 200 bytes each); they are dropped when there are more.
-CACHE_SEGMENTS = 1_500_000
+#: Segments kept per Python worker (about 60 bytes each); they are dropped when there are more.
+CACHE_SEGMENTS = 600_000
 #: Bytes of text encoded together.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 2_000_000
 _JOINED = 200  # new segments per call of the library
 
 _RARE_SPACE = re.compile(r"[^\S \t\n\r\x0b\x0c]")
@@ -36,8 +37,8 @@ class SegmentEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.known = pa.array([], pa.binary())  # segments by number: no Python object is kept for one
+        self.first, self.length = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint32)
         self.flat, self.used = np.zeros(1 << 18, "<u4"), 0
 
     def batches(self, texts: list[str]) -> Iterator[list[np.ndarray]]:
@@ -61,7 +62,7 @@ class SegmentEncoder:
         return out
 
     def _plain(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.number) > self.limit:
+        if len(self.known) > self.limit:
             self._forget()
         data = b"".join(raw)
         if not data:
@@ -70,49 +71,55 @@ class SegmentEncoder:
         cuts = _cuts(data, stops)
         number = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
         coded = number.dictionary_encode()
-        known = self._numbers(coded.dictionary.to_pylist())
-        segment = known[coded.indices.to_numpy()]
-        length = self.length[segment]
+        segment = self._numbers(coded.dictionary)[coded.indices.to_numpy()]
+        length = self.length[segment].astype(np.int64)
         done = np.cumsum(length)
         source = np.repeat(self.first[segment] - (done - length), length)
         source += np.arange(len(source))
         # tokens before the end of each text: segments never cross one
         return self.flat[source], np.append(0, done)[np.searchsorted(cuts, stops)]
 
-    def _numbers(self, segments: list[bytes]) -> np.ndarray:
-        found = [self.number.get(s, -1) for s in segments]
-        new = [s for s, n in zip(segments, found) if n < 0]
-        if not new:
-            return np.array(found, np.int64)
-        joined = [s for s in new if s[0] <= 32 and not s.isspace()]
+    def _numbers(self, segments: pa.Array) -> np.ndarray:
+        """The number of each distinct segment; new ones are encoded and numbered."""
+        out = pc.index_in(segments, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        miss = np.flatnonzero(out < 0)
+        if not len(miss):
+            return out
+        new = segments.take(pa.array(miss)).to_pylist()
         # a segment may follow another only if it begins with a space and that one does not end with one
-        for i in range(0, len(joined), _JOINED):
-            self._learn_joined(joined[i:i + _JOINED])
-        alone = [s for s in new if s[0] > 32 or s.isspace()]
-        for s, e in zip(alone, self.tokenizer.encode_batch([s.decode() for s in alone], add_special_tokens=False)):
-            self._store([s], np.array([0, len(e.ids)]), e.ids)
-        return np.array([self.number[s] if n < 0 else n for s, n in zip(segments, found)], np.int64)
-
-    def _learn_joined(self, segments: list[bytes]) -> None:
+        follows = np.array([s[0] <= 32 and not s.isspace() for s in new])
+        order = np.concatenate([np.flatnonzero(follows), np.flatnonzero(~follows)])
+        count, n = int(follows.sum()), len(self.known)
+        ordered = [new[i] for i in order]
+        for i in range(0, count, _JOINED):
+            self._learn_joined(ordered[i:min(i + _JOINED, count)], n + i)
+        alone = ordered[count:]
+        for i, e in enumerate(self.tokenizer.encode_batch([s.decode() for s in alone], add_special_tokens=False)):
+            self._store(n + count + i, np.array([0, len(e.ids)]), e.ids)
+        self.known = pa.concat_arrays([self.known, pa.array(ordered, pa.binary())])
+        out[miss[order]] = n + np.arange(len(order))
+        return out
+
+    def _learn_joined(self, segments: list[bytes], number: int) -> None:
         data = b"".join(segments)
         e = self.tokenizer.encode(data.decode(), add_special_tokens=False)
         # a token belongs to the segment in which its first character lies
         first = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
         chars = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
         ends = chars[np.cumsum([len(s) for s in segments]) - 1]
-        self._store(segments, np.append(0, np.searchsorted(first, ends)), e.ids)
+        self._store(number, np.append(0, np.searchsorted(first, ends)), e.ids)
 
-    def _store(self, segments: list[bytes], cuts: np.ndarray, ids: list[int]) -> None:
-        n, more, used = len(self.number), len(segments), self.used
-        while n + more > len(self.first):
+    def _store(self, number: int, cuts: np.ndarray, ids: list[int]) -> None:
+        """Keep the ids of the segments numbered from ``number`` on; ``cuts``: where each one's ids begin."""
+        more, used = len(cuts) - 1, self.used
+        while number + more > len(self.first):
             self.first, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.length))
         while used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[used:used + len(ids)] = ids
-        self.first[n:n + more] = used + cuts[:-1]
-        self.length[n:n + more] = np.diff(cuts)
+        self.first[number:number + more] = used + cuts[:-1]
+        self.length[number:number + more] = np.diff(cuts)
         self.used += len(ids)
-        self.number.update(zip(segments, range(n, n + more)))
 
 
 def _cuts(data: bytes, stops: np.ndarray) -> np.ndarray:

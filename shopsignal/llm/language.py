@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopsignal.llm.common import lean
+
 #: Cells of the hashed n-gram tables, per n-gram length.
 CELLS = 1 << 14
 LENGTHS = (1, 2, 3)
@@ -196,7 +198,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = shared.value
-        for b in batches:
+        for b in lean(batches):
             out = []
             for t in b.column(2):
                 text = t.as_py()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsignal.llm.common import whole_text, written
+from shopsignal.llm.common import lean, whole_text, written
 from shopsignal.llm.encode import encoder
 
 CAPACITY = 4096
@@ -105,7 +105,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         from pyspark import TaskContext
 
         enc, task, seen = encoder(tokenizer), TaskContext.get().partitionId(), {}
-        for b in batches:
+        for b in lean(batches):
             rows = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "task", "rank")}
             kept, docs_of, at = [], b.column(0).to_pylist(), 0
             for group in enc.batches(b.column(1).to_pylist()):

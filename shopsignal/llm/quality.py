@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsignal.llm.common import record, unpack, whole_text
+from shopsignal.llm.common import lean, record, unpack, whole_text
 
 #: Rows with labels that a fit uses, about (a sample by hash of the id); 16 bytes each are broadcast.
 MAX_LABELS = 100_000
@@ -71,7 +71,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     columns = docs.select(record(docs), whole_text(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             x = [statistics(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["rec", "x"])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopsignal.llm.common import whole_text
+from shopsignal.llm.common import lean, whole_text
 
 CHUNK_BYTES = 512
 #: Cells of the transition table (4 bytes each) at which it is emptied and compiled anew.
@@ -328,7 +328,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = machine(tokenizer)
-        for b in batches:
+        for b in lean(batches):
             texts = b.column(1).to_pylist()
             n_bytes = np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts))
             counts = np.zeros(len(texts), np.int64)

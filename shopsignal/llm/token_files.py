@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopsignal.llm.common import whole_text
+from shopsignal.llm.common import lean, whole_text
 from shopsignal.llm.encode import encoder
 
 BLOCK_TOKENS = 1 << 20
@@ -106,7 +106,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                             ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("width", pa.int32()),
                             ("ids", pa.binary()), ("low_bits", pa.int32()), ("low", pa.binary()),
                             ("high", pa.binary()), ("ranks", pa.binary())])
-        for b in batches:
+        for b in lean(batches):
             docs_of, i = b.column(0).to_pylist(), 0
             for group in enc.batches(b.column(1).to_pylist()):
                 for ids in group:
