@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopsignal.llm.common import join_groups, record, unpack, whole_runs, whole_text, written
+from shopsignal.llm.common import join_checked, join_groups, lean, record, unpack, whole_runs, whole_text, written
 from shopsignal.llm.components import components, local_forest
 
 SHINGLE_WORDS = 3
@@ -62,7 +62,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", k: int = SHINGLE_W
     columns = docs.select(record(docs), whole_text(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in lean(batches):
             fps = np.fromiter((fingerprint(t.as_py(), k) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["rec", "fp"])
 
@@ -177,5 +177,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     root = components(link_points(points.select("fp"), **settings)).withColumnRenamed("node", "fp")
     best = (points.join(root, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
             .agg(F.min("best").alias("best")).select(F.col("best.row").alias("row")))
-    stays = rows.join(written(best, "stays"), "row", "left_semi")
-    return unpack(stays, docs.columns)
+    # the rows that go are few or many: their numbers are broadcast if few, and texts are shuffled only if many
+    goes = written(slim.select("row").join(best, "row", "left_anti"), "goes")
+    return unpack(join_checked(rows, goes, ["row"], "left_anti"), docs.columns)
