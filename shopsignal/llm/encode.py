@@ -1,15 +1,19 @@
 """Token ids of whole texts from the tokenizers library, each distinct segment encoded once.
 
-The library pre-splits a text and encodes each piece by itself, and no piece reaches from a
-non-space character over a following space, nor from a letter or digit to a following full
-stop or comma. A text may therefore be cut at these places, and the ids of a segment (spaces
-and the word after them, or signs) do not depend on its neighbours. A batch's segments are
-numbered by Arrow; the library encodes those that the worker has not yet seen. Texts with
-rarer white space or with a special token's string go to the library whole.
+The library pre-splits a text and encodes each piece by itself. With the two kinds of file named
+in ``PROVEN`` no piece reaches from a non-space character over a following space, nor from a
+letter or digit to a following full stop or comma: their patterns put white space, letters and
+other signs into different pieces, and what they normalise (composition, lower case, runs of
+white space) never joins characters across these places. A text may therefore be cut there, and
+the ids of a segment (spaces and the word after them, or signs) do not depend on its neighbours.
+A batch's segments are numbered by Arrow; the library encodes those that the worker has not yet
+seen. Texts with rarer white space or with a special token's string, and all texts of any other
+kind of file, go to the library whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
@@ -23,6 +27,18 @@ CACHE_SEGMENTS = 600_000
 BATCH_BYTES = 2_000_000
 _JOINED = 200  # new segments per call of the library
 
+# The (normalizer, pre-tokenizer) settings for which the cuts above hold, as the library writes them.
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PROVEN = [
+    (None, {**_BYTES, "use_regex": True}),
+    ({"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+     {"type": "Sequence", "pretokenizers": [
+         {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True},
+         {**_BYTES, "use_regex": False}]}),
+]
+
 _RARE_SPACE = re.compile(r"[^\S \t\n\r\x0b\x0c]")
 _ENCODERS: dict[str, SegmentEncoder] = {}
 
@@ -32,6 +48,8 @@ class SegmentEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        shape = json.loads(self.tokenizer.to_str())
+        self.cut = (shape["normalizer"], shape["pre_tokenizer"]) in PROVEN
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.limit = limit
         self._forget()
@@ -52,7 +70,7 @@ class SegmentEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids (unsigned 32 bits) of each whole text."""
-        whole = [bool(_RARE_SPACE.search(t)) or any(s in t for s in self.special) for t in texts]
+        whole = [not self.cut or bool(_RARE_SPACE.search(t)) or any(s in t for s in self.special) for t in texts]
         raw = [b"" if w else t.encode() for t, w in zip(texts, whole)]
         ids, ends = self._plain(raw)
         out = np.split(ids, ends[:-1])
@@ -86,8 +104,9 @@ class SegmentEncoder:
         if not len(miss):
             return out
         new = segments.take(pa.array(miss)).to_pylist()
-        # a segment may follow another only if it begins with a space and that one does not end with one
-        follows = np.array([s[0] <= 32 and not s.isspace() for s in new])
+        # a segment may follow another only if it begins with white space and that one does not end
+        # with any; other control characters would join the signs before them
+        follows = np.array([s[0] in b" \t\n\v\f\r" and not s.isspace() for s in new])
         order = np.concatenate([np.flatnonzero(follows), np.flatnonzero(~follows)])
         count, n = int(follows.sum()), len(self.known)
         ordered = [new[i] for i in order]

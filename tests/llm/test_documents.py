@@ -14,6 +14,7 @@ from xxhash import xxh64_intdigest
 
 from shopsignal.llm import exact_dedup, language, mixing, packing, quality, simhash, token_counts, token_files
 from shopsignal.llm.common import shared_path
+from shopsignal.llm.encode import SegmentEncoder
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import COLUMNS, odd_rows
 
@@ -386,3 +387,38 @@ def test_empty_tables(spark, none):
         assert df.count() == 0
     for df in (exact_dedup.deduplicate(none), simhash.drop_near_duplicates(none), quality.keep_good(none, labels), mixing.mix(none)):
         assert df.columns == COLUMNS.names and df.count() == 0
+
+
+# -- segment encoder ----------------------------------------------------------------------------
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_ids_of_any_bytes_in_any_order(path, texts):
+    """Every single-byte character at the beginning, inside and at the end of texts, many texts through one encoder."""
+    rng = np.random.default_rng(11)
+    signs = ["!!", "''", "=", "...", "\u2019", "\u20ac", "he said", "'s", "'re", " ", "\n\n", "\t", "a", "7", ",", ".", "e\u0301",
+             "\u0301", "\u00a0", "\u03a3", "\u4e2d", "<|endoftext|>", "\u0338"]
+    chars = [chr(i) for i in range(256)]
+    cases = [c + t for c in chars for t in ("", " b", "b !!", ", x")] + ["he said " + s + c for c in chars for s in signs[:6]]
+    cases += ["".join(rng.choice(signs + chars, rng.integers(1, 30))) for _ in range(6000)]
+    cases += [t for t in texts.values() if t]
+    tk = Tokenizer.from_file(path)
+    want = [e.ids for e in tk.encode_batch(cases, add_special_tokens=False)]
+    enc = SegmentEncoder(path)
+    for _ in range(2):  # the second time in another order, from a warm cache
+        order = rng.permutation(len(cases))
+        at = 0
+        while at < len(order):
+            take = order[at:at + int(rng.integers(1, 200))]
+            for i, ids in zip(take, enc.encode([cases[i] for i in take])):
+                assert ids.tolist() == want[i], repr(cases[i])
+            at += len(take)
+
+
+def test_unproven_tokenizer_encodes_whole_texts(tmp_path):
+    tk = Tokenizer.from_file(BYTE)
+    from tokenizers.pre_tokenizers import ByteLevel
+    tk.pre_tokenizer = ByteLevel(add_prefix_space=True, use_regex=False)
+    tk.save(str(tmp_path / "other.json"))
+    enc = SegmentEncoder(str(tmp_path / "other.json"))
+    assert not enc.cut and SegmentEncoder(BYTE).cut and SegmentEncoder(WORD).cut
+    cases = ["a b c, d", "", "x  y\n"]
+    assert [e.tolist() for e in enc.encode(cases)] == [tk.encode(c, add_special_tokens=False).ids for c in cases]
