@@ -92,6 +92,17 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def text_blocks(text: str | bytes, size: int, run) -> list[tuple[int, int]]:
+    """Cut a text into spans of about ``size`` characters; each is extended over what the compiled
+    pattern ``run`` matches at its end, so that no run is cut. An empty text is one empty span."""
+    spans, at = [], 0
+    while at < len(text) or not spans:
+        end = run.match(text, min(len(text), at + size)).end()
+        spans.append((at, end))
+        at = end
+    return spans
+
+
 def record(df: DataFrame, name: str = "rec") -> Column:
     """All columns of ``df`` as one struct: the caller's columns cannot clash with an operator's own."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
