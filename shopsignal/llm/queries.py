@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shopsignal.llm import (
     chat,
     exact_dedup,
+    extract,
     fim,
     language,
     lexical,
@@ -142,6 +143,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+@register("op11_html")
+def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 @register("op12_fim", r"""
 WITH h AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
                   sha256('1:' || doc_id) AS s FROM documents),
