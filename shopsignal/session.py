@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -93,3 +95,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def ship_sources(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python, as submitting it with --py-files would.
+
+    Nothing is sent where the workers' module path already has it; else once per context.
+    """
+    import shopsignal
+
+    sc, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(shopsignal.__file__)))
+    if getattr(sc, "_shopsignal_sent", False) or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    place = tempfile.mkdtemp(prefix="shopsignal-src-")
+    sc.addPyFile(shutil.make_archive(os.path.join(place, "shopsignal"), "zip", root, "shopsignal"))
+    sc._shopsignal_sent = True
