@@ -1,4 +1,4 @@
-"""Second-order gradient boosting on Spark (M6, M7, M20): many boosters grown side by side.
+"""Second-order gradient boosting on Spark (M4, M6, M7, M20): many boosters grown side by side.
 
 A round needs a few passes over the same row blocks, each giving the histograms of all open nodes;
 the split search over these is bounded by nodes x features x bins. Margins are a running column of
@@ -58,6 +58,7 @@ class Boosting:
     gamma: float = 0.0
     min_hessian: float = 1e-3
     min_rows: int = 1
+    by_rows: bool = False  # split by squared error of the gradients; leaf values stay second-order
     row_share: float = 1.0
     bag_every: int = 1
     column_share: float = 1.0  # of the features, per tree
@@ -119,7 +120,7 @@ class _Growing:
     def _search(self, node: int, hist: np.ndarray) -> None:
         allowed = np.zeros(self.d, bool)
         allowed[self._some(self.columns, self.c.level_share, 1 + self.depth[node])] = True
-        s = best_split(hist, allowed, self.marked, self.c.l2, self.c.min_hessian, self.c.min_rows)
+        s = best_split(hist, allowed, self.marked, self.c.l2, self.c.min_hessian, self.c.min_rows, self.c.by_rows)
         self.split[node] = s
         if s.gain > 0:
             self.hist[node] = hist
@@ -423,6 +424,21 @@ class _Booster:
         return model
 
 
+class HistogramBooster:
+    """One booster as a learner; ``valid``: a boolean column of held-out rows, ``weight``: of training weights."""
+
+    def __init__(self, settings: Boosting, features: str = "features", label: str = "label", valid: str | None = None,
+                 weight: str | None = None, missing: tuple[float, tuple[int, ...]] | None = None, keys=("user_id", "merchant_id")):
+        self.settings, self.features, self.label, self.valid, self.weight = settings, features, label, valid, weight
+        self.marker, self.marked = missing or (None, ())
+        self.keys = list(keys)
+
+    def fit(self, df: DataFrame) -> BoostedModel:
+        held = F.col(self.valid) if self.valid else F.lit(False)
+        weight = F.when(~held, F.col(self.weight) if self.weight else F.lit(1.0)).otherwise(0.0)
+        return fit_boosters(df, [self.settings], [weight], [held], self.keys, self.features, self.label, self.marker, self.marked)[0]
+
+
 def _train(boosters: list[_Booster], binning: Binning, passes) -> None:
     """All rounds of the boosters, side by side."""
     d = len(binning.borders)

@@ -1,10 +1,10 @@
 """Out-of-fold stacking (M1), stacked bagging ensemble (M24) and model averaging.
 
-Folds are a column (K1/K3); each fit is one Spark ML job on a filter of one
-persisted frame. A fold's scores are written as soon as its model is fitted
-and the model is dropped: the driver holds only the models being fitted. Keys
-travel with every prediction (no positional concat, D6); scores are P(class 1)
-(D4) in training and scoring alike (D8).
+Folds are a column (K1/K3). The tree learners of all folds and bags are fitted side by side over
+one bounded sample; other learners are one Spark ML job per fold on a filter of the persisted
+frame. A fold's scores are written as soon as its model is fitted and the model is dropped. Keys
+travel with every prediction (no positional concat, D6); scores are P(class 1) (D4) in training
+and scoring alike (D8).
 """
 
 from __future__ import annotations
@@ -15,17 +15,19 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopsignal.operators import evaluate as ev
-from shopsignal.operators.folds import kfold, stratified_kfold, train_test_split
-from shopsignal.operators.learners import FIT_ROWS, fit_sample, make_learner, prob1
+from shopsignal.operators.boosting import fit_boosters
+from shopsignal.operators.folds import bootstrap_count, kfold, stratified_kfold, train_test_split
+from shopsignal.operators.forest import fit_forests
+from shopsignal.operators.learners import (BOOSTERS, BOUNDED, FIT_ROWS, FORESTS, booster_settings, fit_sample, forest_settings,
+                                           make_learner, prob1)
 from shopsignal.session import ensure_checkpoint_dir
 
 KEYS = ["user_id", "merchant_id"]
-EARLY_STOPPED = ("xgb", "lgb")  # boosters with a watch list on the held-out fold
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -61,31 +63,39 @@ def oof_scores(train: DataFrame, test: DataFrame, learners: list[str], k: int =
                parallelism: int = 8, missing: dict[str, tuple] | None = None, fit_rows: int = FIT_ROWS):
     """M1 in long form: (keys, label, learner, fold, p) of the held-out rows, and of all test rows per fold.
 
-    A fold's model is fitted on at most ``fit_rows`` rows of the other folds
-    and, for boosters, stopped early on at most as many of the held-out fold;
-    all rows are scored. ``missing``: per learner, its missing marker.
+    A fold's model is fitted on the rows of the other folds; boosters stop early on those of the
+    held-out fold, as the reference's do, other learners never see it. Tree learners read a sample
+    of at most ``fit_rows`` rows of the frame, the same for all folds; all rows are scored.
+    ``missing``: per learner, its missing marker.
     """
     spark = train.sparkSession
     tr = kfold(train, k, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
     te = test.persist(StorageLevel.MEMORY_AND_DISK)
     d = _n_features(tr, features)
     folder = _shared_folder(spark, "oof")
+    sample = fit_sample(tr, fit_rows) if BOUNDED & set(learners) else tr
+    others, own = [F.col("fold") != i for i in range(k)], [F.col("fold") == i for i in range(k)]
+    fitted: dict[tuple[str, int], object] = {}
+    boosters = [n for n in learners if n in BOOSTERS]
+    if boosters:  # all folds of all boosters in one go
+        settings = [booster_settings(n, preset) for n in boosters for _ in range(k)]
+        marker, marked = next((m for n, m in (missing or {}).items() if n in boosters), (None, ()))
+        models = fit_boosters(sample, settings, [w.cast("double") for w in others] * len(boosters), own * len(boosters), KEYS, features,
+                              label, marker, marked)
+        fitted |= {(n, i): models[j * k + i] for j, n in enumerate(boosters) for i in range(k)}
+    for n in (n for n in learners if n in FORESTS):
+        models = fit_forests(sample, [forest_settings(n, preset)] * k, [w.cast("double") for w in others], KEYS, features, label)
+        fitted |= {(n, i): models[i] for i in range(k)}
 
     def one(job):
         name, i = job
-        held = F.col("fold") == i
-        rows = fit_sample(tr.where(~held), fit_rows)
-        extra = {"missing": (missing or {}).get(name)}
-        if name in EARLY_STOPPED:
-            # M6/M7: the boosters train on the other folds and stop early on the held-out fold
-            rows = rows.unionByName(fit_sample(tr.where(held), fit_rows)).withColumn("_valid", held)
-            est = make_learner(name, preset, features=features, label=label, valid="_valid", **extra)
-        else:
+        model = fitted.get(job)
+        if model is None:
+            rows = (sample if name in BOUNDED else tr).where(others[i])
             # regParam = 1 / (C * n_fit)
-            est = _learner(name, preset, d, rows.count() if name == "lr" else 0, features, label, **extra)
-        model = est.fit(rows)
+            model = _learner(name, preset, d, rows.count() if name == "lr" else 0, features, label).fit(rows)
         out = [F.lit(name).alias("learner"), F.lit(i).alias("fold"), prob1().alias("p")]
-        model.transform(tr.where(held)).select(*KEYS, F.col(label), *out).write.parquet(f"{folder}/oof/{name}-{i}")
+        model.transform(tr.where(own[i])).select(*KEYS, F.col(label), *out).write.parquet(f"{folder}/oof/{name}-{i}")
         model.transform(te).select(*KEYS, *out).write.parquet(f"{folder}/test/{name}-{i}")
 
     grid = [(name, i) for name in learners for i in range(k)]
@@ -127,15 +137,16 @@ class StackedBagging:
     fit: for each of ``stacking_num`` stratified folds an MLP is fit on the
     other folds and scores its fold (OOF meta column); then ``bagging_num``
     boosters are fit on the features + meta column, each with a seeded
-    train/validation split driving early stopping.
+    train/validation split driving early stopping; ``bootstrap``: training rows
+    weighted by how often a bootstrap draws them (K6).
     predict: meta = mean of the stacking models' P(class 1); output = mean of
-    the boosters' P(class 1). Every model is fitted on at most ``fit_rows`` rows.
+    the boosters' P(class 1). Boosters read at most ``fit_rows`` rows.
     """
 
     def __init__(self, stacking_num: int = 2, bagging_num: int = 1, bagging_test_size: float = 0.33,
                  preset: str = "reference", features: str = "features", label: str = "label",
-                 parallelism: int = 1, bootstrap: bool = False, fit_rows: int = FIT_ROWS):
-        self.parallelism, self.bootstrap, self.fit_rows = parallelism, bootstrap, fit_rows
+                 parallelism: int = 1, bootstrap: bool = False, fit_rows: int = FIT_ROWS, patience: int = 0):
+        self.patience, self.parallelism, self.bootstrap, self.fit_rows = patience, parallelism, bootstrap, fit_rows
         self.stacking_num, self.bagging_num, self.test_size = stacking_num, bagging_num, bagging_test_size
         self.preset, self.features, self.label = preset, features, label
         self.stacking_models, self.bagging_models = [], []
@@ -149,23 +160,21 @@ class StackedBagging:
                 StorageLevel.MEMORY_AND_DISK)
             self.stacking_models = _each(
                 lambda k: make_learner("mlp", self.preset, features=self.features, label=self.label, n_features=d)
-                .fit(fit_sample(f.where(F.col("fold") != k), self.fit_rows)), range(self.stacking_num), self.parallelism)
+                .fit(f.where(F.col("fold") != k)), range(self.stacking_num), self.parallelism)
             parts = [m.transform(f.where(F.col("fold") == k)).select(*train.columns, prob1().alias("meta"))
                      for k, m in enumerate(self.stacking_models)]
             x = _union(parts).checkpoint(eager=True)
             f.unpersist()
             x = append_columns(x, ["meta"], self.features)
 
-        def bag(bn: int):
-            s = train_test_split(x, self.test_size, seed=bn, name="is_valid")
-            fit, held = (fit_sample(s.where(c), self.fit_rows) for c in (~F.col("is_valid"), F.col("is_valid")))
-            if self.bootstrap:
-                # K6 option: a true bootstrap of the training part (Poisson sampling, seeded)
-                fit = fit.sample(withReplacement=True, fraction=1.0, seed=bn)
-            return make_learner("gbt_es", self.preset, features=self.features, label=self.label,
-                                valid="is_valid").fit(fit.unionByName(held))
-
-        self.bagging_models = _each(bag, range(self.bagging_num), self.parallelism)
+        rows, weights, held = fit_sample(x, self.fit_rows), [], []
+        for bn in range(self.bagging_num):
+            rows = train_test_split(rows, self.test_size, seed=bn, name=f"_valid{bn}")
+            held.append(F.col(f"_valid{bn}"))
+            weights.append(F.when(~held[bn], bootstrap_count(bn).cast("double") if self.bootstrap else F.lit(1.0)))
+        settings = [booster_settings("gbt_es", self.preset, patience=self.patience or booster_settings("gbt_es", self.preset).patience)
+                    ] * self.bagging_num
+        self.bagging_models = fit_boosters(rows, settings, weights, held, KEYS, self.features, self.label)
         return self
 
     def transform(self, df: DataFrame, out: str = "prob") -> DataFrame:
@@ -190,4 +199,4 @@ class StackedBagging:
         return x.drop(*[f"_bpp{i}" for i in range(len(self.bagging_models))])
 
 
-__all__ = ["oof_scores", "oof_stacking", "stack_tables", "StackedBagging", "append_columns", "array_to_vector"]
+__all__ = ["oof_scores", "oof_stacking", "stack_tables", "StackedBagging", "append_columns"]

@@ -92,3 +92,20 @@ def shuffle_split(df: DataFrame, n_splits: int = 5, test_size: float = 0.3, keys
         h, (cut,) = _cuts(df, keys, r, True, at)
         parts.append(F.struct(F.lit(r).alias("repeat"), (F.lit(True) if cut is None else h < cut).alias(name)))
     return df.select(*keys, F.explode(F.array(*parts)).alias("_s")).select(*keys, "_s.*")
+
+
+# The distribution function of the Poisson law with mean 1, up to the largest count whose
+# share is above 2 ** -52, the step of the uniform numbers below.
+POISSON_CDF = tuple(math.exp(-1) * sum(1 / math.factorial(i) for i in range(j + 1)) for j in range(18))
+
+
+def bootstrap_count(bag: int, keys=KEYS) -> Column:
+    """K6: how often the bootstrap of ``bag`` draws a row, from its keys alone.
+
+    In a bootstrap of n of n rows a row's count tends to the Poisson law with mean 1. The count is
+    that law's inverse at a uniform number made of the first 52 bits of ``md5(keys, bag)``: the same
+    for any partitioning and order, and rows with equal keys get equal counts.
+    """
+    digest = F.md5(F.concat_ws("_", *[F.col(k).cast("string") for k in keys], F.lit(f"bag{bag}")))
+    u = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / float(1 << 52)
+    return sum(((u >= c).cast("int") for c in POISSON_CDF), F.lit(0)).cast("int")

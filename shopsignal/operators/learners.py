@@ -1,69 +1,66 @@
-"""Pluggable classifiers by name (UD6) as Spark ML estimators.
+"""Pluggable classifiers by name (UD6): M2-M9, M13, M20.
 
-Each name maps to a factory. The default preset ``reference`` carries the
-reference's sizes; ``small`` keeps the same shape with sizes for tests.
-Differences that Spark ML cannot express (leaf-wise growth, L2 on leaves,
-extra-trees random thresholds) are noted on each factory. An unknown name
-raises ``ValueError``.
+Each name maps to settings of this library's tree learners or to a Spark ML estimator. The
+default preset ``reference`` carries the reference's sizes; ``small`` keeps the same shape with
+sizes for tests. An unknown name raises ``ValueError``.
 
-Fits read at most ``FIT_ROWS`` labelled rows (``fit_sample``): the first in
-md5 order of their keys. Scores are computed for every row.
+Tree learners other than depth-2 forests are fitted on at most ``FIT_ROWS`` labelled rows
+(``fit_sample``): the first in md5 order of their keys. The other learners read all rows, and
+scores are computed for every row.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopsignal.operators.boosting import Boosting, HistogramBooster
+from shopsignal.operators.forest import Forest, ForestLearner
+from shopsignal.operators.knn import KNeighbors
 from shopsignal.operators.prepare import Preparation, Prepared
 from shopsignal.plans.ranking import order_cuts
 
 SEED = 2017
-# Histogram memory per tree-growing pass: more nodes per pass, fewer passes over the data.
-TREE_MEM_MB = 512
-# Labelled rows that one model is fitted on at most, and validated on for early stopping.
-FIT_ROWS = 1000
-# Rounds without improvement after which a booster stops: stacked boosters, and the ensemble's.
-PATIENCE = {"xgb": 100, "lgb": 100, "gbt_es": 200}
-
-
-def _rf(p, **kw):
-    # M2: 1200 trees, depth 20, sqrt features
-    n, depth = (1200, 20) if p == "reference" else (20, 6)
-    return RandomForestClassifier(maxMemoryInMB=TREE_MEM_MB, numTrees=n, maxDepth=depth, featureSubsetStrategy="sqrt", seed=SEED, **kw)
-
-
-def _et(p, **kw):
-    # M5: extra trees -> no bootstrap; Spark caps depth at 30 and keeps best-split thresholds
-    n, depth = (1200, 30) if p == "reference" else (20, 8)
-    return RandomForestClassifier(maxMemoryInMB=TREE_MEM_MB, numTrees=n, maxDepth=depth, featureSubsetStrategy="sqrt", bootstrap=False,
-                                  seed=SEED, **kw)
-
-
-def _gb(p, **kw):
-    # M4: 100 trees, rate 0.04, subsample 0.8, depth 5
-    n = 100 if p == "reference" else 10
-    return GBTClassifier(maxMemoryInMB=TREE_MEM_MB, maxIter=n, stepSize=0.04, subsamplingRate=0.8, maxDepth=5, seed=SEED, **kw)
-
-
-def _xgb(p, **kw):
-    # M6: depth 5, eta 0.03, subsample / colsample 0.7; min_child_weight -> minInstancesPerNode;
-    # lambda (L2 on leaves) and gamma have no counterpart
-    n = 10000 if p == "reference" else 15
-    return GBTClassifier(maxMemoryInMB=TREE_MEM_MB, maxIter=n, maxDepth=5, stepSize=0.03, subsamplingRate=0.7,
-                         featureSubsetStrategy="0.7", minInstancesPerNode=2, seed=SEED, **kw)
-
-
-def _lgb(p, **kw):
-    # M7: 32 leaves (~depth 5), rate 0.3, subsample 0.7; leaf-wise growth has no counterpart
-    n = 10000 if p == "reference" else 15
-    return GBTClassifier(maxMemoryInMB=TREE_MEM_MB, maxIter=n, maxDepth=5, stepSize=0.3, subsamplingRate=0.7,
-                         featureSubsetStrategy="0.7", seed=SEED, **kw)
+# Labelled rows that a tree learner is fitted (and validated) on at most.
+FIT_ROWS = 100_000
+
+# M4: 100 trees, rate 0.04, subsample 0.8, depth 5, splits by squared error
+# M6: depth 5, eta 0.03, lambda 10, gamma 1, min_child_weight 1.5, subsample / colsample 0.7 by tree and level,
+#     missing = -1, a tree per class, base score 0.5
+# M7: 32 leaves, rate 0.3, lambda 10, min hessian 1.5, 20 rows a leaf, feature fraction 0.7; no bagging frequency, so no bagging
+# 9 leaves, rate 0.03, feature fraction 0.9, bagging 0.8 every 5 rounds, min_data 20, min_hessian 1, AUC
+BOOSTERS = {
+    "gb": Boosting(rounds=100, rate=0.04, depth=5, row_share=0.8, by_rows=True, min_hessian=0.0, seed=SEED),
+    "xgb": Boosting(rounds=10_000, patience=100, rate=0.03, depth=5, l2=10.0, gamma=1.0, min_hessian=1.5, row_share=0.7,
+                    column_share=0.7, level_share=0.7, both_classes=True, from_prior=False, missing=True, seed=SEED),
+    "lgb": Boosting(rounds=10_000, patience=100, rate=0.3, leaves=32, l2=10.0, min_hessian=1.5, min_rows=20, column_share=0.7,
+                    both_classes=True, seed=SEED),
+    "gbt_es": Boosting(rounds=10_000, patience=200, rate=0.03, leaves=9, min_hessian=1.0, min_rows=20, row_share=0.8, bag_every=5,
+                       column_share=0.9, metric="auc", seed=2),
+}
+# Rounds and patience of the small preset.
+SMALL = {"gb": (10, 0), "xgb": (15, 5), "lgb": (15, 5), "gbt_es": (30, 5)}
+# M2: 1200 trees of depth 20, bootstrap, sqrt features; M5: 1200 of depth 35, all rows, random thresholds
+FORESTS = {"rf": Forest(trees=1200, depth=20, seed=SEED),
+           "et": Forest(trees=1200, depth=35, bootstrap=False, random_thresholds=True, seed=SEED)}
+SMALL_FORESTS = {"rf": (20, 6), "et": (20, 8)}
+# Learners whose fits are bounded by FIT_ROWS.
+BOUNDED = {*BOOSTERS, *FORESTS, "ada"}
+
+
+def booster_settings(name: str, preset: str = "reference", **changes) -> Boosting:
+    rounds, patience = SMALL[name]
+    return replace(BOOSTERS[name], **({"rounds": rounds, "patience": patience} if preset == "small" else {}), **changes)
+
+
+def forest_settings(name: str, preset: str = "reference") -> Forest:
+    trees, depth = SMALL_FORESTS[name]
+    return replace(FORESTS[name], trees=trees, depth=depth) if preset == "small" else FORESTS[name]
 
 
 def _gnb(p, **kw):
@@ -85,37 +82,31 @@ def _mlp(p, n_features: int = 0, hidden=(50, 50), **kw):
                                           maxIter=200 if p == "reference" else 20, seed=1, **kw)
 
 
-def _gbt_es(p, **kw):
-    # 9 leaves -> depth 3, rate 0.03, feature fraction 0.9, bagging 0.8, min_data 20
-    n = 10000 if p == "reference" else 30
-    return GBTClassifier(maxMemoryInMB=TREE_MEM_MB, maxIter=n, maxDepth=3, stepSize=0.03, featureSubsetStrategy="0.9",
-                         subsamplingRate=0.8, minInstancesPerNode=20, seed=2, **kw)
-
-
-FACTORIES = {"rf": _rf, "et": _et, "gb": _gb, "xgb": _xgb, "lgb": _lgb, "gnb": _gnb, "lr": _lr,
-             "mlp": _mlp, "gbt_es": _gbt_es}
+FACTORIES = {"gnb": _gnb, "lr": _lr, "mlp": _mlp}
 
 
 def make_learner(name: str, preset: str = "reference", features: str = "features", label: str = "label",
                  valid: str | None = None, missing: tuple[float, tuple[int, ...]] | None = None, **params):
     """The learner ``name``; ``lr`` and ``mlp`` standardise their features (fitted with the model).
 
-    ``valid``: a boolean column of held-out rows; boosters then keep their best
-    prefix on these rows. ``missing``: (marker, feature indices) whose marker
-    becomes the median of the training rows.
+    ``valid``: a boolean column of held-out rows; boosters with patience then keep
+    their rounds up to the best one on these rows. ``missing``: (marker, feature
+    indices) that boosters which read missing values send in a learned direction.
     """
     if name == "ada":
         return AdaBoostSAMME(n_estimators=50 if preset == "reference" else 5, learning_rate=0.01,
                              features=features, label=label)
+    if name in BOOSTERS:
+        settings = booster_settings(name, preset, **params)
+        return HistogramBooster(settings, features, label, valid, missing=missing if settings.missing else None)
+    if name == "knn":
+        return KNeighbors(200 if preset == "reference" else 15, features, label)  # M10
+    if name in FORESTS:
+        return ForestLearner(forest_settings(name, preset), features, label)
     if name not in FACTORIES:
-        raise ValueError(f"unknown learner {name!r}; known: {sorted(FACTORIES) + ['ada']}")
+        raise ValueError(f"unknown learner {name!r}; known: {sorted([*FACTORIES, *BOOSTERS, *FORESTS, 'ada', 'knn'])}")
     learner = FACTORIES[name](preset, featuresCol=features, labelCol=label, **params)
-    if valid is not None and name in PATIENCE:
-        learner = BestPrefix(learner, PATIENCE[name] if preset == "reference" else 5, valid)
-    marker, marked = missing or (None, ())
-    if name in ("lr", "mlp") or marked:
-        learner = Prepared(learner, Preparation(features, name in ("lr", "mlp"), marker, marked), valid)
-    return learner
+    return Prepared(learner, Preparation(features, True), valid) if name in ("lr", "mlp") else learner
 
 
 def fit_sample(df: DataFrame, bound: int = FIT_ROWS, keys=("user_id", "merchant_id")) -> DataFrame:
@@ -126,40 +117,6 @@ def fit_sample(df: DataFrame, bound: int = FIT_ROWS, keys=("user_id", "merchant_
     return df.where(h < order_cuts(df, h, [bound])[0])
 
 
-class BestPrefix:
-    """Boosting that stops ``patience`` rounds after its best round on the held-out rows.
-
-    Spark's boosters have no patience, so rounds are added by doubling: fit,
-    read the held-out loss after every round (``evaluateEachIteration``), and
-    double the rounds while the best one is among the last ``patience``. The
-    model returned is fitted with the best number of rounds; with the same
-    seed and rows this is the prefix of the longer one.
-    """
-
-    def __init__(self, booster: GBTClassifier, patience: int, valid: str):
-        self.booster, self.patience, self.valid = booster, patience, valid
-
-    def fit(self, df: DataFrame):
-        most = self.booster.getMaxIter()
-        # few rows and many short jobs: one partition spares the scheduling of each
-        fit, held = (df.where(c).coalesce(1).persist() for c in (~F.col(self.valid), F.col(self.valid)))
-        rounds = min(most, self.patience + max(1, self.patience // 4))
-        try:
-            while True:
-                model = self.booster.copy({self.booster.maxIter: rounds}).fit(fit)
-                loss = model.evaluateEachIteration(held)
-                best = min(range(len(loss)), key=loss.__getitem__) + 1
-                if rounds >= most or best + self.patience <= rounds:
-                    break
-                rounds = min(most, 2 * rounds)
-            if best < rounds:
-                model = self.booster.copy({self.booster.maxIter: best}).fit(fit)
-            return model
-        finally:
-            fit.unpersist()
-            held.unpersist()
-
-
 def prob1(df: DataFrame | None = None, col: str = "probability") -> F.Column:
     """P(class 1) from a classifier's probability vector (D4: never class 0)."""
     return vector_to_array(F.col(col))[1]

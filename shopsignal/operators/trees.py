@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BINS = 64
-BLOCK_ROWS = 4096
 GRADIENT_UNIT = 2.0 ** 24
 #: Partitions up to which histograms are added on the driver; more are added in a tree of tasks.
 FLAT_SUM = 32
@@ -178,16 +177,16 @@ class Split:
 
 
 def best_split(hist: np.ndarray, allowed: np.ndarray, marked: np.ndarray, l2: float = 0.0, min_hessian: float = 0.0,
-               min_rows: float = 1) -> Split:
+               min_rows: float = 1, by_rows: bool = False) -> Split:
     """The split of largest gain G_l^2 / (H_l + l2) + G_r^2 / (H_r + l2) - G^2 / (H + l2); gain 0: none.
 
-    ``hist``: (3, features, bins) in gradient units. Ties go to the lower feature, then bin, then
+    ``hist``: (3, features, bins) in gradient units. ``by_rows``: rows in place of H, so that the
+    gain is the fall of the gradients' squared error. Ties go to the lower feature, then bin, then
     to the left as default direction.
     """
     left = np.cumsum(hist, axis=2)
     whole = left[:, :, -1:]
-    best = Split(0.0)
-    top, where = 0.0, None
+    best, top = Split(0.0), 0.0
     for direction in (True, False):
         part = left if direction else left - hist[:, :, :1]
         rest = whole - part
@@ -198,11 +197,12 @@ def best_split(hist: np.ndarray, allowed: np.ndarray, marked: np.ndarray, l2: fl
         if not fine.any():
             continue
         with np.errstate(divide="ignore", invalid="ignore"):
-            g, h = whole[0] / GRADIENT_UNIT, whole[1] / GRADIENT_UNIT
-            gain = np.where(fine, gl * gl / (hl + l2) + gr * gr / (hr + l2) - g * g / (h + l2), -np.inf)
+            g, h = whole[0] / GRADIENT_UNIT, whole[2] if by_rows else whole[1] / GRADIENT_UNIT
+            a, b = (nl, nr) if by_rows else (hl, hr)
+            gain = np.where(fine, gl * gl / (a + l2) + gr * gr / (b + l2) - g * g / (h + l2), -np.inf)
         at = int(np.argmax(gain))
         if gain.flat[at] > top + 1e-12:
-            top, where = float(gain.flat[at]), (direction, at)
+            top = float(gain.flat[at])
             f, b = divmod(at, hist.shape[2])
             best = Split(top, f, b, direction, tuple(float(v[f, b]) for v in (gl, hl, nl)), tuple(float(v[f, b]) for v in (gr, hr, nr)))
     return best

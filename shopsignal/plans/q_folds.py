@@ -70,3 +70,16 @@ def train_test_split(spark, sf):
 def shuffle_split(spark, sf):
     s = fo.shuffle_split(fx.train(spark, sf), 5, 0.3)
     return s.withColumn("repeat", F.col("repeat").cast("long"))
+
+
+BAGS = 3
+_U = "('0x' || substr(md5(CAST(user_id AS VARCHAR) || '_' || CAST(merchant_id AS VARCHAR) || '_bag' || bag), 1, 13))::BIGINT::DOUBLE / 4503599627370496"
+
+
+@register("bootstrap_counts", sql=W(
+    f"SELECT user_id, merchant_id, bag, CAST({' + '.join(f'CASE WHEN u >= {c!r}::DOUBLE THEN 1 ELSE 0 END' for c in fo.POISSON_CDF)} AS INT) AS draws "
+    f"FROM (SELECT *, {_U} AS u FROM train, (SELECT unnest(range({BAGS}))::INT AS bag))"))
+def bootstrap_counts(spark, sf):
+    """K6: how often each of three bootstraps draws a pair."""
+    draws = F.explode(F.array(*[F.struct(F.lit(b).alias("bag"), fo.bootstrap_count(b).alias("draws")) for b in range(BAGS)])).alias("d")
+    return fx.train(spark, sf).select("user_id", "merchant_id", draws).select("user_id", "merchant_id", "d.*")

@@ -1,9 +1,8 @@
 """Registered queries: trained models at the reference's sizes.
 
-Every model but Gaussian naive Bayes is fitted on at most ``learners.FIT_ROWS`` labelled rows;
-all rows are scored. Naive Bayes is checked by SQL value for value. The other models have
-companion queries, checked by SQL: which keys, folds and learners were scored, and
-0 <= p <= 1.
+Tree learners are fitted on at most ``learners.FIT_ROWS`` labelled rows; all rows are scored.
+Naive Bayes is checked by SQL value for value. The other models have companion queries, checked
+by SQL: which keys, folds and learners were scored, and 0 <= p <= 1.
 
 Queries over the same table share frames and fitted results within a session (``_once``): a
 stack of two boosters is the two boosters' own scores side by side. ``forget`` drops them.
@@ -15,21 +14,22 @@ from pyspark.sql import functions as F
 
 from shopsignal.operators import evaluate as ev
 from shopsignal.operators.ensemble import KEYS, StackedBagging, _shared_folder, _union, oof_scores, stack_tables
-from shopsignal.operators.folds import train_test_split
-from shopsignal.operators.learners import FIT_ROWS, fit_sample, make_learner, prob1
+from shopsignal.operators.folds import kfold, train_test_split
+from shopsignal.operators.knn import nearest
+from shopsignal.operators.learners import make_learner, prob1
 from shopsignal.operators.select import (cv_accuracy, fit_importance_model, importance_table,
                                          select_features, top_k_features)
 from shopsignal.plans import pipeline as pl
 from shopsignal.plans.q_features import ACTION, NUNIQUE, TIME
-from shopsignal.plans.q_folds import KFOLD_CTE
+from shopsignal.plans.q_folds import KFOLD_CTE, block_sql
 from shopsignal.plans.registry import register, rounded
 from shopsignal.plans.sqltext import TOKEN_SQL, defaults_select, ustats_ctes
 from shopsignal.sources import fixtures as fx
+from shopsignal.sources.tables import read_table
 
 K = 5
 BOOSTERS = ["lgb", "xgb"]
 PRESET = "reference"  # sizes of all learners; tests set "small"
-ALL_ROWS = 1 << 62  # naive Bayes is one aggregate over the rows: no bound needed
 _MEMO: dict = {}
 
 
@@ -61,7 +61,7 @@ def _scores(spark, sf, name):
         train, test, cols = _frames(spark, sf)
         # M6: the one booster that reads -1 as missing
         marker = {"xgb": pl.missing_markers(cols)}
-        return oof_scores(train, test, [name], k=K, preset=PRESET, missing=marker, fit_rows=ALL_ROWS if name == "gnb" else FIT_ROWS)
+        return oof_scores(train, test, [name], k=K, preset=PRESET, missing=marker)
     return _once(spark, sf, f"scores-{name}", make)
 
 
@@ -114,6 +114,46 @@ def stack_gnb(spark, sf):
     return rounded(_stacked(spark, sf, ["gnb"]))
 
 
+_KNN_ROWS = f"""SELECT vec_id, x, y, {block_sql()} AS fold FROM (
+  SELECT vec_id, embedding::DOUBLE[] AS x, CASE WHEN label % 2 = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS y,
+         row_number() OVER (ORDER BY md5(vec_id::VARCHAR || '_0')) - 1 AS p0, count(*) OVER () AS n FROM embeddings)"""
+
+
+def _knn_rows(spark, sf):
+    e = read_table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    return e.select("vec_id", F.col("embedding").cast("array<double>").alias("x"),
+                    F.when(F.col("label") % 2 == 1, 1.0).otherwise(0.0).alias("y"))
+
+
+@register("stack_knn", sql=f"""WITH f AS ({_KNN_ROWS}),
+d AS (SELECT a.vec_id, a.fold, b.y, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x), b.vec_id) AS r
+      FROM f a JOIN f b ON a.fold <> b.fold)
+SELECT vec_id, fold, count(*) AS n, round(avg(y), 6) AS knn FROM d WHERE r <= 200 GROUP BY ALL""")
+def stack_knn(spark, sf):
+    """M10 out of fold on the embeddings: share of odd labels among the 200 nearest vectors of the other folds."""
+    f = _written(kfold(_knn_rows(spark, sf), K, keys=("vec_id",), seed=0), "knn-folds")
+    parts = [nearest(f.where(F.col("fold") == i), f.where(F.col("fold") != i), 200, "vec_id", pay=F.col("y"))
+             .groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.avg("pay").alias("knn"))
+             .select(F.col("query").alias("vec_id"), F.lit(i).alias("fold"), "n", "knn") for i in range(K)]
+    return rounded(_union(parts))
+
+
+@register("knn_neighbours", sql="""SELECT * FROM (
+  SELECT a.vec_id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), b.vec_id)::INT
+         AS rank, b.vec_id AS neighbour, round(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS distance
+  FROM embeddings a, embeddings b) WHERE rank <= 10""")
+def knn_neighbours(spark, sf):
+    """M10's search: the 10 nearest of all vectors for every vector (itself included)."""
+    e = _knn_rows(spark, sf)
+    return rounded(nearest(e, e, 10, "vec_id").select(F.col("query").alias("vec_id"), "rank", "neighbour", "distance"))
+
+
+@register("stack_knn_pairs")
+def stack_knn_pairs(spark, sf):
+    """M10 as the reference stacks it: 200 neighbours over the pairs' features."""
+    return _stacked(spark, sf, ["knn"])
+
+
 @register("oof_stacking")
 def oof_stacking_q(spark, sf):
     """M1 with the reference's pair of boosters; train meta + test meta."""
@@ -146,7 +186,7 @@ def _split(spark, sf, size=0.25, seed=0):
 def logreg(spark, sf):
     """M9 (multinomial, standardised) + M14 on a 25 % holdout: (part, accuracy)."""
     s, _, _ = _split(spark, sf)
-    fit = fit_sample(s.where(~F.col("is_test")))
+    fit = s.where(~F.col("is_test"))
     m = make_learner("lr", PRESET, n_rows=fit.count(), C=1.0, family="multinomial").fit(fit)
     p = m.transform(s.where(F.col("is_test")))
     return ev.accuracy(p).withColumn("model", F.lit("logreg"))
@@ -156,7 +196,7 @@ def logreg(spark, sf):
 def mlp(spark, sf):
     """MLP (5, 5) on a 25 % holdout; accuracy and R^2 of P(class 1)."""
     s, _, cols = _split(spark, sf)
-    m = make_learner("mlp", PRESET, n_features=len(cols), hidden=(5, 5)).fit(fit_sample(s.where(~F.col("is_test"))))
+    m = make_learner("mlp", PRESET, n_features=len(cols), hidden=(5, 5)).fit(s.where(~F.col("is_test")))
     p = m.transform(s.where(F.col("is_test"))).withColumn("score", prob1()).checkpoint(eager=True)
     return ev.accuracy(p).withColumn("r2", ev.r2_score(p).select("r2").scalar())
 

@@ -77,18 +77,27 @@ def test_hashing_tf_counts_every_token(spark):
     assert got == {k: float(v) for k, v in want.items()}
 
 
-def test_oof_rows_scored_by_models_that_did_not_see_them(spark, planted):
-    """Each OOF score equals the score of a model fit without the row's fold."""
+@pytest.mark.parametrize("fit_rows", [700, 10**6])
+@pytest.mark.parametrize("name", ["gnb", "gb", "rf", "knn"])
+def test_oof_rows_scored_by_models_that_did_not_see_them(spark, planted, name, fit_rows):
+    """Each OOF score equals the score of a model fit without the row's fold, on the rows that a fit may read."""
     from shopsignal.operators.folds import kfold
-    from shopsignal.operators.learners import prob1
+    from shopsignal.operators.learners import BOUNDED, fit_sample, prob1
     train = planted.where(F.col("user_id") % 5 != 0)
-    tm, _, _ = oof_stacking(train, train.drop("label").limit(1), ["gnb"], k=3)
+    tm, _, _ = oof_stacking(train, train.drop("label").limit(1), [name], k=3, preset="small", fit_rows=fit_rows)
     f = kfold(train, 3, seed=0)
-    m = make_learner("gnb").fit(f.where(F.col("fold") != 1))
-    own = m.transform(f.where(F.col("fold") == 1)).select("user_id", "merchant_id", prob1().alias("own"))
-    j = own.join(tm, ["user_id", "merchant_id"])
-    assert j.count() == own.count()
-    assert j.where(F.abs(F.col("own") - F.col("gnb")) > 1e-12).count() == 0
+    sample = fit_sample(f, fit_rows) if name in BOUNDED else f
+    # the same folds, with the labels of fold 1 turned round: a model of fold 1 must not notice
+    turned = f.withColumn("label", F.when(F.col("fold") == 1, 1 - F.col("label")).otherwise(F.col("label"))).drop("fold")
+    other, _, _ = oof_stacking(turned, train.drop("label").limit(1), [name], k=3, preset="small", fit_rows=fit_rows)
+    mine = f.where("fold = 1").select("user_id", "merchant_id")
+    both = mine.join(tm.select("user_id", "merchant_id", F.col(name).alias("a")), ["user_id", "merchant_id"]).join(
+        other.select("user_id", "merchant_id", F.col(name).alias("b")), ["user_id", "merchant_id"])
+    assert both.count() == mine.count() and both.where(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0
+    if name in ("gnb", "knn"):  # and the score is that of a model fitted by itself
+        m = make_learner(name, "small").fit(sample.where(F.col("fold") != 1))
+        own = m.transform(f.where(F.col("fold") == 1)).select("user_id", "merchant_id", prob1().alias("own"))
+        assert own.join(tm, ["user_id", "merchant_id"]).where(F.abs(F.col("own") - F.col(name)) > 1e-9).count() == 0
 
 
 def test_missing_marker_and_indicator(spark):
@@ -145,34 +154,17 @@ def test_lr_and_mlp_beat_the_majority(spark, planted):
         assert ev.auc(p.withColumn("score", prob1())).first()["auc"] > 0.8
 
 
-def test_booster_keeps_its_best_prefix(spark):
-    """Labels follow x on the training rows; held-out labels turn against the later rounds."""
-    from shopsignal.operators.learners import BestPrefix
-    from pyspark.ml.classification import GBTClassifier
-    rows = [(float(i % 20), float((i % 20) > 9) if i % 7 else float((i % 20) <= 9), i % 3 == 0) for i in range(600)]
-    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
-        spark.createDataFrame(rows, "x double, label double, held boolean"))
-    gbt = GBTClassifier(maxIter=200, stepSize=0.5, maxDepth=4, seed=1)
-    model = BestPrefix(gbt, 5, "held").fit(df)
-    long = gbt.copy({gbt.maxIter: 40}).fit(df.where("not held").coalesce(1))
-    loss = long.evaluateEachIteration(df.where("held"))
-    best = loss.index(min(loss)) + 1
-    assert model.getNumTrees == best < 40
-    # stops by patience, not by the limit: the losses of the kept rounds are the long model's
-    assert model.evaluateEachIteration(df.where("held")) == pytest.approx(loss[:best])
-
-
-def test_boosters_see_only_their_own_held_out_fold(spark, planted):
-    """Flipping the labels of the other folds' test rows cannot matter; flipping training labels does."""
+@pytest.mark.parametrize("fit_rows", [900, 10**6])
+def test_boosters_see_only_their_own_held_out_fold(spark, planted, fit_rows):
+    """Fold 0's booster is the one fitted on the other folds and stopped on fold 0, within the sample."""
     from shopsignal.operators.folds import kfold
-    from shopsignal.operators.learners import BestPrefix, prob1
+    from shopsignal.operators.learners import fit_sample, prob1
     f = kfold(planted, 3, seed=0).withColumn("_valid", F.col("fold") == 0)
-    est = make_learner("lgb", "small", valid="_valid")
-    assert isinstance(est, BestPrefix)
-    m = est.fit(f)
-    tm, _, _ = oof_stacking(planted, planted.drop("label").limit(1), ["lgb"], k=3, preset="small")
+    m = make_learner("lgb", "small", valid="_valid").fit(fit_sample(f, fit_rows))
+    tm, _, _ = oof_stacking(planted, planted.drop("label").limit(1), ["lgb"], k=3, preset="small", fit_rows=fit_rows)
     own = m.transform(f.where("fold = 0")).select("user_id", "merchant_id", prob1().alias("own"))
     assert own.join(tm, ["user_id", "merchant_id"]).where(F.abs(F.col("own") - F.col("lgb")) > 1e-9).count() == 0
+    assert f.where("fold = 0").count() == own.count() > 0
 
 
 def test_fit_sample_is_bounded_and_stable(spark):
@@ -197,12 +189,46 @@ def test_null_keys_rejected(spark):
 
 
 def test_reference_presets_carry_reference_sizes(spark):
-    rf = make_learner("rf")
-    assert rf.getNumTrees() == 1200 and rf.getMaxDepth() == 20
-    gb = make_learner("gb", "reference")
-    assert gb.getMaxIter() == 100 and gb.getStepSize() == 0.04 and gb.getSubsamplingRate() == 0.8
-    et = make_learner("et", "reference")
-    assert et.getBootstrap() is False and et.getMaxDepth() == 30
-    lgb = make_learner("lgb", "reference")
-    assert lgb.getStepSize() == 0.3 and lgb.getMaxIter() == 10000
+    rf, et = (make_learner(n).settings for n in ("rf", "et"))
+    assert (rf.trees, rf.depth, rf.bootstrap, rf.random_thresholds) == (1200, 20, True, False)
+    assert (et.trees, et.depth, et.bootstrap, et.random_thresholds) == (1200, 35, False, True)
+    gb = make_learner("gb", "reference").settings
+    assert (gb.rounds, gb.rate, gb.row_share, gb.depth, gb.patience) == (100, 0.04, 0.8, 5, 0)
+    xgb = make_learner("xgb", "reference").settings
+    assert (xgb.rounds, xgb.patience, xgb.rate, xgb.depth, xgb.l2, xgb.gamma, xgb.min_hessian) == (10000, 100, 0.03, 5, 10, 1, 1.5)
+    assert xgb.missing and xgb.row_share == xgb.column_share == xgb.level_share == 0.7
+    lgb = make_learner("lgb", "reference").settings
+    assert (lgb.rounds, lgb.patience, lgb.rate, lgb.leaves, lgb.l2, lgb.missing) == (10000, 100, 0.3, 32, 10, False)
+    es = make_learner("gbt_es", "reference").settings
+    assert (es.rounds, es.patience, es.rate, es.leaves, es.metric, es.min_rows) == (10000, 200, 0.03, 9, "auc", 20)
+    assert make_learner("knn").k == 200
     assert make_learner("mlp", n_features=7).learner.getLayers() == [7, 50, 50, 2]
+
+
+def test_bootstrap_counts(spark):
+    """Poisson counts from the keys alone: the same for any partitioning, with the law's mean and variance."""
+    from shopsignal.operators.folds import bootstrap_count
+    df = spark.range(20000).select(F.col("id").alias("user_id"), (F.col("id") % 7).alias("merchant_id"))
+    rows = [sorted(map(tuple, df.repartition(p).select("user_id", bootstrap_count(1).alias("a"), bootstrap_count(2).alias("b")).collect()))
+            for p in (1, 4, 16)]
+    assert rows[0] == rows[1] == rows[2]
+    a, b = ([r[i] for r in rows[0]] for i in (1, 2))
+    assert a != b and abs(sum(a) / 20000 - 1) < 0.03 and abs(sum((x - 1) ** 2 for x in a) / 20000 - 1) < 0.06
+    assert abs(a.count(0) / 20000 - 0.3679) < 0.015
+
+
+def test_importance_counts_splits_of_the_node_table(spark, duck, tmp_path):
+    """The reference's split counts, against SQL over the written node table."""
+    import duckdb
+
+    from shopsignal.operators.boosting import Boosting, fit_boosters
+    from shopsignal.operators.select import importance_table, top_k_features
+    from tests.test_boosting import frame, planted as made
+    x, y = made()
+    model, = fit_boosters(frame(spark, x, y), [Boosting(rounds=8, leaves=6)], [F.lit(1.0)], [F.lit(False)], ["k"])
+    model.nodes(spark).write.parquet(str(tmp_path / "nodes"))
+    for by, value in (("split", "count(*)::DOUBLE"), ("gain", "sum(gain)")):
+        want = dict(duckdb.sql(f"SELECT feature, {value} FROM '{tmp_path}/nodes/*.parquet' WHERE feature >= 0 GROUP BY feature").fetchall())
+        got = importance_table(model, list("abcd"), by)
+        assert {r["col"]: r["importance"] for r in got.collect()} == pytest.approx({i: want.get(i, 0.0) for i in range(4)})
+        assert top_k_features(got, 2) == sorted(sorted(range(4), key=lambda i: (-want.get(i, 0.0), i))[:2])
