@@ -3,21 +3,25 @@
 Keys are 64-bit hashes of the texts. A directory of hash prefixes points to buckets; while a
 bucket holds more rows than its capacity, it is split by one more bit, and where its depth has
 reached that of the directory, the directory doubles. A bucket that still overflows at the
-largest depth (a hot key, or more keys than the directory may address) keeps its rows in a
-chain. The index is written as Parquet, one row for each distinct text with its bucket, its
-key and its place in the chain of texts that share the key. Texts are compared byte by byte: owner tasks
-group the texts of their bucket and key range by their bytes, after equal texts have been
-combined within every input task, so a text that makes up a third of all rows arrives once from each.
+largest depth (a hot key, or more keys than the directory may address) overflows into more rows.
+
+The index is Parquet below the shared folder, one row per bucket and key, range-partitioned and
+sorted by both, so that a file is owned by one task and holds a range of buckets. A row's chain
+lists the different texts that share the key, told apart by their bytes: equal texts are combined
+within every input task first, so a text that makes up a third of all rows arrives once from each,
+and each combined text is then compared byte by byte. Every document gets its group from the index
+alone: the directory names the bucket of its key, the entry of (bucket, key) its chain, and the
+chain is walked to the document's text.
 
 All steps are DataFrame operations.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsignal.llm.common import join_groups, record, unpack, whole_text, written
+from shopsignal.llm.common import join_groups, whole_text, written
 
 BUCKET_ROWS = 4096
 FIRST_DEPTH = 4
@@ -72,11 +76,12 @@ def _addressed(keyed: DataFrame, directory: DataFrame, depth: int) -> DataFrame:
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                **sizes: int) -> tuple[DataFrame, DataFrame]:
-    """(rows, index): narrow rows of the input, and one index entry per distinct text.
+                **sizes: int) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """(rows, index, directory, its depth).
 
-    rows: row, doc_id, key, text_sha256. index: bucket, key, chain (place among the texts of
-    one key), text_sha256, group_size, keep_id, n_bytes.
+    rows: row, doc_id, key, text_sha256 of every document. index: bucket, key, rows (documents that
+    share the key), chain: one element per different text with n_bytes, text_sha256, group_size,
+    keep_id, keep_row.
     """
     row = F.monotonically_increasing_id().alias("row")
     doc = F.col(id_col).cast("long").alias("doc_id")
@@ -86,10 +91,28 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     owned = _addressed(_keyed(docs, doc, text_col=text_col), directory, depth)
     texts = owned.groupBy("bucket", "key", "text").agg(
         F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id"))
-    entries = texts.select("bucket", "key", F.sha2(F.col("text"), 256).alias("text_sha256"), "group_size",
-                           "keep_id", F.octet_length("text").alias("n_bytes"))
-    chain = Window.partitionBy("bucket", "key").orderBy("n_bytes", "text_sha256")
-    return rows, written(entries.withColumn("chain", F.row_number().over(chain)), "index")
+    entries = texts.select("bucket", "key", F.octet_length("text").cast("long").alias("n_bytes"),
+                           F.sha2(F.col("text"), 256).alias("text_sha256"), "group_size", "keep_id")
+    # of repeated rows (same id, same text) the first read stays
+    stays = rows.groupBy("key", "text_sha256").agg(
+        F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id", -F.col("row"))).getField("col3").alias("last"))
+    link = F.struct("n_bytes", "text_sha256", "group_size", "keep_id", (-F.col("last")).alias("keep_row"))
+    chains = entries.join(stays, ["key", "text_sha256"]).groupBy("bucket", "key").agg(
+        F.sum("group_size").alias("rows"), F.sort_array(F.collect_list(link)).alias("chain"))
+    index = chains.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key")
+    return rows, written(index, "index"), directory, depth
+
+
+def look_up(rows: DataFrame, index: DataFrame, directory: DataFrame, depth: int) -> DataFrame:
+    """Each row with ``link``, the element of its chain: by slot, bucket and key, then along the chain.
+
+    A row that the index does not lead to its text, or to two texts with one SHA-256, stops the job.
+    """
+    found = join_groups(_addressed(rows, directory, depth), index, ["bucket", "key"], "rows")
+    same = F.filter("chain", lambda e: e["text_sha256"] == F.col("text_sha256"))
+    lost = F.raise_error(F.lit("the index names no text, or two, for a row"))
+    return found.withColumn("same", same).withColumn("link", F.when(F.size("same") == 1, F.col("same")[0]).otherwise(lost)).drop(
+        "same", "chain")
 
 
 def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sizes: int) -> DataFrame:
@@ -97,28 +120,29 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **si
 
     Texts are equal if their bytes are; null counts as empty. Of equal texts the row with the
     largest id stays (null ids are smaller than all others; of rows with that same id one
-    stays). An empty table gives no rows; columns other than id and text are not read.
+    stays). Very long texts are keys of the shuffle like others. An empty table gives no rows;
+    columns other than id and text are not read.
     """
-    rows, index = build_index(docs, id_col, text_col, **sizes)
-    # rows find their entry by key and SHA-256; the index, made by comparing bytes, proves that
-    # this pair names one text: were there two, the check below would stop the job
-    entry = index.groupBy("key", "text_sha256").agg(
-        F.max("group_size").alias("group_size"), F.max("keep_id").alias("keep_id"), F.count(F.lit(1)).alias("texts"))
-    entry = entry.select("key", "text_sha256", "group_size", "keep_id", F.when(F.col("texts") > 1, F.raise_error(
-        F.lit("two texts share both hashes"))).alias("clash")).where("clash is null").drop("clash")
-    # of repeated rows (same id, same text) the first read stays
-    first = rows.groupBy("key", "text_sha256").agg(
-        F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id", -F.col("row"))).getField("col3").alias("last"))
-    groups = written(entry.join(first, ["key", "text_sha256"]), "groups")
-    return join_groups(rows, groups, ["key", "text_sha256"], "group_size").select(
-        "doc_id", "keep_id", "group_size", (F.col("row") == -F.col("last")).alias("kept"), "text_sha256")
+    found = look_up(*build_index(docs, id_col, text_col, **sizes))
+    return found.select("doc_id", F.col("link.keep_id").alias("keep_id"), F.col("link.group_size").alias("group_size"),
+                        (F.col("row") == F.col("link.keep_row")).alias("kept"), "text_sha256")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **sizes: int) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns (see ``decide``)."""
-    keys = _keyed(docs, text_col=text_col).select("key")
-    directory, depth = build_directory(keys, **sizes)
-    keyed = _keyed(docs, record(docs), F.col(id_col).cast("long").alias("doc_id"), text_col=text_col)
+    """The rows of ``docs`` that stay, with all their columns (see ``decide``).
+
+    Owner tasks return, for every different text of their buckets, the other columns of the row
+    that stays: a text is shuffled once, as the key it is compared by, after equal ones have been
+    combined. Null and empty texts are one text, and the row that stays keeps its own; null ids are
+    smaller than all others; repeated rows give one; an empty table gives no rows; columns may have
+    any names.
+    """
+    directory, depth = build_directory(_keyed(docs, text_col=text_col).select("key"), **sizes)
+    others = [c for c in docs.columns if c != text_col]
+    rest = F.struct(F.col(f"`{text_col}`").isNull().alias("was_null"),
+                    F.struct(*[F.col(f"`{c}`") for c in others]).alias("rec")).alias("rest")
+    keyed = _keyed(docs, rest, F.col(id_col).cast("long").alias("doc_id"), text_col=text_col)
     stays = _addressed(keyed, directory, depth).groupBy("bucket", "key", "text").agg(
-        F.max_by("rec", F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("rec"))
-    return unpack(stays, docs.columns)
+        F.max_by("rest", F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("rest"))
+    text = F.when(~F.col("rest.was_null"), F.col("text")).cast(docs.schema[text_col].dataType).alias(text_col)
+    return stays.select(*[text if c == text_col else F.col(f"rest.rec.`{c}`").alias(c) for c in docs.columns])

@@ -71,14 +71,15 @@ def _cells(codes: np.ndarray) -> list[np.ndarray]:
 
 def ngram_counts(text: str) -> np.ndarray:
     """Counts per n-gram length and cell, over the whole text; white space and digits count as a blank."""
-    total = np.zeros((len(LENGTHS), CELLS))
-    for at in range(0, len(text), BLOCK_CHARS):  # blocks bound the memory; they overlap by one n-gram
-        lead = max(LENGTHS) - 1 if at else 0
-        codes = np.frombuffer(text[at - lead:at + BLOCK_CHARS].lower().encode("utf-32-le"), np.uint32)
-        plain = np.where((codes < 65) | (codes > 90) & (codes < 97) | (codes > 122) & (codes < 128), 32, codes)
-        plain = plain[np.append(True, (plain[1:] != 32) | (plain[:-1] != 32))] if len(plain) else plain
+    total, text, carry = np.zeros((len(LENGTHS), CELLS)), text.lower(), np.zeros(0, np.uint32)
+    for at in range(0, len(text), BLOCK_CHARS):  # blocks bound the memory; n-grams across their borders count once
+        codes = np.frombuffer(text[at:at + BLOCK_CHARS].encode("utf-32-le", "surrogatepass"), np.uint32)
+        plain = np.where((codes < 65) | (codes > 90) & (codes < 97) | (codes > 122) & (codes < 128), 32, codes).astype(np.uint32)
+        before = np.append(carry[-1:] if len(carry) else np.uint32(0), plain[:-1])
+        plain = np.append(carry, plain[(plain != 32) | (before != 32)])
         for k, cells in enumerate(_cells(plain)):
-            total[k] += np.bincount(cells, minlength=CELLS)
+            total[k] += np.bincount(cells[max(0, len(carry) - LENGTHS[k] + 1):], minlength=CELLS)
+        carry = plain[max(0, len(plain) - max(LENGTHS) + 1):]
     return total
 
 

@@ -10,6 +10,7 @@ aggregates; the driver sees only these sums, whose size depends on the number of
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsignal.llm.common import lean, record, unpack, whole_text
+from shopsignal.llm.common import lean, record, text_blocks, unpack, whole_text
 
 #: Rows with labels that a fit uses, about (a sample by hash of the id); 16 bytes each are broadcast.
 MAX_LABELS = 100_000
@@ -38,6 +39,10 @@ _DIGITS = np.arange(48, 58)
 #: ASCII signs other than the full stop, comma, apostrophe, hyphen, colon, semicolon, quotes and brackets.
 _SIGNS = np.array([b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in ".,'-:;\"()"])
 _ENDS = bytes(_SIGNS.tolist())
+#: Bytes of a text whose words are read at a time.
+BLOCK_BYTES = 1_000_000
+_WORD_REST, _LINE_REST = re.compile(rb"\S*"), re.compile(rb"[^\n]*")
+_MIX = np.array([0x2545F4914F6CDD1D, 0x5851F42D4C957F2D], np.int64)
 
 
 def _odds(part: float, whole: float, usual: float, weight: float = 20) -> float:
@@ -46,29 +51,50 @@ def _odds(part: float, whole: float, usual: float, weight: float = 20) -> float:
 
 
 def statistics(text: str) -> list[float]:
-    """The transformed statistics of one whole text (all finite, empty texts included)."""
+    """The transformed statistics of one whole text (all finite, empty texts included).
+
+    Words and lines are read a block at a time and told apart by 64-bit hashes, so a long text takes
+    some 8 bytes per word and line besides itself.
+    """
     raw = text.encode()
     n = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     size = max(len(raw), 1)
-    words = raw.split()
-    lines = [line for line in raw.split(b"\n") if line]
+    words, marked = [np.zeros(0, np.int64)], 0
+    for a, b in text_blocks(raw, BLOCK_BYTES, _WORD_REST):
+        part = raw[a:b].split()
+        words.append(np.fromiter(map(hash, part), np.int64, len(part)))
+        marked += sum(w[-1] in _ENDS for w in part)
+    words = np.concatenate(words)
+    lines = [np.zeros(0, np.int64)]
+    for a, b in text_blocks(raw, BLOCK_BYTES, _LINE_REST):
+        part = [line for line in raw[a:b].split(b"\n") if line]
+        lines.append(np.fromiter(map(hash, part), np.int64, len(part)))
+    lines = np.concatenate(lines)
     total = len(words)
     letters = int(n[_UPPER].sum() + n[_LOWER].sum() + n[0xC0:].sum())  # a lead byte is a letter beyond ASCII
-    triples = set(zip(words, words[1:], words[2:]))
-    marked = sum(w[-1] in _ENDS for w in words)
-    repeats = sum(a == b for a, b in zip(words, words[1:]))
+    triples = (words[:-2] * _MIX[0] + words[1:-1]) * _MIX[1] + words[2:]
+    repeats = int((words[1:] == words[:-1]).sum())
     share = n[n > 0] / size
     even = math.log(min(size, 30) + 1)  # the entropy that so short a text can have
-    return [math.log1p(total), math.log1p((letters + 80) / (total + 20)), math.log((len(set(words)) + 20) / (total + 20)),
+    return [math.log1p(total), math.log1p((letters + 80) / (total + 20)), math.log((_distinct(words) + 20) / (total + 20)),
             _odds(int(n[_UPPER].sum()), letters, 0.03, 60), _odds(int(n[_DIGITS].sum()), size, 0.01),
             _odds(int(n[_SIGNS].sum()), size, 0.01), _odds(int(n[124]), size, 0.002), _odds(marked, total, 0.02),
-            _odds(repeats, total, 0.03), _odds(max(total - 2, 0) - len(triples), total, 0.03),
-            _odds(len(lines) - len(set(lines)), len(lines), 0.05), float(-(share * np.log(share)).sum()) / even]
+            _odds(repeats, total, 0.03), _odds(max(total - 2, 0) - _distinct(triples), total, 0.03),
+            _odds(len(lines) - _distinct(lines), len(lines), 0.05), float(-(share * np.log(share)).sum()) / even]
+
+
+def _distinct(hashes: np.ndarray) -> int:
+    hashes = np.sort(hashes)
+    return int(len(hashes) > 0) + int((hashes[1:] != hashes[:-1]).sum())
+
+
+def _rows_of(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.select(record(docs), whole_text(text_col).alias("text"))
 
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``rec`` (all columns) and ``x``, the statistics; one pass, no shuffle."""
-    columns = docs.select(record(docs), whole_text(text_col).alias("text"))
+    columns = _rows_of(docs, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in lean(batches):
@@ -141,23 +167,26 @@ def learn(docs: DataFrame, labels: DataFrame, learning: Column | None = None, id
     """Fit on the documents that have a label 0 or 1 and for which ``learning`` (of the id) holds.
 
     Labels and documents with null ids are not learnt from; a repeated label row counts again.
-    Beyond ``max_labels`` labelled rows a sample of about that many by hash of the id is used.
+    Beyond ``max_labels`` pairs of id and label a sample of about that many by hash of the id is used.
     """
     given = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     given = given.where("doc_id is not null and label in (0, 1)")
     given = given if learning is None else given.where(learning)
+    # a row per id and label, however often it is repeated
+    given = given.groupBy("doc_id", "label").agg(F.count(F.lit(1)).cast("double").alias("times"))
     number = given.count()
     if number > max_labels:
         share = int(2**32 * max_labels / number)
         given = given.where(F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("labels")), 32) < share)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    # at most about max_labels rows of 12 bytes: proven small enough to broadcast
+    # at most about max_labels rows of 20 bytes: proven small enough to broadcast
     x = with_statistics(rows.join(F.broadcast(given), "doc_id"))
     k = len(STATISTICS)
     at = lambda i: F.col("x")[i]
+    times = F.col("rec.times")
     upper = [(i, j) for i in range(k) for j in range(i, k)]
     got = x.groupBy(F.col("rec.label").alias("label")).agg(
-        F.count(F.lit(1)), *[F.sum(at(i)) for i in range(k)], *[F.sum(at(i) * at(j)) for i, j in upper])
+        F.sum(times), *[F.sum(times * at(i)) for i in range(k)], *[F.sum(times * at(i) * at(j)) for i, j in upper])
     sums = {}
     for label, n, *values in got.collect():  # two rows
         p = np.zeros((k, k))
@@ -169,12 +198,14 @@ def learn(docs: DataFrame, labels: DataFrame, learning: Column | None = None, id
 
 def with_score(docs: DataFrame, model: Discriminant, text_col: str = "text") -> DataFrame:
     """``rec`` (all columns) and ``score`` of every document, null and empty texts included."""
-    @F.pandas_udf("double")
-    def score(x):
-        import pandas as pd
-        return pd.Series(model.score(np.array(x.tolist(), dtype=float).reshape(len(x), -1)))
+    columns = _rows_of(docs, text_col)
 
-    return with_statistics(docs, text_col).select("rec", score("x").alias("score"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in lean(batches):
+            x = np.array([statistics(t.as_py()) for t in b.column(1)], float).reshape(b.num_rows, len(STATISTICS))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(x), pa.float64())], ["rec", "score"])
+
+    return columns.mapInArrow(run, columns.select("rec", F.lit(0.0).cast("double").alias("score")).schema)
 
 
 def learning_rows(id_col: str = "doc_id", folds: int = 5, held: int = 0) -> Column:
@@ -199,6 +230,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with all their columns."""
+    """The rows of ``docs`` that the classifier does not reject, with all their columns (see ``score_quality``).
+
+    Null and empty texts are judged as empty texts; repeated rows stay or go together; columns may
+    have any names; an empty table gives no rows.
+    """
     model = learn(docs, labels, learning_rows(), id_col, text_col)
     return unpack(with_score(docs, model, text_col).where(F.col("score") >= threshold), docs.columns)

@@ -118,7 +118,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 "conv_id long, turn long, role string, text string")
     path = shared_path(spark, "chat")
     chat.write_formatted(given.unionByName(odd), path)
-    return chat.digest(chat.read_formatted(spark, path))
+    return chat.digest(chat.read_formatted(spark, path), chat.read_examples(spark, path))
 
 
 @register("op7_simhash")

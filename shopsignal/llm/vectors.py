@@ -51,6 +51,8 @@ def _product(q: np.ndarray, r: np.ndarray) -> np.ndarray:
 
 def linked_pairs(x: np.ndarray, y: np.ndarray, threshold: float):
     """Places (i, j) with cosine >= ``threshold`` between rows of ``x`` and ``y`` (finite, not zero)."""
+    # powers of two change no digit of a cosine, and keep squares of very large or small numbers in range
+    x, y = (np.ldexp(v, -np.frexp(np.abs(v).max(1))[1][:, None]) for v in (x, y))
     unit_x, unit_y = (v / np.linalg.norm(v, axis=1)[:, None] for v in (x, y))
     (q, s, e, m), (r, t, f, n) = quantise(unit_x), quantise(unit_y)
     found = []

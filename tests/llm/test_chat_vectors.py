@@ -18,7 +18,7 @@ def formatted(spark, rows, parts=4):
                                "conv_id long, turn long, role string, text string, segment string").repartition(parts)
     path = shared_path(spark, "test-chat")
     chat.write_formatted(df, path)
-    return chat.read_formatted(spark, path)
+    return chat.read_formatted(spark, path), chat.read_examples(spark, path)
 
 
 @settings(max_examples=300, deadline=None)
@@ -35,13 +35,14 @@ def test_chat_round_trip(spark):
     rows = [(1, 0, "user", ODD), (1, 1, "assistant", ODD), (2, 0, "user", None), (3, 1, "assistant", ""),
             (3, 0, None, "a"), (4, 0, "assistant", "b"), (4, 0, "assistant", "b"), (4, None, "tool>~1", "é\n中"),
             (None, 0, "user", "q"), (None, 1, "assistant", "r"), (6, 0, "assistant", "long " * 100_000), *hot]
-    f = formatted(spark, rows)
+    f, examples = formatted(spark, rows)
     by = {}
     for c, t, role, text in rows:
         by.setdefault(c, []).append((t is None, t or 0, role or "", text or ""))
-    got = {r["conv_id"]: r for r in chat.digest(f).collect()}
-    spans = {(r["conv_id"], r["nth"]): r for r in chat.examples(f).collect()}
-    whole = {(r["conv_id"], r["nth"]): r for r in chat.expand(f.where("conv_id <> 5 or conv_id is null")).collect()}
+    got = {r["conv_id"]: r for r in chat.digest(f, examples).collect()}
+    spans = {(r["conv_id"], r["nth"]): r for r in examples.collect()}
+    whole = {(r["conv_id"], r["nth"]): r for r in chat.expand(
+        *(t.where("conv_id <> 5 or conv_id is null") for t in (f, examples))).collect()}
     assert got.keys() == by.keys()
     for c, turns in by.items():
         turns.sort()
@@ -58,7 +59,7 @@ def test_chat_round_trip(spark):
                 assert (c, n) not in spans
                 continue
             s, upto = spans[c, n], "".join(rendered[:n + 1])
-            assert s["example_chars"] == len(upto) and s["context_turns"] == n
+            assert s["example_chars"] == len(upto) and s["nth"] == n
             assert chat.unescape(upto[s["target_from"]:s["target_to"]]) == t[3]
             if c != 5:
                 assert whole[c, n]["text"] == upto and whole[c, n]["target_from"] == s["target_from"]
@@ -68,8 +69,19 @@ def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     path = shared_path(spark, "test-chat")
     chat.write_formatted(df, path)
-    f = chat.read_formatted(spark, path)
-    assert chat.digest(f).count() == 0 and chat.examples(f).count() == 0 and chat.expand(f).count() == 0
+    f, examples = chat.read_formatted(spark, path), chat.read_examples(spark, path)
+    assert chat.digest(f, examples).count() == 0 and examples.count() == 0 and chat.expand(f, examples).count() == 0
+
+
+def test_the_examples_are_the_loss_mask(spark):
+    """Without an example its reply is no longer in the loss; a narrower span leaves characters out."""
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "first"), (1, 2, "user", "q"), (1, 3, "assistant", "second")]
+    f, examples = formatted(spark, rows)
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    for kept, want in ((examples, "firstsecond"), (examples.where("nth <> 3"), "first"), (examples.where("nth > 3"), ""),
+                       (examples.selectExpr("conv_id", "nth", "target_from + 1 as target_from", "target_to", "example_chars"), "irstecond")):
+        r = chat.digest(f, kept).first()
+        assert (r["loss_sha256"], r["loss_chars"], r["n_turns"]) == (digest(want), len(want), 4)
 
 
 def vectors_by_hand(rows, threshold):
@@ -82,7 +94,8 @@ def vectors_by_hand(rows, threshold):
     for i in range(n):
         for j in range(n):
             if i != j and ok[i] is not None and ok[j] is not None and rows[i][2] == rows[j][2] and len(ok[i]) == len(ok[j]):
-                link[i, j] = ok[i] @ ok[j] / (np.linalg.norm(ok[i]) * np.linalg.norm(ok[j])) >= threshold
+                a, b = (v / 2.0 ** np.frexp(np.abs(v).max())[1] for v in (ok[i], ok[j]))
+                link[i, j] = a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) >= threshold
     out = []
     for i in range(n):
         seen, todo = {i}, [i]
@@ -109,9 +122,12 @@ def test_vectors(spark, tile, kind):
                 rows.append((i, np.float32(v).astype(float).tolist(), label))
                 i += 1
     rows += [(200 + k, rows[0][1], 1) for k in range(25)]  # a group of copies
+    # finite components whose squares are not: only their directions count
+    base = rows[3][1]
+    extreme = [] if kind == "float" else [(400, [x * 2.0**600 for x in base], 1), (401, [x * 2.0**-600 for x in base], 1)]
     rows += [(300, [2 * x for x in rows[0][1]], 1), (301, [0.0] * 8, 1), (302, None, 1), (303, [], 1),
              (304, [float("nan")] * 8, 1), (305, [float("inf")] + [1.0] * 7, 1), (306, [None] + [1.0] * 7, 1),
-             (None, rows[0][1], 1), (0, rows[0][1], 1), (307, rows[0][1][:4], 1), (308, rows[0][1][:4], 1), (None, None, None)]
+             (None, rows[0][1], 1), (0, rows[0][1], 1), *extreme, (307, rows[0][1][:4], 1), (308, rows[0][1][:4], 1), (None, None, None)]
     df = spark.createDataFrame([(*r, "?") for r in rows], f"vec_id long, embedding array<{kind}>, label int, node string")
     got = vectors.near_vectors(df.repartition(3), tile=tile).collect()
     assert sorted(map(tuple, got), key=repr) == vectors_by_hand(rows, 0.93)

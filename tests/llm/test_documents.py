@@ -422,3 +422,140 @@ def test_unproven_tokenizer_encodes_whole_texts(tmp_path):
     assert not enc.cut and SegmentEncoder(BYTE).cut and SegmentEncoder(WORD).cut
     cases = ["a b c, d", "", "x  y\n"]
     assert [e.tolist() for e in enc.encode(cases)] == [tk.encode(c, add_special_tokens=False).ids for c in cases]
+
+
+# -- what results must come through, and long texts ------------------------------------------------
+def test_groups_are_read_through_the_directory(spark, docs):
+    """With entries of the directory exchanged, rows no longer find their groups."""
+    rows, index, directory, depth = exact_dedup.build_index(docs, bucket_rows=8, first_depth=2, max_depth=8)
+    good = exact_dedup.look_up(rows, index, directory, depth)
+    assert good.count() == docs.count() and good.where("link.group_size < 1").count() == 0
+    wrong = directory.withColumn("bucket", F.col("bucket").bitwiseXOR(F.lit(1).cast("long")))
+    found = exact_dedup.look_up(rows, index, wrong, depth)
+    assert found.count() < docs.count() / 2
+    # files of the index hold ranges of buckets
+    spans = index.select(F.input_file_name().alias("f"), "bucket").groupBy("f").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b"))
+    spans = sorted((r["a"], r["b"]) for r in spans.collect())
+    assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_texts_that_share_a_key_are_a_chain(spark, monkeypatch):
+    """Keys that collide: texts are told apart by their bytes, and chains name each."""
+    df = spark.createDataFrame([(i, "abcdefghij"[i % 10]) for i in range(60)], "doc_id long, text string")
+    keyed = exact_dedup._keyed
+    monkeypatch.setattr(exact_dedup, "_keyed", lambda *a, **k: keyed(*a, **k).withColumn("key", F.pmod("key", F.lit(3))))
+    got = exact_dedup.decide(df).collect()
+    assert all(r["group_size"] == 6 and r["keep_id"] == 50 + r["doc_id"] % 10 for r in got) and len(got) == 60
+    assert sorted(r["doc_id"] for r in got if r["kept"]) == list(range(50, 60))
+    assert sorted(r["doc_id"] for r in exact_dedup.deduplicate(df).collect()) == list(range(50, 60))
+
+
+def test_ngram_counts_by_hand(monkeypatch):
+    """Every n-gram of the whole text once, whatever the blocks."""
+    text = "Été 12  à la  plage; İzmir ΣΑΣ\t\n...x y" * 7
+    plain, last = [], None
+    for c in text.lower():
+        c = " " if ord(c) < 128 and not c.isalpha() else c
+        if not (c == " " and last == " "):
+            plain.append(c)
+        last = c
+    grams = [Counter("".join(plain[i:i + n]) for i in range(len(plain) - n + 1)) for n in (1, 2, 3)]
+    whole = language.ngram_counts(text)
+    for k, want in enumerate(grams):
+        cells = np.zeros(language.CELLS)
+        for g, m in want.items():
+            cells[language._cells(np.array([ord(c) for c in g], np.uint32))[k][0]] += m
+        assert (whole[k] == cells).all()
+    for block in (1, 2, 3, 7, 50):
+        monkeypatch.setattr(language, "BLOCK_CHARS", block)
+        assert (language.ngram_counts(text) == whole).all()
+
+
+@pytest.mark.parametrize("langs", [2, 4, 5, 6, 9])
+def test_decoding_by_hand(langs):
+    """Weights, margins and loss-weighted decoding with plain loops, with both families of codes."""
+    rng = np.random.default_rng(langs)
+    words = {f"l{i}": ["".join(rng.choice(list("abcdefghijklm"), 4, p=rng.dirichlet(np.ones(13)))) for _ in range(60)] for i in range(langs)}
+    model = language.Codes.learn({k: language.ngram_counts(" ".join(v)) for k, v in words.items()})
+    assert (model.code.shape[1] == 2 ** (langs - 1) - 1) == (langs <= language.EXHAUSTIVE_LANGS)
+    share = []
+    for k in sorted(words):
+        c = language.ngram_counts(" ".join(words[k]))
+        share.append((c + 0.5) / (c.sum(1, keepdims=True) + 0.5 * language.CELLS))
+    for name, ws in words.items():
+        text = " ".join(ws[:9])
+        c = language.ngram_counts(text)
+        losses = []
+        margins = []
+        for bit in range(model.code.shape[1]):
+            one, zero = ([s for s, b in zip(share, model.code[:, bit]) if b == side] for side in (1, -1))
+            w = np.log(sum(one) / len(one)) - np.log(sum(zero) / len(zero))
+            margins.append(sum((c[k] / c[k].sum() * w[k]).sum() for k in range(3)) / 3)
+            expected = [sum((s[k] * w[k]).sum() for k in range(3)) / 3 for s in share]
+            assert np.isclose(model.spread[bit], np.mean(np.abs(expected)))
+        for word in model.code:
+            signed = [max(-6, min(6, b * m / s)) for b, m, s in zip(word, margins, model.spread)]
+            losses.append(sum(np.exp(-x) * t for x, t in zip(signed, model.trust)) / model.trust.sum())
+        lang, score, _ = model.decode(text)
+        p = np.exp(-4 * (np.array(losses) - min(losses)))
+        assert lang == sorted(words)[int(np.argmin(losses))] and np.isclose(score, p.max() / p.sum(), rtol=1e-4)
+
+
+def test_quality_fit_by_hand(spark):
+    """The sums that Spark adds up give the fit of a plain loop; repeated label rows count again."""
+    texts = [f"word{i % 7} the and {i} " * (3 + i % 5) + "|" * (i % 3) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    given = [(i, int(i % 3 > 0)) for i in range(40)] + [(4, 1)] * 5 + [(5, 0), (99, 1), (None, 1), (6, None), (7, 2)]
+    labels = spark.createDataFrame(given, "doc_id long, quality int").repartition(3)
+    got = quality.learn(docs, labels)
+    x = {c: np.array([quality.statistics(texts[i]) for i, q in given if q == c and i is not None and i < 40]) for c in (0, 1)}
+    every = np.concatenate([x[0], x[1]])
+    scale = every.std(0)
+    scale[scale < 1e-9] = 1
+    z = {c: (v - every.mean(0)) / scale for c, v in x.items()}
+    within = {c: (v - v.mean(0)).T @ (v - v.mean(0)) for c, v in z.items()}
+    pooled = (within[0] + within[1]) / len(every)
+    pooled = 0.9 * pooled + 0.1 * np.diag(np.diag(pooled)) + 1e-3 * np.eye(len(scale))
+    probe = np.array([quality.statistics(t) for t in texts[:10]])
+    w = np.clip((probe - every.mean(0)) / scale, -5, 5)
+    log = {}
+    for c in (0, 1):
+        cov = 0.8 * within[c] / len(x[c]) + 0.2 * pooled + 1e-3 * np.eye(len(scale))
+        d = w - z[c].mean(0)
+        log[c] = np.log(len(x[c]) / len(every)) - 0.5 * (np.linalg.slogdet(cov)[1] + np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d))
+    assert np.allclose(got.score(probe), 1 / (1 + np.exp(log[0] - log[1])), rtol=1e-6, atol=1e-9)
+
+
+def test_repeated_labels_are_one_broadcast_row(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "| | |")], "doc_id long, text string")
+    labels = spark.range(50_000).select(F.lit(1).alias("doc_id"), F.lit(1).alias("quality")).union(
+        spark.createDataFrame([(2, 0)], "doc_id long, quality int"))
+    model = quality.learn(docs, labels, max_labels=10)
+    assert set(model.classes) == {0, 1} and model.prior == pytest.approx(50_000 / 50_001)
+
+
+def test_statistics_of_long_texts(monkeypatch):
+    text = "One line of words, repeated | now and then.\n\nOne line of words\t" * 300
+    whole = quality.statistics(text)
+    words, lines = text.split(), [line for line in text.split("\n") if line]
+    triples = len(words) - 2 - len(set(zip(words, words[1:], words[2:])))
+    assert whole[0] == np.log1p(len(words)) and whole[9] == quality._odds(triples, len(words), 0.03)
+    assert whole[10] == quality._odds(len(lines) - len(set(lines)), len(lines), 0.05)
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 50)
+    assert quality.statistics(text) == whole
+
+
+def test_long_text_takes_little_memory():
+    """50 MB of text in a process of its own."""
+    import subprocess
+    import sys
+    code = """
+import resource
+from shopsignal.llm import quality
+text = " ".join(f"w{i % 99991}" for i in range(2_000_000)) * 4
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+quality.statistics(text)
+print(len(text), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    size, more = map(float, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert size > 50e6 and more < 450
