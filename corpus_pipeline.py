@@ -55,6 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of all documents that the stages keep (the columns of ``packing.pack``).
+
+    Null texts count as empty in every stage; empty and very long texts, ties, repeated rows and null
+    ids are handled as each operator's docstring says; columns of ``documents`` beyond its own, with
+    any names, travel along up to the last stage; an empty table gives no rows. The tables between
+    stages stay in the shared folder, as the result reads them lazily.
+    """
     rows = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         rows = written(stage(spark, rows, sf_dir), name.replace(" ", "-"))
