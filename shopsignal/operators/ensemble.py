@@ -14,17 +14,21 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import MultilayerPerceptronClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopsignal.operators import evaluate as ev
-from shopsignal.operators.boosting import fit_boosters
+from shopsignal.operators.boosting import BoostedModel, fit_boosters
 from shopsignal.operators.folds import bootstrap_count, kfold, stratified_kfold, train_test_split
 from shopsignal.operators.forest import fit_forests
 from shopsignal.operators.learners import (BOOSTERS, BOUNDED, FIT_ROWS, FORESTS, booster_settings, fit_sample, forest_settings,
                                            make_learner, prob1)
+from shopsignal.operators.prepare import PreparedModel
 from shopsignal.session import ensure_checkpoint_dir
 
 KEYS = ["user_id", "merchant_id"]
@@ -131,7 +135,7 @@ def append_columns(df: DataFrame, cols: list[str], features: str = "features", o
     return tmp.drop(features).withColumnRenamed("_fv", out) if out == features else tmp.withColumnRenamed("_fv", out)
 
 
-class StackedBagging:
+class StackedBagging(Estimator):
     """Stacking layer (stratified K folds, MLP meta model) then bagged boosters.
 
     fit: for each of ``stacking_num`` stratified folds an MLP is fit on the
@@ -146,23 +150,23 @@ class StackedBagging:
     def __init__(self, stacking_num: int = 2, bagging_num: int = 1, bagging_test_size: float = 0.33,
                  preset: str = "reference", features: str = "features", label: str = "label",
                  parallelism: int = 1, bootstrap: bool = False, fit_rows: int = FIT_ROWS, patience: int = 0):
+        super().__init__()
         self.patience, self.parallelism, self.bootstrap, self.fit_rows = patience, parallelism, bootstrap, fit_rows
         self.stacking_num, self.bagging_num, self.test_size = stacking_num, bagging_num, bagging_test_size
         self.preset, self.features, self.label = preset, features, label
-        self.stacking_models, self.bagging_models = [], []
 
-    def fit(self, train: DataFrame) -> "StackedBagging":
+    def _fit(self, train: DataFrame) -> StackedBaggingModel:
         ensure_checkpoint_dir(train.sparkSession)
         d = _n_features(train, self.features)
-        x = train
+        x, stacking = train, []
         if self.stacking_num > 1:
             f = stratified_kfold(train, self.stacking_num, label=self.label, seed=1).persist(
                 StorageLevel.MEMORY_AND_DISK)
-            self.stacking_models = _each(
+            stacking = _each(
                 lambda k: make_learner("mlp", self.preset, features=self.features, label=self.label, n_features=d)
                 .fit(f.where(F.col("fold") != k)), range(self.stacking_num), self.parallelism)
             parts = [m.transform(f.where(F.col("fold") == k)).select(*train.columns, prob1().alias("meta"))
-                     for k, m in enumerate(self.stacking_models)]
+                     for k, m in enumerate(stacking)]
             x = _union(parts).checkpoint(eager=True)
             f.unpersist()
             x = append_columns(x, ["meta"], self.features)
@@ -172,14 +176,22 @@ class StackedBagging:
             rows = train_test_split(rows, self.test_size, seed=bn, name=f"_valid{bn}")
             held.append(F.col(f"_valid{bn}"))
             weights.append(F.when(~held[bn], bootstrap_count(bn).cast("double") if self.bootstrap else F.lit(1.0)))
-        settings = [booster_settings("gbt_es", self.preset, patience=self.patience or booster_settings("gbt_es", self.preset).patience)
-                    ] * self.bagging_num
-        self.bagging_models = fit_boosters(rows, settings, weights, held, KEYS, self.features, self.label)
-        return self
+        changes = {"patience": self.patience} if self.patience else {}
+        settings = [booster_settings("gbt_es", self.preset, **changes)] * self.bagging_num
+        bags = fit_boosters(rows, settings, weights, held, KEYS, self.features, self.label)
+        return StackedBaggingModel(stacking, bags, self.features)
 
-    def transform(self, df: DataFrame, out: str = "prob") -> DataFrame:
-        x = df
-        if self.stacking_num > 1:
+
+class StackedBaggingModel(Model, MLWritable, MLReadable):
+    """The fitted layers; adds ``prob``. Written as the stacking models, and per booster a node table."""
+
+    def __init__(self, stacking_models: list, bagging_models: list[BoostedModel], features: str = "features"):
+        super().__init__()
+        self.stacking_models, self.bagging_models, self.features = stacking_models, bagging_models, features
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        x, out = df, "prob"
+        if self.stacking_models:
             p = F.lit(0.0)
             for i, m in enumerate(self.stacking_models):
                 x = m.setPredictionCol(f"_sp{i}").setProbabilityCol(f"_spp{i}") \
@@ -198,5 +210,36 @@ class StackedBagging:
         x = x.withColumn(out, q / len(self.bagging_models))
         return x.drop(*[f"_bpp{i}" for i in range(len(self.bagging_models))])
 
+    def write(self) -> MLWriter:
+        return _StackedWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StackedReader()
+
+
+class _StackedWriter(MLWriter):
+    def __init__(self, model: StackedBaggingModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m, spark = self.model, self.sparkSession
+        spark.createDataFrame([(len(m.stacking_models), len(m.bagging_models), m.features)],
+                              "stacking int, bagging int, features string").write.parquet(f"{path}/layers")
+        for i, s in enumerate(m.stacking_models):
+            s.save(spark, f"{path}/stacking-{i}")
+        for i, b in enumerate(m.bagging_models):
+            b.save(spark, f"{path}/bagging-{i}")
+
+
+class _StackedReader(MLReader):
+    def load(self, path: str) -> StackedBaggingModel:
+        spark = self.sparkSession
+        r = spark.read.parquet(f"{path}/layers").first()
+        return StackedBaggingModel(
+            [PreparedModel.load(spark, f"{path}/stacking-{i}", MultilayerPerceptronClassificationModel) for i in range(r["stacking"])],
+            [BoostedModel.load(spark, f"{path}/bagging-{i}") for i in range(r["bagging"])], r["features"])
+
 
-__all__ = ["oof_scores", "oof_stacking", "stack_tables", "StackedBagging", "append_columns"]
+__all__ = ["oof_scores", "oof_stacking", "stack_tables", "StackedBagging", "StackedBaggingModel", "append_columns"]

@@ -55,7 +55,8 @@ BOUNDED = {*BOOSTERS, *FORESTS, "ada"}
 
 def booster_settings(name: str, preset: str = "reference", **changes) -> Boosting:
     rounds, patience = SMALL[name]
-    return replace(BOOSTERS[name], **({"rounds": rounds, "patience": patience} if preset == "small" else {}), **changes)
+    sizes = {"rounds": rounds, "patience": patience} if preset == "small" else {}
+    return replace(BOOSTERS[name], **(sizes | changes))
 
 
 def forest_settings(name: str, preset: str = "reference") -> Forest:

@@ -6,6 +6,8 @@ aggregate row each over the rows that a model is fitted on, never over held-out
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +52,15 @@ class PreparationModel:
         return df.withColumn(self.features, array_to_vector(arr))
 
 
+    def parameters(self) -> dict:
+        return {"features": self.features, "missing": self.missing, "fill": {str(i): v for i, v in self.fill.items()},
+                "mean": self.mean, "std": self.std}
+
+    @classmethod
+    def of(cls, p: dict) -> PreparationModel:
+        return cls(p["features"], p["missing"], {int(i): v for i, v in p["fill"].items()}, p["mean"], p["std"])
+
+
 class Prepared:
     """A learner behind a preparation; with ``valid`` only rows outside that column are fitted on."""
 
@@ -67,7 +78,19 @@ class PreparedModel:
         self.preparation, self.model = preparation, model
 
     def __getattr__(self, name):
-        return getattr(self.__dict__["model"], name)
+        if name == "model":  # not there yet
+            raise AttributeError(name)
+        return getattr(self.model, name)
+
+    def save(self, spark, path: str) -> None:
+        """The preparation as a one-row table, the model by its own writer."""
+        spark.createDataFrame([(json.dumps(self.preparation.parameters()),)], "preparation string").write.parquet(f"{path}/preparation")
+        self.model.write().save(f"{path}/model")
+
+    @classmethod
+    def load(cls, spark, path: str, kind) -> PreparedModel:
+        p = json.loads(spark.read.parquet(f"{path}/preparation").first()[0])
+        return cls(PreparationModel.of(p), kind.load(f"{path}/model"))
 
     def setPredictionCol(self, name):
         self.model.setPredictionCol(name)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shopsignal.functions.stats import softmax2
 from shopsignal.operators import features as feat
+from shopsignal.session import ensure_checkpoint_dir
 from shopsignal.plans.registry import register, rounded
 from shopsignal.plans.sqltext import defaults_select, ustats_ctes
 from shopsignal.sources import fixtures as fx
@@ -161,3 +164,18 @@ def events_most_frequent(spark, sf):
     from shopsignal.sources.tables import read_table
     ev = read_table(spark, sf, "events", "event_id", "ts", "user_id", "event_type")
     return feat.most_frequent(ev, "user_id", "event_type", ["ts", "event_id"])
+
+
+# A15 from sketches: the second half of the log's days, for columns whose tokens repeat
+SKETCHED = {"seller": "seller_id", "brand": "brand_id", "item": "item_id"}
+WINDOW = (745, 1488)
+
+
+@register("window_nunique", sql=fx.with_fixtures(" UNION ALL ".join(
+    f"SELECT user_id, '{n}' AS \"column\", count(DISTINCT {c}) AS nunique FROM user_log "
+    f"WHERE time_stamp BETWEEN {WINDOW[0]} AND {WINDOW[1]} AND {c} IS NOT NULL GROUP BY user_id" for n, c in SKETCHED.items())))
+def window_nunique(spark, sf):
+    """A15 for any window of days, merged from one written sketch per user, day and column."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sketches-{uuid.uuid4().hex}"
+    feat.distinct_sketches(fx.user_log(spark, sf), SKETCHED).write.parquet(path)
+    return feat.distinct_in_window(spark.read.parquet(path), *WINDOW)

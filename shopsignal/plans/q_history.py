@@ -39,6 +39,15 @@ def merge_user_paths(spark, sf):
     return m.withColumns({c: F.col(c).cast("double") for c in ("label", "n_events", "n_chunks")})
 
 
+@register("pair_paths", sql=W(
+    "SELECT p.user_id, p.merchant_id, CAST(u.chunk AS DOUBLE) AS chunk, " + ", ".join(f"u.{name}" for name in hi.PATH_COLUMNS)
+    + " FROM all_pairs p LEFT JOIN upaths u ON p.user_id = u.user_id", PATHS))
+def pair_paths(spark, sf):
+    """The six paths on every pair, chunk by chunk."""
+    m = hi.join_paths(fx.all_pairs(spark, sf), hi.user_paths(fx.user_log(spark, sf)))
+    return m.select("user_id", "merchant_id", F.col("chunk").cast("double").alias("chunk"), *hi.PATH_COLUMNS)
+
+
 @register("tokens", sql=W(
     "SELECT user_id, chunk, CAST(unnest(generate_series(0, len(arr) - 1)) AS BIGINT) AS idx, unnest(arr) AS token "
     "FROM (SELECT user_id, chunk, string_split(lower(seller_path), ' ') AS arr FROM upaths)", PATHS))

@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shopsignal.operators import text as tx
+from shopsignal.operators import skipgram
 from shopsignal.plans.registry import register, rounded
 from shopsignal.sources import fixtures as fx
 from shopsignal.sources.tables import read_table
@@ -257,3 +258,16 @@ def doc_tfidf_topvocab(spark, sf):
     toks = tx.word_tokens(docs, "text", user="doc_id", stop_words=tx.STOP_WORDS)
     # a document of stop words alone still counts in n, so n comes from the documents
     return rounded(tx.tfidf_vocab(toks, VOCAB_K, user="doc_id", docs=docs))
+
+
+@register("skipgram_items")
+def skipgram_items(spark, sf):
+    """TX7 for item ids: vectors from block-partitioned skip-gram; (token, freq, vector)."""
+    return skipgram.fit(fx.user_log(spark, sf), "item_id", dim=32, epochs=2)[0]
+
+
+@register("skipgram_vocabulary", sql=fx.with_fixtures(
+    "SELECT CAST(item_id AS VARCHAR) AS token, count(*)::DOUBLE AS freq FROM user_log WHERE item_id IS NOT NULL GROUP BY item_id HAVING count(*) >= 5"))
+def skipgram_vocabulary(spark, sf):
+    """Companion of ``skipgram_items``: the tokens that get a vector."""
+    return skipgram_items(spark, sf).select("token", "freq")
