@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shopsignal.operators import evaluate as ev
-from shopsignal.operators.ensemble import KEYS, StackedBagging, _shared_folder, _union, oof_scores, stack_tables
+from shopsignal.operators.ensemble import (KEYS, StackedBagging, StackedBaggingModel, _shared_folder, _union, oof_scores,
+                                            stack_tables)
 from shopsignal.operators.folds import kfold, train_test_split
 from shopsignal.operators.knn import nearest
 from shopsignal.operators.learners import make_learner, prob1
@@ -237,9 +238,11 @@ def selection_compare(spark, sf):
 
 
 def _sbbtree(spark, sf, bagging_num=1):
+    """The ensemble with its first ``bagging_num`` of three bags: bags are fitted side by side and do not depend on each other."""
     train, _, _ = _frames(spark, sf)
-    return _once(spark, sf, f"sbbtree-{bagging_num}", lambda: StackedBagging(
-        stacking_num=2, bagging_num=bagging_num, bagging_test_size=0.33, preset=PRESET, parallelism=3).fit(train))
+    m = _once(spark, sf, "sbbtree", lambda: StackedBagging(
+        stacking_num=2, bagging_num=3, bagging_test_size=0.33, preset=PRESET, parallelism=3).fit(train))
+    return StackedBaggingModel(m.stacking_models, m.bagging_models[:bagging_num], m.features)
 
 
 @register("sbbtree")

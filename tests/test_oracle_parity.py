@@ -2,6 +2,8 @@
 
 import math
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
@@ -16,7 +18,7 @@ def _canon(df):
     for r in df[cols].itertuples(index=False):
         out = []
         for v in r:
-            if v is None or (isinstance(v, float) and math.isnan(v)):
+            if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
                 out.append("<null>")
             elif isinstance(v, float):
                 out.append(repr(round(v, 6)))
@@ -29,6 +31,12 @@ def _canon(df):
     return cols, sorted(rows)
 
 
+def _pandas(df):
+    """Integers stay integers where a column holds nulls, as DuckDB's do."""
+    whole = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}
+    return df.toArrow().to_pandas(types_mapper=whole.get)
+
+
 @pytest.fixture
 def small_models(monkeypatch):
     """Which rows are scored does not depend on the models' sizes: small ones here."""
@@ -42,7 +50,7 @@ def small_models(monkeypatch):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_duckdb(spark, duck, name, small_models):
     con = duck(SF_SMALL)
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    got = _pandas(E.queries()[name](spark, SF_SMALL))
     want = con.sql(ORACLE[name]).df()
     gc, gr = _canon(got)
     wc, wr = _canon(want)
