@@ -51,11 +51,13 @@ GOOD_ROLES = frozenset(["main", "article"])
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 GOOD_WORDS = frozenset("article articlebody body content entry main page post prose story text".split())
 BAD_WORDS = frozenset(
-    "ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent "
-    "cookie cookies copyright dialog discuss disqus discussion foot footer form gdpr legal login menu menus modal nav navbar navigation "
+    "ad ads adbox adslot adsense advert adverts advertisement advertisements advertising alert aside banner breadcrumb breadcrumbs "
+    "comment comments commentlist commentary consent "
+    "cookie cookies copyright dialog discuss disqus discussion discussions feedback foot footer form gdpr guestbook legal login masthead "
+    "menu menus modal nav navbar navigation "
     "newsletter notice notices notification notifications overlay pager pagination popup promo promotion promotions recommended related "
-    "replies reply reviews rss search share sharing sidebar sidebars signup sitemap skip social sponsor sponsored sponsors subscribe "
-    "subscription tags toc toolbar tracking trending widget widgets".split())
+    "rail replies reply respond responses reviews rss search share sharing sidebar sidebars signup sitemap skip social sponsor sponsored sponsors subscribe "
+    "subnav subscription tags toast toc toolbar topbar tracking trending widget widgets".split())
 NEGATING = frozenset(["with", "has", "no", "without"])
 
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
