@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from shopsignal.operators import evaluate as ev
 from shopsignal.operators.boosting import BoostedModel, fit_boosters
 from shopsignal.operators.folds import bootstrap_count, kfold, stratified_kfold, train_test_split
-from shopsignal.operators.forest import fit_forests
+from shopsignal.operators.forest import SAMPLE_ROWS, fit_forests
 from shopsignal.operators.learners import (BOOSTERS, BOUNDED, FIT_ROWS, FORESTS, booster_settings, fit_sample, forest_settings,
                                            make_learner, prob1)
 from shopsignal.operators.prepare import PreparedModel
@@ -88,7 +88,8 @@ def oof_scores(train: DataFrame, test: DataFrame, learners: list[str], k: int =
                               label, marker, marked)
         fitted |= {(n, i): models[j * k + i] for j, n in enumerate(boosters) for i in range(k)}
     for n in (n for n in learners if n in FORESTS):
-        models = fit_forests(sample, [forest_settings(n, preset)] * k, [w.cast("double") for w in others], KEYS, features, label)
+        models = fit_forests(fit_sample(tr, min(fit_rows, SAMPLE_ROWS)), [forest_settings(n, preset)] * k,
+                             [w.cast("double") for w in others], KEYS, features, label)
         fitted |= {(n, i): models[i] for i in range(k)}
 
     def one(job):

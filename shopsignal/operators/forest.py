@@ -258,10 +258,13 @@ def fit_forests(df: DataFrame, settings: list[Forest], weights: list[Column], ke
 
 
 class ForestLearner:
-    """One forest as a learner."""
+    """One forest as a learner; of more than ``SAMPLE_ROWS`` rows it reads that many, first in md5 order of their keys."""
 
     def __init__(self, settings: Forest, features: str = "features", label: str = "label", keys=("user_id", "merchant_id")):
         self.settings, self.features, self.label, self.keys = settings, features, label, list(keys)
 
     def fit(self, df: DataFrame) -> ForestModel:
-        return fit_forests(df, [self.settings], [F.lit(1.0)], self.keys, self.features, self.label)[0]
+        from shopsignal.operators.learners import fit_sample
+
+        rows = fit_sample(df, SAMPLE_ROWS, self.keys)
+        return fit_forests(rows, [self.settings], [F.lit(1.0)], self.keys, self.features, self.label)[0]
