@@ -31,7 +31,7 @@ scored AS (SELECT k.user_id, k.merchant_id, k.label, k.fold, mr.score,
 
 
 def scored(spark, sf):
-    t = fx.train(spark, sf)
+    t = fx.shared_train(spark, sf)
     f = fo.kfold(t, 5, seed=0)
     mr = t.groupBy("merchant_id").agg(((F.sum("label") + 1.0) / (F.count(F.lit(1)) + 2.0)).alias("score"))
     s = f.join(mr, "merchant_id")
