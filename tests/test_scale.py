@@ -100,3 +100,73 @@ def test_cluster_session_settings():
     s = fake({"spark.sql.shuffle.partitions": "77"})
     session.apply_cluster_conf(s)
     assert "spark.sql.shuffle.partitions" not in s.conf and s.conf["spark.sql.files.maxPartitionBytes"] == "256m"
+
+
+@pytest.mark.parametrize("name", ["kfold", "stratified_kfold", "shuffle_split", "log_loss", "confusion_matrix", "auc", "r2_score"])
+def test_pairs_are_computed_once(spark, name):
+    """The many passes of a split read the checkpointed pairs, not the fact tables again."""
+    assert "l_orderkey" not in registry.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
+
+
+def test_bootstrap_digests_once_a_row(spark):
+    plan = registry.QUERIES["bootstrap_counts"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+
+
+def test_samples_are_read_not_filtered_again(spark):
+    from shopsignal.operators.learners import fit_sample
+    df = spark.range(500).select(F.col("id").alias("user_id"), (F.col("id") % 7).alias("merchant_id"))
+    got = fit_sample(df, 100)
+    assert "Filter" not in got._jdf.queryExecution().analyzed().toString()
+    h = F.md5(F.concat_ws("_", F.lit("fit"), "user_id", "merchant_id"))
+    want = {r["user_id"] for r in df.orderBy(h).limit(100).collect()}
+    assert {r["user_id"] for r in got.collect()} == want and len(want) == 100
+    assert fit_sample(df, 500) is df
+
+
+def test_numbered_events_hold_what_is_kept(spark):
+    from shopsignal.operators.history import event_positions
+    log = spark.range(50).select((F.col("id") % 3).alias("user_id"), *[(F.col("id") % 11).cast("string").alias(c) for c in
+                                 ("item_id", "seller_id", "action_type", "cat_id", "brand_id")], F.col("id").cast("int").alias("time_stamp"))
+    got = event_positions(log, keep=["item_id"])
+    assert set(got.columns) == {"user_id", "item_id", "pos"}
+    every = {tuple(r) for r in event_positions(log).select("user_id", "item_id", "pos").collect()}
+    assert {tuple(r) for r in got.select("user_id", "item_id", "pos").collect()} == every and len(every) == 50
+
+
+def test_sentences_are_built_once(spark):
+    from shopsignal.sources import fixtures as fx
+    sents = tx.fit_word2vec(fx.user_log(spark, SF_SMALL), "seller_id", vector_size=4, partitions=1)[1]
+    assert "Aggregate" not in sents._jdf.queryExecution().analyzed().toString()
+
+
+def test_stumps_are_scored_by_expressions(spark):
+    from pyspark.ml.functions import vector_to_array
+    from shopsignal.operators.learners import AdaBoostSAMME
+    from tests.test_boosting import frame, planted
+    x, y = planted(300)
+    df = frame(spark, x, y)
+    label = df.columns[[c.lower() for c in df.columns].index("label")]
+    model = AdaBoostSAMME(6, 0.5, "features", label).fit(df)
+    out = model.transform(df)
+    assert "UDF" not in out.drop("features")._jdf.queryExecution().analyzed().toString().replace("vector_to_array", "").split("Project")[1]
+    cur, dec = df, F.lit(0.0)
+    for i, (s, a) in enumerate(zip(model.stumps, model.alphas)):
+        cur = s.setPredictionCol(f"p{i}").setProbabilityCol(f"pp{i}").setRawPredictionCol(f"rp{i}").transform(cur)
+        dec = dec + F.lit(a) * F.when(F.col(f"p{i}") == 1, 1.0).otherwise(-1.0)
+    want = {r["k"]: r["p"] for r in cur.select("k", (1 / (1 + F.exp(-2 * dec / sum(model.alphas)))).alias("p")).collect()}
+    got = {r["k"]: r["p"] for r in out.select("k", vector_to_array("probability")[1].alias("p")).collect()}
+    assert got == pytest.approx(want) and len(set(want.values())) > 1
+
+
+def test_equal_rows_are_scored_once():
+    import numpy as np
+    from shopsignal.operators.trees import of_distinct
+    x, seen = np.random.default_rng(0).normal(size=(6, 3))[[0, 1, 0, 5, 1, 0, 2]], []
+
+    def score(v):
+        seen.append(len(v))
+        return v.sum(1)
+
+    assert (of_distinct(x, score) == x.sum(1)).all() and seen == [4]
+    assert len(of_distinct(x[:0], score)) == 0
