@@ -170,3 +170,41 @@ def test_equal_rows_are_scored_once():
 
     assert (of_distinct(x, score) == x.sum(1)).all() and seen == [4]
     assert len(of_distinct(x[:0], score)) == 0
+
+
+def _events(spark, n=4000):
+    i = F.col("id")
+    return spark.range(n).select((i % 37).alias("user_id"), (i * 7 % 11).alias("item_id"), (i * 5 % 6).cast("string").alias("cat_id"),
+                                 (i * 3 % 8).alias("seller_id"), F.when(i % 4 > 0, (i % 9).cast("string")).alias("brand_id"),
+                                 (i * 13 % 101).cast("int").alias("time_stamp"), (i % 4).cast("string").alias("action_type")).repartition(5)
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_whole_histories_move_once(spark, n):
+    """Dealt by user, tokens and favourites need no exchange beyond the log's own; same rows as range-sorted."""
+    log = _events(spark)
+    dealt = feat.token_stats(log, n=n, tasks=3)
+    assert "ENSURE_REQUIREMENTS" not in dealt._jdf.queryExecution().executedPlan().toString()
+    want = {r["user_id"]: r.asDict() for r in feat.token_stats(log, n=n).collect()}
+    assert {r["user_id"]: r.asDict() for r in dealt.collect()} == want and len(want) == 37
+
+
+def test_long_histories_are_split(spark, monkeypatch):
+    log = _events(spark)
+    assert feat.task_count(log) == 1 and feat.task_count(log.limit(0)) == 1
+    monkeypatch.setattr(feat, "TASK_EVENTS", 200)
+    assert feat.task_count(log) == 20
+    monkeypatch.setattr(feat, "TASK_EVENTS", 100)  # a user has 108 or 109 events
+    assert feat.task_count(log) is None
+
+
+def test_stacked_tables_move_rows_once(spark):
+    from shopsignal.operators.ensemble import stack_tables
+    long = spark.createDataFrame([(u, 1, float(u % 2), n, f, (u + f) / 9 + (n == "b") / 10) for u in range(4) for n in "ab" for f in range(2)],
+                                 "user_id long, merchant_id long, label double, learner string, fold int, p double")
+    tm, sm, _ = stack_tables(long.where("fold = user_id % 2"), long.drop("label"), ["a", "b"])
+    for df in (tm, sm):
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r["user_id"]: r["a"] for r in tm.collect()} == pytest.approx({u: (u + u % 2) / 9 for u in range(4)})
+    assert {r["user_id"]: r["b"] for r in tm.collect()} == pytest.approx({u: (u + u % 2) / 9 + 0.1 for u in range(4)})
+    assert {r["user_id"]: r["b"] for r in sm.collect()} == pytest.approx({u: (u + 0.5) / 9 + 0.1 for u in range(4)})
