@@ -150,3 +150,21 @@ def test_neighbours_learner(spark):
     empty = knn.KNeighbors(15).fit(df.limit(0)).transform(df)
     assert {r["probability"][1] for r in empty.collect()} == {0.5}
     assert df.select(array_to_vector("x")).count() == 300
+
+
+def test_copies_and_groups_are_sent_once(spark, monkeypatch):
+    """Equal vectors are one of a tile, and a tile goes to a group of query tiles once; results as of all pairs."""
+    monkeypatch.setattr(knn, "TILE_ROWS", 4)
+    monkeypatch.setattr(knn, "COPIES", 6)
+    monkeypatch.setattr(knn, "MERGED", 10)
+    monkeypatch.setattr(knn, "EMITTED", 50)
+    rng = np.random.default_rng(6)
+    kinds = [[float(v) for v in rng.normal(size=3)] for _ in range(30)]
+    rows = [(i, kinds[i % 30 if i < 260 else 0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, x array<double>").repartition(3)
+    pivots = np.array(kinds[:2])
+    tiles = knn._tiles(knn._usable(df, "id", F.col("x"), F.lit(0.0), 3), pivots, "t").collect()
+    assert sum(r["n"] for r in tiles) == 300 and sum(len(r["x"]) // 24 for r in tiles) < 300 / 3
+    for k in (5, 40):
+        got = sorted((r["query"], r["rank"], r["neighbour"], round(r["distance"], 9)) for r in knn.nearest(df, df, k).collect())
+        assert got == nearest_by_hand(rows, rows, k)
