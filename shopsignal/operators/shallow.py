@@ -57,6 +57,16 @@ class Trees:
         return node
 
 
+def borders(part: DataFrame, features: str) -> Binning:
+    """Borders at quantiles; a feature with few values has one between any two of them, however rare, as in Spark's forests."""
+    binning = Binning.fit(part, features, BINS, exact=False)
+    x = vector_to_array(F.col(features))
+    sets = [F.collect_set(x[i]) for i in range(len(binning.borders))]  # of a bounded part of the rows
+    row = part.agg(*[F.when(F.size(v) <= BINS, F.sort_array(v)).alias(f"v{i}") for i, v in enumerate(sets)]).first() if sets else []
+    few = [None if v is None else np.array(v, np.float64) for v in row]
+    return Binning(tuple(b if v is None else (v[1:] + v[:-1]) / 2 for b, v in zip(binning.borders, few)))
+
+
 def pack(df: DataFrame, binning: Binning, trees: int, seed: int, fold: str, features: str, label: str, keys=KEYS) -> RDD:
     width = len(binning.borders)
 
@@ -188,7 +198,7 @@ def fold_accuracy(df: DataFrame, k: int, trees: int = 100, depth: int = 2, seed:
     ship_sources(df.sparkSession)
     every = df.count() // BORDER_ROWS
     part = df.where(F.pmod(F.xxhash64(*[F.col(c) for c in KEYS]), F.lit(every)) == 0) if every > 1 else df
-    binning = Binning.fit(part, features, BINS, exact=False)
+    binning = borders(part, features)
     if every > 1 and not binning.borders:  # keys that are all equal have one hash
         binning = Binning.fit(df, features, BINS, exact=False)
     blocks = pack(df, binning, trees, seed, fold, features, label)

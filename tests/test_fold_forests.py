@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from shopsignal.operators import evaluate as ev
@@ -36,3 +37,10 @@ def test_fold_forests_count_every_row_and_not_their_own_fold(spark):
             want = [sum(int(r.draws[(r.fold != i) & (r.y == c) & (at == leaf), t].sum()) for r, at in zip(rows, node)) for c in (0, 1)]
             if sum(want):
                 assert list(model.counts[i, t, leaf]) == want
+
+
+def test_a_rare_value_can_be_split_off(spark):
+    """One row in 50 has a value of its own that decides the label: all of them are predicted right."""
+    rare = (F.col("merchant_id") % 50 == 0).cast("double")
+    df = pairs(spark, 2000).withColumn("features", array_to_vector(F.array(rare))).withColumn("label", rare)
+    assert [r["accuracy"] for r in cv_accuracy(df, "features", trees=10).collect()] == [1.0] * 5
