@@ -108,6 +108,29 @@ def test_pairs_are_computed_once(spark, name):
     assert "l_orderkey" not in registry.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
 
 
+def _orders_and_lines(spark, folder, n=60):
+    i = F.col("id")
+    day = F.when(i % 3 == 0, F.lit("2000-02-03 00:00:00")).otherwise(F.lit("1997-05-06 00:00:00"))
+    spark.range(n).select(i.alias("o_orderkey"), (i % 13).alias("o_custkey"), F.to_timestamp_ntz(day).alias("o_orderdate")).write.parquet(f"{folder}/orders.parquet")
+    spark.range(4 * n).select((i % n).alias("l_orderkey"), (i % 7).alias("l_suppkey")).write.parquet(f"{folder}/lineitem.parquet")
+
+
+@pytest.mark.parametrize("name", ["confusion_matrix"])
+def test_metrics_join_the_fact_tables_once(spark, tmp_path, monkeypatch, name):
+    """Counts, fold borders, scores and the result all read the checkpointed pairs: the cost of one join, at any size."""
+    from shopsignal.sources import fixtures as fx
+    _orders_and_lines(spark, tmp_path)
+    read, cuts, seen = fx.read_table, fo.order_cuts, []
+    scans = []
+    monkeypatch.setattr(fx, "read_table", lambda s, d, table, *cols: scans.append(table) or read(s, d, table, *cols))
+    monkeypatch.setattr(fo, "order_cuts", lambda df, *a, **k: seen.append(df) or cuts(df, *a, **k))
+    out = registry.QUERIES[name](spark, str(tmp_path))
+    assert sorted(scans) == ["lineitem", "orders"] and len(seen) == 1
+    for df in (*seen, out):
+        assert "l_orderkey" not in df._jdf.queryExecution().analyzed().toString()
+    assert out.count() > 0
+
+
 def test_bootstrap_digests_once_a_row(spark):
     plan = registry.QUERIES["bootstrap_counts"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5(") == 1
