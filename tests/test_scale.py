@@ -115,7 +115,7 @@ def _orders_and_lines(spark, folder, n=60):
     spark.range(4 * n).select((i % n).alias("l_orderkey"), (i % 7).alias("l_suppkey")).write.parquet(f"{folder}/lineitem.parquet")
 
 
-@pytest.mark.parametrize("name", ["confusion_matrix", "auc", "accuracy_by_fold", "log_loss"])
+@pytest.mark.parametrize("name", ["confusion_matrix", "auc", "accuracy_by_fold", "log_loss", "fold_score_summary"])
 def test_metrics_join_the_fact_tables_once(spark, tmp_path, monkeypatch, name):
     """Counts, fold borders, scores and the result all read the checkpointed pairs: the cost of one join, at any size."""
     from shopsignal.sources import fixtures as fx
