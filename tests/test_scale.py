@@ -1,5 +1,6 @@
 """What must hold whatever the size: plans without needless sorts, ties, hot users, cluster settings."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -231,3 +232,84 @@ def test_stacked_tables_move_rows_once(spark):
     assert {r["user_id"]: r["a"] for r in tm.collect()} == pytest.approx({u: (u + u % 2) / 9 for u in range(4)})
     assert {r["user_id"]: r["b"] for r in tm.collect()} == pytest.approx({u: (u + u % 2) / 9 + 0.1 for u in range(4)})
     assert {r["user_id"]: r["b"] for r in sm.collect()} == pytest.approx({u: (u + 0.5) / 9 + 0.1 for u in range(4)})
+
+
+def _many_pairs(spark, n=120_000):
+    """More rows than the fits of earlier versions read."""
+    from pyspark.ml.functions import array_to_vector
+    i = F.col("id")
+    x = array_to_vector(F.array((i % 7).cast("double"), (i % 3).cast("double")))
+    return spark.range(n).select(i.alias("user_id"), (i % 11).alias("merchant_id"), (i % 4 == 0).cast("double").alias("label"), x.alias("features"))
+
+
+def test_oof_boosters_read_all_rows(spark, monkeypatch):
+    from shopsignal.operators import ensemble as en
+    read, fit = [], en.fit_boosters
+    monkeypatch.setattr(en, "fit_boosters", lambda df, *a, **k: read.append(df.count()) or fit(df, *a, **k))
+    df = _many_pairs(spark)
+    oof, _ = en.oof_scores(df, df.drop("label").limit(10), ["gb"], k=2, preset="small")
+    assert read == [120_000] and oof.count() == 120_000
+
+
+def test_bags_read_all_rows(spark):
+    from shopsignal.operators.ensemble import StackedBagging
+    m = StackedBagging(stacking_num=1, bagging_num=1, preset="small").fit(_many_pairs(spark))
+    # the root's hessians: p (1 - p) of every row of the training part that the first bag draws
+    assert m.bagging_models[0].trees[0].cover[0] == pytest.approx(120_000 * 0.67 * 0.8 * 0.25 * 0.75, rel=0.02)
+
+
+def test_importance_booster_reads_all_rows(spark):
+    from shopsignal.operators.select import fit_importance_model
+    model, _ = fit_importance_model(_many_pairs(spark), "small")
+    assert model.trees[0].cover[0] == pytest.approx(120_000 * 0.6 * 0.8 * 0.25 * 0.75, rel=0.02)
+
+
+def test_quantiles_of_many_values_equal_those_of_a_map(spark, monkeypatch):
+    from pyspark.ml.functions import array_to_vector
+    from shopsignal.operators import trees
+    v = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / 1000.0
+    df = spark.range(5000).select(array_to_vector(F.array(v, (F.col("id") % 5).cast("double"), v * v)).alias("features"))
+    want = trees.Binning.fit(df)
+    monkeypatch.setattr(trees, "MAP_VALUES", 100)
+    got = trees.Binning.fit(df)
+    assert [list(b) for b in got.borders] == [list(b) for b in want.borders] and len(got.borders[0]) == 63
+
+
+def test_equal_rows_are_one_cell_and_none_is_lost(spark):
+    from shopsignal.operators import trees
+    rng = np.random.default_rng(1)
+    bins, y, weight = rng.integers(0, 3, (2000, 2)).astype(np.uint8), rng.integers(0, 2, 2000).astype(float), rng.integers(0, 3, (2000, 1)).astype(float)
+    key = rng.integers(0, 1 << 62, 2000).astype(np.uint64)
+    block = trees.block_of(bins, y, key, weight, weight == 0, [(5, 0)])
+    c = block.cells[0]
+    assert len(block.bins) == 9 and c.rows.sum() == (weight > 0).sum() and c.held_rows.sum() == (weight == 0).sum()
+    on = (weight[:, 0] > 0) & (trees.uniform(key, 5, 0, 7) < 0.3)
+    drawn = c.drawn(0.3, 7)
+    for i in range(len(c.rows)):
+        same = (bins == block.bins[c.at[i]]).all(1) & (y == c.y[i]) & (weight[:, 0] == c.weight[i])
+        assert c.rows[i] == same.sum() and drawn[i] == (on & same).sum()
+
+
+def test_forests_read_all_rows(spark, monkeypatch):
+    from shopsignal.operators import ensemble as en
+    read, fit = [], en.fit_forests
+    monkeypatch.setattr(en, "fit_forests", lambda df, *a, **k: read.append(df.count()) or fit(df, *a, **k))
+    df = _many_pairs(spark)
+    oof, _ = en.oof_scores(df, df.drop("label").limit(10), ["rf", "et"], k=2, preset="small")
+    assert read == [120_000] * 2 and oof.count() == 240_000
+
+
+def test_a_tree_of_counted_rows_is_that_of_the_rows():
+    from shopsignal.operators import forest
+    from shopsignal.operators.trees import Binning
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 9, (60, 5)).astype(float)
+    borders = tuple(np.arange(8.0) for _ in range(5))
+    times = rng.integers(1, 6, 60)
+    many = np.repeat(np.arange(60), times)
+    y = rng.integers(0, 2, len(many)).astype(float)
+    bins = Binning(borders).apply(x)
+    for c in (forest.Forest(depth=9), forest.Forest(depth=20, random_thresholds=True)):
+        one = forest.grow(x[many], bins[many], borders, y, np.arange(len(many)), c, np.random.default_rng(3))
+        two = forest.grow(x, bins, borders, np.bincount(many, y), np.arange(60), c, np.random.default_rng(3), times.astype(float))
+        assert len(one[0]) > 9 and all(np.array_equal(a, b) for a, b in zip(one, two))
