@@ -4,8 +4,8 @@ Each row is packed once: its binned features, class, fold, and how often each tr
 draws it (the Poisson law at a number made of the row's keys, as in K6). Rows of a batch that are
 equal in bins, class and fold are one row with summed draws, so nothing is lost. A level of all
 trees of all folds is then one pass that adds histograms; their sizes depend on folds, trees and
-features only. One more pass counts the held-out rows that are predicted right. As in Spark's
-forests, only the places of the bins' borders come from a part of the rows.
+features only. One more pass counts the held-out rows that are predicted right. The bins' borders are
+quantiles of all rows.
 """
 
 from __future__ import annotations
@@ -21,13 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopsignal.operators.folds import KEYS, POISSON_CDF
-from shopsignal.operators.trees import Binning, total, uniform
+from shopsignal.operators.trees import Binning, order_statistics, total, uniform
 from shopsignal.session import ship_sources
 
 #: Bins of a feature, as Spark's tree learners have by default.
 BINS = 32
-#: Rows, about, that the bins' borders are taken from (Spark's forests take 10,000).
-BORDER_ROWS = 100_000
 
 
 @dataclass
@@ -57,14 +55,20 @@ class Trees:
         return node
 
 
-def borders(part: DataFrame, features: str) -> Binning:
-    """Borders at quantiles; a feature with few values has one between any two of them, however rare, as in Spark's forests."""
-    binning = Binning.fit(part, features, BINS, exact=False)
+def borders(df: DataFrame, features: str) -> Binning:
+    """Borders at quantiles of all rows; a feature with few values has one between any two of them, however rare, as in Spark's forests."""
     x = vector_to_array(F.col(features))
-    sets = [F.collect_set(x[i]) for i in range(len(binning.borders))]  # of a bounded part of the rows
-    row = part.agg(*[F.when(F.size(v) <= BINS, F.sort_array(v)).alias(f"v{i}") for i, v in enumerate(sets)]).first() if sets else []
-    few = [None if v is None else np.array(v, np.float64) for v in row]
-    return Binning(tuple(b if v is None else (v[1:] + v[:-1]) / 2 for b, v in zip(binning.borders, few)))
+    first = df.select(F.size(x).alias("d")).first()
+    d = first["d"] if first else 0
+    if not d:
+        return Binning(())
+    about = df.agg(*[F.approx_count_distinct(x[i]).alias(f"n{i}") for i in range(d)]).first()
+    few = [i for i in range(d) if about[i] <= 2 * BINS]  # their sets are bounded
+    sets = dict(zip(few, df.agg(*[F.sort_array(F.collect_set(x[i])).alias(f"v{i}") for i in few]).first())) if few else {}
+    sets = {i: np.array(v, np.float64) for i, v in sets.items() if len(v) <= BINS}
+    many = [i for i in range(d) if i not in sets]
+    at = order_statistics(df, x, many, lambda n: [-(-j * n // BINS) - 1 for j in range(1, BINS)]) if many else {}
+    return Binning(tuple((sets[i][1:] + sets[i][:-1]) / 2 if i in sets else np.unique(at[i]) for i in range(d)))
 
 
 def pack(df: DataFrame, binning: Binning, trees: int, seed: int, fold: str, features: str, label: str, keys=KEYS) -> RDD:
@@ -196,11 +200,7 @@ def fold_accuracy(df: DataFrame, k: int, trees: int = 100, depth: int = 2, seed:
                   features: str = "features", label: str = "label") -> list[tuple[int, float | None]]:
     """Per fold the accuracy, on its rows, of a forest fitted on all rows of the other folds (None: no rows)."""
     ship_sources(df.sparkSession)
-    every = df.count() // BORDER_ROWS
-    part = df.where(F.pmod(F.xxhash64(*[F.col(c) for c in KEYS]), F.lit(every)) == 0) if every > 1 else df
-    binning = borders(part, features)
-    if every > 1 and not binning.borders:  # keys that are all equal have one hash
-        binning = Binning.fit(df, features, BINS, exact=False)
+    binning = borders(df, features)
     blocks = pack(df, binning, trees, seed, fold, features, label)
     classes = 1 + max(blocks.map(lambda r: int(r.y.max())).collect(), default=0)  # a number a block
     model = fit_folds(blocks, k, trees, depth, seed, len(binning.borders), binning.bins, classes)
