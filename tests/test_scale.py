@@ -313,3 +313,49 @@ def test_a_tree_of_counted_rows_is_that_of_the_rows():
         one = forest.grow(x[many], bins[many], borders, y, np.arange(len(many)), c, np.random.default_rng(3))
         two = forest.grow(x, bins, borders, np.bincount(many, y), np.arange(60), c, np.random.default_rng(3), times.astype(float))
         assert len(one[0]) > 9 and all(np.array_equal(a, b) for a, b in zip(one, two))
+
+
+def test_trained_vectors_are_joined_as_a_table(spark):
+    from shopsignal.operators import text as tx
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.feature import Word2Vec
+    sents = spark.createDataFrame([(["a", "b", "c", "b"] * 3,)] * 20, "s array<string>")
+    model = Word2Vec(inputCol="s", outputCol="o", vectorSize=4, minCount=1, numPartitions=1, seed=1).fit(sents)
+    table = tx.w2v_table(model)
+    rows = lambda df: {r["word"]: r["v"] for r in df.select("word", vector_to_array("vector").alias("v")).collect()}
+    assert rows(table) == rows(model.getVectors()) and len(rows(table)) == 3
+    toks = spark.createDataFrame([(1, "a"), (1, "b"), (2, "z")], "user_id long, token string")
+    plan = tx.mean_vectors(toks, table.hint("merge"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "LocalTableScan" not in plan.split("SortMergeJoin")[1].split("FileScan")[1]
+
+
+def test_w2v_mean_keeps_vectors_off_the_driver(spark):
+    plan = registry.QUERIES["w2v_mean"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "LogicalRDD [word" not in plan
+
+
+def test_neighbours_put_out_totals(spark):
+    from shopsignal.operators import knn
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in rng.integers(0, 5, 3)], float(rng.integers(0, 2))) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, y double")
+    every = knn.nearest(df, df, 20, pay=F.col("y")).groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.sum("pay").alias("total"))
+    got = knn.nearest(df, df, 20, pay=F.col("y"), totals=True)
+    assert sorted(got.collect()) == sorted(every.collect()) and got.count() == 900
+
+
+def test_borders_are_quantiles_of_all_rows(spark):
+    from pyspark.ml.functions import array_to_vector
+    from shopsignal.operators import shallow
+    n = 240_000
+    df = spark.range(n).select(F.col("id").alias("user_id"), (F.col("id") % 11).alias("merchant_id"),
+                               array_to_vector(F.array(F.col("id").cast("double"), (F.col("id") % 3).cast("double"))).alias("features"))
+    many, few = shallow.borders(df, "features").borders
+    assert list(many) == [float(-(-j * n // 32) - 1) for j in range(1, 32)] and list(few) == [0.5, 1.5]
+    frame = df.withColumn("label", (F.col("user_id") % 2).cast("double")).withColumn("fold", F.col("user_id") % 2)
+    assert len(shallow.fold_accuracy(frame, 2, trees=2)) == 2
+
+
+def test_small_vocabularies_are_dealt_to_several_tasks():
+    from shopsignal.operators import skipgram
+    assert [skipgram.block_count(n) for n in (0, 1, 7_500, 7_501, 120_000, 800_000, 800_001, 7_200_000)] == [1, 1, 1, 2, 16, 16, 17, 144]
